@@ -162,7 +162,7 @@ def bronze_incremental(spark, d):
 def partitioned_write(spark, d):
     """fact_sales written Hive-partitioned by date_key, read back."""
     gold = work_dir(spark, "gold")
-    publish(spark, _fact(spark, d).hint("rebalance", "date_key"), gold, "fact_sales", partition_col="date_key")
+    publish(spark, _fact(spark, d), gold, "fact_sales", partition_col="date_key")
     return read_table(spark, f"{gold}/fact_sales").select(*FACT_SALES_COLUMNS)
 
 
@@ -277,11 +277,11 @@ def warehouse_load(spark, d):
     gold, warehouse = f"{base}/gold", f"{base}/warehouse"
     ref = _silver_reference(spark, d)
     fact = _fact(spark, d)
-    publish(spark, fact.hint("rebalance", "date_key"), gold, "fact_sales", partition_col="date_key")
+    publish(spark, fact, gold, "fact_sales", partition_col="date_key")
     for dim, df in build_dimensions(ref).items():
         publish(spark, df, gold, dim)
     publish(spark, build_supply_chain_summary(ref["supply_chain"]), gold, "fact_supply_chain_summary")
-    gold_fact = read_table(spark, f"{gold}/fact_sales")
+    gold_fact = read_table(spark, f"{gold}/fact_sales_parquet")
     publish(spark, build_daily_summary(gold_fact, ref["products"], ref["categories"], ref["stores"],
                                        ref["regions"]), gold, "gold_daily_merchandising_summary")
     publish_warehouse(spark, gold, warehouse)

@@ -141,15 +141,15 @@ def run_gold(spark: SparkSession, paths: LayerPaths, export_files: int | None =
     """Fact, dimensions and summaries from silver; each published with its Parquet export."""
     silver = read_layer(spark, paths.silver, ["transactions", *REFERENCE_KEYS])
     fact = build_fact_sales(silver["transactions"])
-    counts = {"fact_sales": publish(spark, fact.hint("rebalance", "date_key"), paths.gold, "fact_sales",
-                                    partition_col="date_key", export_files=export_files)}
+    counts = {"fact_sales": publish(spark, fact, paths.gold, "fact_sales", partition_col="date_key",
+                                    export_files=export_files)}
     for dim, df in build_dimensions(silver).items():
         counts[dim] = publish(spark, df, paths.gold, dim, export_files=export_files)
     counts["fact_supply_chain_summary"] = publish(
         spark, build_supply_chain_summary(silver["supply_chain"]), paths.gold,
         "fact_supply_chain_summary", export_files=export_files)
-    # Dimensions are read back from gold, where they were just written.
-    gold_fact = read_table(spark, f"{paths.gold}/fact_sales")
+    # The summary reads the fact as written (its flat export needs no partition discovery).
+    gold_fact = read_table(spark, f"{paths.gold}/fact_sales_parquet")
     daily = build_daily_summary(gold_fact, silver["products"], silver["categories"], silver["stores"],
                                 silver["regions"])
     counts["gold_daily_merchandising_summary"] = publish(

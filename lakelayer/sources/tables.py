@@ -70,13 +70,20 @@ def export_parquet(df: DataFrame, path: str, files: int | None = None) -> int:
 def publish(spark: SparkSession, df: DataFrame, gold_dir: str, table: str,
             partition_col: str | None = None, export_files: int | None = None,
             fmt: str = "parquet") -> int:
-    """Write a gold table, then its Parquet export, and return its row count.
-
-    The export reads the table just written instead of recomputing ``df``,
-    so the upstream plan runs once.
+    """Write a gold table and its flat Parquet export; return the row count.
+
+    ``df`` is computed once, into the flat export (which also yields the row
+    count). The layer table, Hive-partitioned when ``partition_col`` is set,
+    is then written from that export: reading a flat folder needs no partition
+    discovery, and the partitioned write goes through a ``rebalance`` on the
+    partition column, so AQE sizes the output files and splits a hot
+    partition value over several tasks.
     """
     base = gold_dir.rstrip("/")
-    rows = overwrite_table(df, f"{base}/{table}", fmt, [partition_col] if partition_col else None)
-    written = read_table(spark, f"{base}/{table}", fmt)
-    export_parquet(written.select(*df.columns), f"{base}/{table}_parquet", export_files)
+    export_path = f"{base}/{table}_parquet"
+    rows = export_parquet(df, export_path, export_files)
+    flat = read_table(spark, export_path).select(*df.columns)
+    if partition_col:
+        flat = flat.hint("rebalance", partition_col)
+    overwrite_table(flat, f"{base}/{table}", fmt, [partition_col] if partition_col else None)
     return rows
