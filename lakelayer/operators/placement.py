@@ -9,6 +9,9 @@ broadcast from measured shuffle sizes).
 
 from __future__ import annotations
 
+from functools import reduce
+from typing import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +25,21 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def bounded_counts(frames: Mapping[str, DataFrame], max_rows: int) -> dict[str, int]:
+    """Row count of each frame, capped at ``max_rows + 1``, in a single job.
+
+    Each branch stops after ``max_rows + 1`` rows, so the check costs at most
+    that many rows per frame however large a frame is.
+    """
+    parts = [
+        df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
+        for name, df in frames.items()
+    ]
+    if not parts:
+        return {}
+    return {r["name"]: int(r["n"]) for r in reduce(lambda a, b: a.unionByName(b), parts).collect()}
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
     """Mark ``df`` for broadcast when it is proven to have at most ``max_rows`` rows.
 
@@ -41,3 +59,35 @@ def distribute_by(df: DataFrame, keys: list[str] | tuple[str, ...], partitions:
 def round_robin(df: DataFrame, partitions: int) -> DataFrame:
     """Even spread without a key (the warehouse ``ROUND_ROBIN`` placement)."""
     return df.repartition(partitions)
+
+
+# Warehouse table placement (replicate / hash on a key / round robin).
+WAREHOUSE_PLACEMENT = {
+    "dim_department": ("replicate",),
+    "dim_category": ("replicate",),
+    "dim_product": ("replicate",),
+    "dim_region": ("replicate",),
+    "dim_store": ("replicate",),
+    "dim_supplier": ("replicate",),
+    "fact_sales": ("hash", "product_id"),
+    "fact_supply_chain_summary": ("hash", "product_id"),
+    "gold_daily_merchandising_summary": ("round_robin",),
+}
+
+
+def place_for_write(df: DataFrame, placement: tuple[str, ...]) -> DataFrame:
+    """Lay out a table's files the way its placement asks.
+
+    ``hash``: a rebalance on the key, so rows of one key share files (AQE
+    still splits a hot key and sizes the files); ``round_robin``: a rebalance
+    without key (even file sizes); ``replicate``: left as is; a replicated
+    table is copied at join time, by a size-checked broadcast.
+    """
+    kind = placement[0]
+    if kind == "hash":
+        return df.hint("rebalance", *placement[1:])
+    if kind == "round_robin":
+        return df.hint("rebalance")
+    if kind == "replicate":
+        return df
+    raise ValueError(f"unknown placement {placement!r}")

@@ -14,23 +14,29 @@ of re-running the gate for every count and write.
 from __future__ import annotations
 
 import logging
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from typing import Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakelayer.functions.exprs import REASON_COL
-from lakelayer.operators.conform import clean_and_cast_transactions, conform_reference_table, conform_to_schema
+from lakelayer.operators.conform import (
+    clean_and_cast_transactions,
+    conform_reference_table,
+    conform_to_schema,
+    latest_per_key,
+)
 from lakelayer.operators.marts import (
     build_daily_summary,
     build_dimensions,
     build_fact_sales,
     build_supply_chain_summary,
 )
-from lakelayer.operators.merge import merge_fact_sales
+from lakelayer.operators.merge import merge_fact_sales, merge_upsert
+from lakelayer.operators.placement import WAREHOUSE_PLACEMENT, place_for_write
 from lakelayer.operators.quality import TRANSACTION_RULES, QualityRules, enforce_threshold, tag_quality
-from lakelayer.schemas import REFERENCE_KEYS, SOURCES, WAREHOUSE
+from lakelayer.schemas import INGESTED_AT, REFERENCE_KEYS, SOURCES, WAREHOUSE
 from lakelayer.sources.csv import ingest_sources, write_csv
 from lakelayer.sources.tables import overwrite_table, publish, read_table
 
@@ -103,10 +109,21 @@ class SilverReport:
 
 def run_silver(spark: SparkSession, paths: LayerPaths, rules: QualityRules = TRANSACTION_RULES,
                legacy_prefix: bool = False, reference_order: Mapping[str, tuple[str, ...]] | None = None,
-               fail_on_alert: bool = False) -> SilverReport:
-    """Gate transactions once, write silver + quarantine, conform reference tables."""
+               fail_on_alert: bool = False, dedupe_scope: str = "all") -> SilverReport:
+    """Gate transactions once, write silver + quarantine, conform reference tables.
+
+    ``dedupe_scope="all"`` checks duplicates over all of bronze (the original
+    behaviour: ingesting the same file twice quarantines every one of its
+    rows). ``"batch"`` checks duplicates within each ingest batch (rows that
+    share ``_ingested_at``) and keeps, per id, the row of the latest batch.
+    """
     bronze_tx = read_table(spark, f"{paths.bronze}/transactions", merge_schema=True)
-    tagged = tag_quality(bronze_tx, rules, REASON_COL, legacy_prefix)
+    if dedupe_scope not in ("all", "batch"):
+        raise ValueError(f"unknown dedupe_scope {dedupe_scope!r}")
+    gate_rules = rules
+    if dedupe_scope == "batch" and rules.unique_columns:
+        gate_rules = replace(rules, unique_columns=tuple(rules.unique_columns) + (INGESTED_AT,))
+    tagged = tag_quality(bronze_tx, gate_rules, REASON_COL, legacy_prefix)
     obs = Observation()
     outcome = F.when(F.col(REASON_COL).isNull(), F.lit("clean")).otherwise(F.lit("quarantined"))
     checked = tagged.withColumn(OUTCOME_COL, outcome).observe(
@@ -119,10 +136,14 @@ def run_silver(spark: SparkSession, paths: LayerPaths, rules: QualityRules = TRA
     clean = written.where(F.col(OUTCOME_COL) == "clean").drop(OUTCOME_COL, REASON_COL)
     quarantined = written.where(F.col(OUTCOME_COL) == "quarantined").drop(OUTCOME_COL)
     # The gate quarantined every repeated transaction id, so dedupe is a no-op
-    # unless the rules checked a different key.
-    dedupe = tuple(rules.unique_columns) != ("transaction_id",)
-    counts = {"transactions": overwrite_table(clean_and_cast_transactions(clean, dedupe=dedupe),
-                                              f"{paths.silver}/transactions")}
+    # unless the rules checked a different key or only within batches.
+    if dedupe_scope == "batch":
+        silver_tx = latest_per_key(clean_and_cast_transactions(clean, dedupe=False), ["transaction_id"],
+                                   [INGESTED_AT])
+    else:
+        dedupe = tuple(rules.unique_columns) != ("transaction_id",)
+        silver_tx = clean_and_cast_transactions(clean, dedupe=dedupe)
+    counts = {"transactions": overwrite_table(silver_tx, f"{paths.silver}/transactions")}
     overwrite_table(quarantined, f"{paths.quarantine}/transactions")
 
     order = dict(DEFAULT_REFERENCE_ORDER if reference_order is None else reference_order)
@@ -181,10 +202,28 @@ def publish_warehouse(spark: SparkSession, gold_dir: str, warehouse_dir: str,
         out = conformed.rows
         if table == "fact_sales" and previous_fact is not None:
             out = merge_fact_sales(previous_fact, out)
-        rows[table] = overwrite_table(out, f"{warehouse_dir}/{table}")
+        rows[table] = overwrite_table(place_for_write(out, WAREHOUSE_PLACEMENT[table]), f"{warehouse_dir}/{table}")
     return WarehouseReport(rows, violations)
 
 
+def upsert_table(spark: SparkSession, updates: DataFrame, current_path: str | None, new_path: str,
+                 keys: list[str], update_columns: list[str] | None = None) -> int:
+    """M2: merge ``updates`` into the table at ``current_path``, writing ``new_path``.
+
+    A Parquet folder cannot be rewritten while it is read, so the merged
+    table goes to a new folder and the caller switches readers to it.
+    ``current_path=None`` (first load) writes ``updates`` as they are.
+    ``update_columns`` defaults to every non-key column. Re-applying the same
+    updates to the result gives the same table.
+    """
+    if current_path is None:
+        return overwrite_table(updates, new_path)
+    current = read_table(spark, current_path)
+    update_columns = update_columns or [c for c in current.columns if c not in keys]
+    return overwrite_table(merge_upsert(current, updates.select(*current.columns), keys, update_columns),
+                           new_path)
+
+
 @dataclass
 class RunReport:
     bronze: dict[str, int]
