@@ -52,7 +52,10 @@ DEFAULT_REFERENCE_ORDER: dict[str, tuple[str, ...]] = {
 
 @dataclass(frozen=True)
 class LayerPaths:
+    """Table folders of one lake; ``bronze_dir`` reads bronze from elsewhere."""
+
     root: str
+    bronze_dir: str | None = None
 
     def _p(self, layer: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}"
@@ -63,7 +66,7 @@ class LayerPaths:
 
     @property
     def bronze(self) -> str:
-        return self._p("bronze")
+        return self.bronze_dir or self._p("bronze")
 
     @property
     def checked(self) -> str:

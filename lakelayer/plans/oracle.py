@@ -214,8 +214,8 @@ FROM raw_tx""",
     "dq_clean": with_(*GATE) + f"SELECT {RAW_COLS} FROM tagged WHERE _dq_failure_reason IS NULL",
     "dq_metrics": with_(*GATE) + """SELECT total_rows, quarantined_rows,
        CASE WHEN total_rows > 0 THEN CAST(quarantined_rows AS DOUBLE) / CAST(total_rows AS DOUBLE) * 100.0
-            ELSE 0.0 END AS quarantine_pct,
-       5.0 AS max_quarantine_pct,
+            ELSE CAST(0.0 AS DOUBLE) END AS quarantine_pct,
+       CAST(5.0 AS DOUBLE) AS max_quarantine_pct,
        CASE WHEN (CASE WHEN total_rows > 0 THEN CAST(quarantined_rows AS DOUBLE) / CAST(total_rows AS DOUBLE) * 100.0
                        ELSE 0.0 END) > 5.0 THEN 'ALERT' ELSE 'OK' END AS status
 FROM (SELECT COUNT(*) AS total_rows, COUNT(_dq_failure_reason) AS quarantined_rows FROM tagged)""",
