@@ -12,11 +12,12 @@ WHEN NOT MATCHED THEN INSERT (<cols>)``:
 
 Plan: ``target LEFT JOIN source`` gives updated and kept rows;
 ``source LEFT ANTI JOIN distinct(target keys)`` gives inserts; the two are
-unioned. The source exchange is shared by both joins. Target rows with a
-null key are spread over partitions with a deterministic salt, since they
-can never match and would otherwise all hash to one task. The target-key
-side of the anti join is a distinct (partial aggregate), so a repeated target
-key is collapsed before the shuffle.
+unioned. Rows with a null key part are spread over partitions with a
+deterministic salt on both sides, since they can never match and would
+otherwise all hash to one task. The target-key side of the anti join is a
+distinct (partial aggregate), so a repeated target key is collapsed before
+the shuffle; a hot target key on the left of the first join is split by AQE's
+skew-join handling.
 """
 
 from __future__ import annotations
@@ -46,6 +47,12 @@ def _all_not_null(cols: Iterable[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
 
 
+def _null_key_salt(df: DataFrame, keys: Sequence[str]) -> Column:
+    """0 when every key part is set; else 1 + a hash bucket of the whole row."""
+    bucket = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(_SALT_BUCKETS)) + 1
+    return F.when(_all_not_null(keys), F.lit(0).cast("long")).otherwise(bucket)
+
+
 def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
                  update_columns: Sequence[str], insert_columns: Sequence[str] | None = None,
                  check_unique_source: bool = True) -> DataFrame:
@@ -59,16 +66,17 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
         assert_unique_keys(source, keys)
 
     src_cols = sorted((set(update_columns) | set(insert_columns)) - set(keys))
+    # Both sides carry the same salt: 0 for a full key, a row-hash bucket for a
+    # key with a null part. Null keys never match (null = null is not true), so
+    # the salt changes no result; it spreads such rows over partitions instead
+    # of hashing all of them to one task. It is a column expression on each
+    # side, so the optimizer keeps it as a join key.
     src = source.select(*[F.col(k).alias(f"_m_k_{k}") for k in keys],
                         *[F.col(c).alias(f"_m_s_{c}") for c in src_cols],
                         F.lit(True).alias("_m_matched"),
-                        F.lit(0).cast("long").alias("_m_salt"))
-    # Null target keys never match; give them a spread-out salt so the join
-    # does not send all of them to one partition.
-    salt = F.when(_all_not_null(keys), F.lit(0).cast("long")).otherwise(
-        F.pmod(F.xxhash64(*[F.col(c) for c in target.columns]), F.lit(_SALT_BUCKETS)) + 1)
-    tgt = target.withColumn("_m_salt", salt)
-    cond = [F.col(k) == F.col(f"_m_k_{k}") for k in keys] + [tgt["_m_salt"] == src["_m_salt"]]
+                        _null_key_salt(source, keys).alias("_m_ssalt"))
+    tgt = target.withColumn("_m_salt", _null_key_salt(target, keys))
+    cond = [F.col(k) == F.col(f"_m_k_{k}") for k in keys] + [F.col("_m_salt") == F.col("_m_ssalt")]
     joined = tgt.join(src, cond, "left")
     matched = F.col("_m_matched").isNotNull()
     updated = joined.select(*[
@@ -77,8 +85,11 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
         for c in target.columns
     ])
 
-    target_keys = target.where(_all_not_null(keys)).select(*keys).distinct()
-    new_rows = source.join(target_keys, keys, "left_anti")
+    target_keys = tgt.select(*keys, "_m_salt").distinct()
+    new_rows = (
+        source.withColumn("_m_salt", _null_key_salt(source, keys))
+        .join(target_keys, keys + ["_m_salt"], "left_anti")
+    )
     schema = {f.name: f.dataType for f in target.schema.fields}
     inserts = new_rows.select(*[
         (F.col(c) if c in insert_columns or c in keys else F.lit(None)).cast(schema[c]).alias(c)
