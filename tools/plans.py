@@ -25,6 +25,25 @@ LAZY = ("tag_duplicate", "dq_quarantine", "conform_reference", "supply_chain_sum
         "snowflake_enrich", "merge_upsert", "region_category_top8")
 
 
+NOTES = {
+    "tag_duplicate": "Partial + final `HashAggregate` on the key (map-side combine), then a null-safe left join "
+                     "back. A hot key is one partial row per map task; the join side is split by AQE "
+                     "(`SortMergeJoin(skew=true)`, see tests/test_quality.py) or broadcast when measured small.",
+    "dq_quarantine": "Null and numeric tags collapse into one `Project`; the reason filter sits above the join "
+                     "because it depends on it. The key branch reads only the key columns.",
+    "conform_reference": "`max(struct(...))` per key: `partial_max` before the exchange, so a repeated id costs one "
+                         "row per map task. No window and no sort of a whole key group in one task.",
+    "supply_chain_summary": "Partial + final aggregate on (product, supplier) after the dedupe aggregate.",
+    "daily_summary": "The fact is pre-aggregated on (date, store, product) before any join; dimensions join "
+                     "each other first; one small final aggregate and a range sort of the summary.",
+    "snowflake_enrich": "Two lookups instead of four chained joins; broadcast only after the bounded count.",
+    "merge_upsert": "Left join on (key, salt) and left anti join against distinct target (key, salt): the "
+                    "salt is a join key on both sides, so null-key rows are spread, not sent to one task.",
+    "region_category_top8": "`TakeOrderedAndProject`: per-partition top 8, then a merge of 8 rows per "
+                            "partition. No global sort.",
+}
+
+
 def plan_text(df) -> str:
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
@@ -41,7 +60,9 @@ def main(argv):
     print(f"Generated by `python tools/plans.py {sf_dir}`. Two plans per query: as planned on this scale")
     print("factor, and with broadcasts ruled out (`spark.sql.autoBroadcastJoinThreshold=-1`, bounded check")
     print("at 0 rows), the shape a large run takes when dimensions are too big to copy. Plans are")
-    print("adaptive; AQE may still coalesce partitions, split skewed ones, or switch a join at run time.\n")
+    print("adaptive; AQE may still coalesce partitions, split skewed ones, or switch a join at run time.")
+    print("Dedupe of string columns (`first`, `max(struct)`) plans as a sort-based aggregate, because Spark's")
+    print("hash aggregate needs fixed-width buffers; it is still partial (map-side) and spills.\n")
     default_threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     for name in LAZY:
         for label, large in (("as planned", False), ("no broadcast", True)):
@@ -61,7 +82,8 @@ def main(argv):
                     broadcast_max_rows=0 if large else DEFAULT_BROADCAST_MAX_ROWS), k=8)
             else:
                 df = catalog.QUERIES[name](spark, sf_dir)
-            print(f"## {name} ({label})\n\n```\n{plan_text(df)}\n```\n")
+            note = f"{NOTES[name]}\n\n" if not large and name in NOTES else ""
+            print(f"## {name} ({label})\n\n{note}```\n{plan_text(df)}\n```\n")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", default_threshold)
     spark.stop()
 
