@@ -45,6 +45,13 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # Spark Connect sessions have no SparkContext
+        return None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only if unset.
 
@@ -53,22 +60,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     when nothing is configured (unit tests on a laptop) do we pick a folder
     under the system temp dir.
     """
-    current = None
-    try:
-        current = spark.sparkContext.getCheckpointDir()
-    except Exception:  # Spark Connect has no SparkContext
-        current = None
+    sc = _context(spark)
+    current = sc.getCheckpointDir() if sc is not None else None
     if not current:
         current = spark.conf.get("spark.checkpoint.dir", None)
-        if current:
-            try:
-                spark.sparkContext.setCheckpointDir(current)
-            except Exception:
-                pass
+        if current and sc is not None:
+            sc.setCheckpointDir(current)
     if not current:
         current = os.path.join(tempfile.gettempdir(), "lakelayer-checkpoints")
-        spark.sparkContext.setCheckpointDir(current)
-        current = spark.sparkContext.getCheckpointDir() or current
+        if sc is not None:
+            sc.setCheckpointDir(current)
+            current = sc.getCheckpointDir() or current
     return current
 
 
