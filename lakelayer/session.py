@@ -35,7 +35,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.ui.showConsoleProgress", "false")
         # Local files list faster on the driver than through a listing job.
         .config("spark.sql.sources.parallelPartitionDiscovery.threshold", "10000")
-        .config("spark.driver.memory", "8g")
+        .config("spark.driver.memory", "12g")
+        # Local runs only: write file:// tables without .crc checksum side files
+        # (a cluster writes to HDFS or object storage, where this does not apply).
+        .config("spark.hadoop.fs.file.impl", "org.apache.hadoop.fs.RawLocalFileSystem")
     )
     for key, value in RECOMMENDED_CONF.items():
         builder = builder.config(key, value)
