@@ -261,6 +261,13 @@ def warehouse_conform(spark, d):
     return conform_to_schema(_fact(spark, d), WAREHOUSE["fact_sales"]).rows
 
 
+def warehouse_violations(spark, d):
+    """P6 report: a fact built from raw rows (no gate), conformed to the warehouse
+    fact table; every row that breaks a NOT NULL column or a cast, with reasons."""
+    ungated = clean_and_cast_transactions(_raw_tx(spark, d), dedupe=False)
+    return conform_to_schema(build_fact_sales(ungated), WAREHOUSE["fact_sales"]).violations
+
+
 def merge_upsert(spark, d):
     target, staging = _merge_inputs(spark, d)
     return merge_fact_sales(target, staging)
@@ -313,6 +320,20 @@ def supplier_top5(spark, d):
 
 # --- whole run ------------------------------------------------------------------
 
+def reingest_batch_scope(spark, d):
+    """Bronze ingested twice from the same files; silver with batch-scoped dedupe
+    equals a single ingest (the all-of-bronze scope would quarantine every row)."""
+    from lakelayer.plans.medallion import run_bronze, run_silver
+    from lakelayer.schemas import METADATA_COLUMNS
+
+    paths = LayerPaths(work_dir(spark, "reingest"))
+    land_raw_extract({"transactions": _raw_tx(spark, d)}, paths.raw)
+    for _ in range(2):
+        run_bronze(spark, paths, tables=("transactions",))
+    run_silver(spark, paths, dedupe_scope="batch", reference_tables=())
+    return read_table(spark, f"{paths.silver}/transactions").drop(*METADATA_COLUMNS)
+
+
 def medallion_end_to_end(spark, d):
     """Land CSV extracts, run bronze -> silver -> gold, return the daily summary as written."""
     paths = LayerPaths(work_dir(spark, "layers"))
@@ -347,6 +368,7 @@ QUERIES: dict[str, Query] = {
     **{name: _dimension(name) for name in
        ("dim_product", "dim_category", "dim_department", "dim_store", "dim_region", "dim_supplier")},
     "warehouse_conform": warehouse_conform,
+    "warehouse_violations": warehouse_violations,
     "merge_upsert": merge_upsert,
     "merge_idempotent": merge_idempotent,
     "warehouse_load": warehouse_load,
@@ -355,4 +377,5 @@ QUERIES: dict[str, Query] = {
     "region_category_top8": region_category_top8,
     "supplier_top5": supplier_top5,
     "medallion_end_to_end": medallion_end_to_end,
+    "reingest_batch_scope": reingest_batch_scope,
 }

@@ -96,9 +96,10 @@ def land_raw_extract(sources: Mapping[str, DataFrame], raw_dir: str, files: int
             write_csv(sources[table], f"{raw_dir.rstrip('/')}/{filename}", files)
 
 
-def run_bronze(spark: SparkSession, paths: LayerPaths) -> dict[str, int]:
-    """Typed scan + stamp + append for every raw source."""
-    return ingest_sources(spark, paths.raw, paths.bronze)
+def run_bronze(spark: SparkSession, paths: LayerPaths, tables=None) -> dict[str, int]:
+    """Typed scan + stamp + append for every raw source (or only ``tables``)."""
+    sources = [s for s in SOURCES if tables is None or s[2] in tables]
+    return ingest_sources(spark, paths.raw, paths.bronze, sources)
 
 
 @dataclass
@@ -112,7 +113,8 @@ class SilverReport:
 
 def run_silver(spark: SparkSession, paths: LayerPaths, rules: QualityRules = TRANSACTION_RULES,
                legacy_prefix: bool = False, reference_order: Mapping[str, tuple[str, ...]] | None = None,
-               fail_on_alert: bool = False, dedupe_scope: str = "all") -> SilverReport:
+               fail_on_alert: bool = False, dedupe_scope: str = "all",
+               reference_tables=None) -> SilverReport:
     """Gate transactions once, write silver + quarantine, conform reference tables.
 
     ``dedupe_scope="all"`` checks duplicates over all of bronze (the original
@@ -151,6 +153,8 @@ def run_silver(spark: SparkSession, paths: LayerPaths, rules: QualityRules = TRA
 
     order = dict(DEFAULT_REFERENCE_ORDER if reference_order is None else reference_order)
     for table, key in REFERENCE_KEYS.items():
+        if reference_tables is not None and table not in reference_tables:
+            continue
         bronze = read_table(spark, f"{paths.bronze}/{table}", merge_schema=True)
         counts[table] = overwrite_table(conform_reference_table(bronze, key, order.get(table)),
                                         f"{paths.silver}/{table}")

@@ -281,3 +281,23 @@ UNION ALL SELECT 'dim_supplier', COUNT(*) FROM suppliers
 UNION ALL SELECT 'fact_sales', COUNT(*) FROM fact
 UNION ALL SELECT 'fact_supply_chain_summary', COUNT(*) FROM supply_summary
 UNION ALL SELECT 'gold_daily_merchandising_summary', COUNT(*) FROM daily"""
+
+_FACT_NOT_NULL = ("transaction_id", "transaction_ts", "date_key", "store_id", "product_id", "quantity",
+                  "unit_price", "revenue")
+ORACLE_SQL["warehouse_violations"] = with_(RAW_TX) + """, ungated AS (
+  SELECT transaction_id, transaction_ts, store_id, product_id,
+         TRY_CAST(quantity AS INTEGER) AS quantity, TRY_CAST(unit_price AS DOUBLE) AS unit_price, payment_type
+  FROM raw_tx
+), ungated_fact AS (
+  SELECT transaction_id, transaction_ts, CAST(transaction_ts AS DATE) AS date_key, store_id, product_id,
+         quantity, unit_price, ROUND(quantity * unit_price, 2) AS revenue, payment_type
+  FROM ungated
+), conformed AS (
+  SELECT transaction_id, transaction_ts, date_key, store_id, product_id, quantity,
+         CAST(unit_price AS DECIMAL(10,2)) AS unit_price, CAST(revenue AS DECIMAL(12,2)) AS revenue, payment_type,
+         NULLIF(CONCAT_WS(',', """ + ", ".join(
+    f"CASE WHEN {c} IS NULL THEN 'null_in_not_null:{c}' END" for c in _FACT_NOT_NULL) + """), '') AS _violation
+  FROM ungated_fact
+)
+SELECT * FROM conformed WHERE _violation IS NOT NULL"""
+ORACLE_SQL["reingest_batch_scope"] = ORACLE_SQL["cast_transactions"]

@@ -89,7 +89,7 @@ FAST_QUERIES = [
     "dq_metrics", "quarantine_by_reason", "quarantine_by_reason_legacy", "cast_transactions",
     "conform_reference", "fact_sales", "supply_chain_summary", "snowflake_enrich", "daily_summary",
     "daily_summary_distinct", "dim_product", "dim_category", "dim_department", "dim_store", "dim_region",
-    "dim_supplier", "warehouse_conform", "merge_upsert", "merge_idempotent", "revenue_total", "dim_counts",
+    "dim_supplier", "warehouse_conform", "warehouse_violations", "merge_upsert", "merge_idempotent", "revenue_total", "dim_counts",
     "region_category_top8", "supplier_top5", "csv_typed_scan", "bronze_stamp", "append_evolve",
     "parquet_export",
 ]
