@@ -9,11 +9,12 @@ Scale notes
 -----------
 * The null and numeric tags are projections; Catalyst collapses them into one
   ``Project`` inside the scan's codegen stage.
-* The duplicate tag by default is a *partial* aggregate (``groupBy(keys)
-  .count()``), so a key that holds a third of all rows is reduced map-side
-  before the shuffle, joined back null-safely. The window form
-  (``method="window"``) is the textbook plan but puts every row of one key in
-  one task; it is kept for comparison and for small inputs.
+* The duplicate tag by default is a *partial* aggregate over the key columns
+  (``groupBy(keys).count()``), so a key that holds a third of all rows is
+  reduced map-side before the shuffle. The repeated-key set is checkpointed
+  and, when proven small, broadcast back: the full rows are never shuffled.
+  The window form (``method="window"``) always shuffles every row and puts all
+  rows of one key in one task; it is kept for comparison.
 * Metrics are one aggregate (``count(*)``, ``count(reason)``) over the tagged
   frame; the layer plans gather them with ``observe`` during the write instead
   of a second pass.
@@ -27,6 +28,8 @@ from typing import Iterable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakelayer.operators.placement import DEFAULT_BROADCAST_MAX_ROWS
+from lakelayer.sources.tables import materialize
 from lakelayer.functions.exprs import (
     DUPLICATE_KEY,
     NON_NUMERIC_VALUE,
@@ -119,14 +122,19 @@ def duplicate_keys(df: DataFrame, unique_columns: Iterable[str]) -> DataFrame:
 
 
 def mark_duplicates(df: DataFrame, unique_columns: Iterable[str], method: str = "aggregate",
-                    flag_col: str = "_dq_is_duplicate") -> DataFrame:
+                    flag_col: str = "_dq_is_duplicate",
+                    broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
     """Add boolean ``flag_col``: true on *every* copy of a repeated key.
 
-    ``method="aggregate"`` (default): partial aggregate of keys, then a
-    null-safe left join back. The join side holds one row per repeated key; AQE
-    broadcasts it when its measured size is small and otherwise plans a
-    sort-merge join whose skewed left partitions it splits.
-    ``method="window"``: ``count(*) over (partition by keys)``.
+    ``method="aggregate"`` (default): the repeated keys are found with a
+    partial aggregate over the key columns only, written once as Parquet under
+    the shared checkpoint folder (one job that also counts them; it cuts
+    lineage and is not recomputed), and joined back null-safely. When that
+    count is at most ``broadcast_max_rows`` the set is broadcast: the rows are
+    never shuffled, and a hot key cannot skew a task. Otherwise the join is a
+    sort-merge join whose skewed partitions AQE splits.
+    ``method="window"``: ``count(*) over (partition by keys)``, which sends
+    every row of one key to one task.
     """
     keys = list(unique_columns)
     if not keys:
@@ -139,6 +147,10 @@ def mark_duplicates(df: DataFrame, unique_columns: Iterable[str], method: str =
     if method != "aggregate":
         raise ValueError(f"unknown duplicate method {method!r}")
     dups = duplicate_keys(df, keys)
+    if broadcast_max_rows is not None:
+        dups, n = materialize(dups, "dup-keys")
+        if n <= broadcast_max_rows:
+            dups = F.broadcast(dups)
     cond = [F.col(k).eqNullSafe(F.col(f"_dq_key{i}")) for i, k in enumerate(keys)]
     joined = df.join(dups, cond, "left")
     return joined.select(*[F.col(c) for c in df.columns],
@@ -146,13 +158,15 @@ def mark_duplicates(df: DataFrame, unique_columns: Iterable[str], method: str =
 
 
 def tag_duplicate_check(df: DataFrame, unique_columns: Iterable[str], reason_col: str = REASON_COL,
-                        legacy_prefix: bool = False, method: str = "aggregate") -> DataFrame:
+                        legacy_prefix: bool = False, method: str = "aggregate",
+                        broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
     """Tag ``duplicate_key`` on every copy of a repeated (composite) key."""
     keys = list(unique_columns)
     df = _with_reason(df, reason_col)
     if not keys:
         return df
-    flagged = mark_duplicates(df, keys, method=method, flag_col="_dq_dup_flag")
+    flagged = mark_duplicates(df, keys, method=method, flag_col="_dq_dup_flag",
+                              broadcast_max_rows=broadcast_max_rows)
     return (
         flagged.withColumn(reason_col, append_reason(F.col(reason_col), F.col("_dq_dup_flag"),
                                                      DUPLICATE_KEY, legacy_prefix))

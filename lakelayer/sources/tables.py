@@ -87,3 +87,18 @@ def publish(spark: SparkSession, df: DataFrame, gold_dir: str, table: str,
         flat = flat.hint("rebalance", partition_col)
     overwrite_table(flat, f"{base}/{table}", fmt, [partition_col] if partition_col else None)
     return rows
+
+
+def materialize(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """Write ``df`` once to a fresh folder under the shared checkpoint folder;
+    return it read back, with its row count (observed during the write).
+
+    Cuts lineage like ``checkpoint()`` but stores Parquet, and yields the size
+    needed for a broadcast decision without a second job.
+    """
+    from lakelayer.session import work_dir
+
+    spark = df.sparkSession
+    path = work_dir(spark, label)
+    rows = _write_counted(df, path, "overwrite", "parquet")
+    return read_table(spark, path), rows
