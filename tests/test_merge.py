@@ -11,10 +11,11 @@ def _rows(df):
     return sorted((tuple(r) for r in df.collect()), key=lambda t: (t[0] is None, t[0] or "", str(t)))
 
 
-def test_update_insert_keep(spark):
+@pytest.mark.parametrize("bound", [None, 0, 1000])
+def test_update_insert_keep(spark, bound):
     target = spark.createDataFrame([("1", 1, "x", 1.0), ("2", 2, "y", 2.0), (None, 9, "n", 9.0)], SCHEMA)
     source = spark.createDataFrame([("2", 20, "Y", None), ("3", 30, "z", 3.0), (None, 8, "m", 8.0)], SCHEMA)
-    out = merge_upsert(target, source, ["id"], ["a", "c"])
+    out = merge_upsert(target, source, ["id"], ["a", "c"], broadcast_max_rows=bound)
     assert _rows(out) == [("1", 1, "x", 1.0), ("2", 20, "y", None), ("3", 30, "z", 3.0),
                           (None, 8, "m", 8.0), (None, 9, "n", 9.0)]
 
@@ -41,14 +42,23 @@ def test_repeated_source_key_fails(spark):
         merge_upsert(target, source, ["id"], ["a"])
 
 
-def test_many_null_target_keys_survive(spark):
+@pytest.mark.parametrize("bound", [0, 1000])
+def test_many_null_target_keys_survive(spark, bound):
     from pyspark.sql import functions as F
 
     target = spark.range(2000).select(
         F.when(F.col("id") % 2 == 0, F.lit(None)).otherwise(F.col("id").cast("string")).alias("id"),
         F.col("id").cast("int").alias("a"), F.lit("t").alias("b"), F.lit(0.0).alias("c"))
     source = spark.createDataFrame([("1", 100, "s", 1.0)], SCHEMA)
-    out = merge_upsert(target, source, ["id"], ["a"])
+    out = merge_upsert(target, source, ["id"], ["a"], broadcast_max_rows=bound)
     assert out.count() == 2000
     assert out.where("id = '1'").collect()[0].a == 100
     assert out.where("id is null").count() == 1000
+
+
+def test_repeated_target_key_is_updated_everywhere(spark):
+    target = spark.createDataFrame([("1", 1, "x", 1.0), ("1", 2, "y", 2.0), ("2", 3, "z", 3.0)], SCHEMA)
+    source = spark.createDataFrame([("1", 10, "s", 0.0)], SCHEMA)
+    for bound in (0, 1000):
+        out = merge_upsert(target, source, ["id"], ["a"], broadcast_max_rows=bound)
+        assert _rows(out) == [("1", 10, "x", 1.0), ("1", 10, "y", 2.0), ("2", 3, "z", 3.0)]
