@@ -26,9 +26,10 @@ LAZY = ("tag_duplicate", "dq_quarantine", "conform_reference", "supply_chain_sum
 
 
 NOTES = {
-    "tag_duplicate": "Partial + final `HashAggregate` on the key (map-side combine), then a null-safe left join "
-                     "back. A hot key is one partial row per map task; the join side is split by AQE "
-                     "(`SortMergeJoin(skew=true)`, see tests/test_quality.py) or broadcast when measured small.",
+    "tag_duplicate": "The repeated-key set (a partial + final aggregate over the key column) was written once and "
+                     "counted; here it is a Parquet scan, broadcast because the count is under the bound, so the "
+                     "rows are not shuffled. In the no-broadcast plan it is a null-safe sort-merge join, whose "
+                     "skewed partitions AQE splits (`SortMergeJoin(skew=true)`, tests/test_quality.py).",
     "dq_quarantine": "Null and numeric tags collapse into one `Project`; the reason filter sits above the join "
                      "because it depends on it. The key branch reads only the key columns.",
     "conform_reference": "`max(struct(...))` per key: `partial_max` before the exchange, so a repeated id costs one "
@@ -37,8 +38,10 @@ NOTES = {
     "daily_summary": "The fact is pre-aggregated on (date, store, product) before any join; dimensions join "
                      "each other first; one small final aggregate and a range sort of the summary.",
     "snowflake_enrich": "Two lookups instead of four chained joins; broadcast only after the bounded count.",
-    "merge_upsert": "Left join on (key, salt) and left anti join against distinct target (key, salt): the "
-                    "salt is a join key on both sides, so null-key rows are spread, not sent to one task.",
+    "merge_upsert": "The staging source was written once and counted: the target meets it in a broadcast hash "
+                    "join and is never shuffled; inserts come from a semi join of target keys with the "
+                    "broadcast source keys. Without broadcast: left join on (key, salt) and left anti join "
+                    "against distinct target (key, salt), the salt spreading null-key rows.",
     "region_category_top8": "`TakeOrderedAndProject`: per-partition top 8, then a merge of 8 rows per "
                             "partition. No global sort.",
 }
