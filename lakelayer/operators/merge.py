@@ -33,7 +33,7 @@ from typing import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakelayer.operators.placement import DEFAULT_BROADCAST_MAX_ROWS
+from lakelayer.operators.placement import AUTO, resolve_bound
 from lakelayer.sources.tables import materialize
 
 _SALT_BUCKETS = 1024
@@ -64,7 +64,7 @@ def _null_key_salt(df: DataFrame, keys: Sequence[str]) -> Column:
 def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
                  update_columns: Sequence[str], insert_columns: Sequence[str] | None = None,
                  check_unique_source: bool = True,
-                 broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+                 broadcast_max_rows=AUTO) -> DataFrame:
     """M1: the target after merging ``source`` into it (nothing is written to the target).
 
     The source is written once (Parquet under the shared checkpoint folder,
@@ -81,6 +81,7 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     if missing:
         raise ValueError(f"merge source lacks columns {sorted(missing)}")
     small = False
+    broadcast_max_rows = resolve_bound(broadcast_max_rows, source.sparkSession)
     if broadcast_max_rows is not None:
         source, n = materialize(source, "merge-source")
         small = n <= broadcast_max_rows

@@ -15,9 +15,28 @@ from typing import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Default bound for a dimension we copy to every executor. Dimension rows here
-# are a few short strings, so a million rows stay in the tens of megabytes.
+# Default bound for a side we copy to every executor. Rows here are a few
+# short strings, so a million rows stay in the tens of megabytes. A session can
+# change it with ``spark.conf.set(BROADCAST_MAX_ROWS_CONF, n)``; a negative
+# value turns the check (and the hint) off.
 DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_MAX_ROWS_CONF = "lakelayer.broadcastMaxRows"
+
+
+class _Auto:
+    def __repr__(self) -> str:
+        return "AUTO"
+
+
+AUTO = _Auto()
+
+
+def resolve_bound(value, spark) -> int | None:
+    """``AUTO`` -> the session's bound (``None`` when set negative); else ``value``."""
+    if value is not AUTO:
+        return value
+    bound = int(spark.conf.get(BROADCAST_MAX_ROWS_CONF, str(DEFAULT_BROADCAST_MAX_ROWS)))
+    return None if bound < 0 else bound
 
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
@@ -40,12 +59,13 @@ def bounded_counts(frames: Mapping[str, DataFrame], max_rows: int) -> dict[str,
     return {r["name"]: int(r["n"]) for r in reduce(lambda a, b: a.unionByName(b), parts).collect()}
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_rows=AUTO) -> DataFrame:
     """Mark ``df`` for broadcast when it is proven to have at most ``max_rows`` rows.
 
     ``max_rows=None`` skips the check and the hint: Spark decides from its
     own statistics.
     """
+    max_rows = resolve_bound(max_rows, df.sparkSession)
     if max_rows is None:
         return df
     return F.broadcast(df) if row_count_at_most(df, max_rows) else df

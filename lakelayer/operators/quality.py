@@ -28,7 +28,7 @@ from typing import Iterable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakelayer.operators.placement import DEFAULT_BROADCAST_MAX_ROWS
+from lakelayer.operators.placement import AUTO, resolve_bound
 from lakelayer.sources.tables import materialize
 from lakelayer.functions.exprs import (
     DUPLICATE_KEY,
@@ -123,7 +123,7 @@ def duplicate_keys(df: DataFrame, unique_columns: Iterable[str]) -> DataFrame:
 
 def mark_duplicates(df: DataFrame, unique_columns: Iterable[str], method: str = "aggregate",
                     flag_col: str = "_dq_is_duplicate",
-                    broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+                    broadcast_max_rows=AUTO) -> DataFrame:
     """Add boolean ``flag_col``: true on *every* copy of a repeated key.
 
     ``method="aggregate"`` (default): the repeated keys are found with a
@@ -147,6 +147,7 @@ def mark_duplicates(df: DataFrame, unique_columns: Iterable[str], method: str =
     if method != "aggregate":
         raise ValueError(f"unknown duplicate method {method!r}")
     dups = duplicate_keys(df, keys)
+    broadcast_max_rows = resolve_bound(broadcast_max_rows, df.sparkSession)
     if broadcast_max_rows is not None:
         dups, n = materialize(dups, "dup-keys")
         if n <= broadcast_max_rows:
@@ -159,7 +160,7 @@ def mark_duplicates(df: DataFrame, unique_columns: Iterable[str], method: str =
 
 def tag_duplicate_check(df: DataFrame, unique_columns: Iterable[str], reason_col: str = REASON_COL,
                         legacy_prefix: bool = False, method: str = "aggregate",
-                        broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+                        broadcast_max_rows=AUTO) -> DataFrame:
     """Tag ``duplicate_key`` on every copy of a repeated (composite) key."""
     keys = list(unique_columns)
     df = _with_reason(df, reason_col)

@@ -18,7 +18,7 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from lakelayer.operators import marts  # noqa: E402
-from lakelayer.operators.placement import DEFAULT_BROADCAST_MAX_ROWS  # noqa: E402
+from lakelayer.operators.placement import BROADCAST_MAX_ROWS_CONF, DEFAULT_BROADCAST_MAX_ROWS  # noqa: E402
 from lakelayer.plans import catalog  # noqa: E402
 
 LAZY = ("tag_duplicate", "dq_quarantine", "conform_reference", "supply_chain_summary", "daily_summary",
@@ -70,24 +70,22 @@ def main(argv):
     for name in LAZY:
         for label, large in (("as planned", False), ("no broadcast", True)):
             spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1" if large else default_threshold)
-            marts.DEFAULT_BROADCAST_MAX_ROWS = 0 if large else DEFAULT_BROADCAST_MAX_ROWS
+            spark.conf.set(BROADCAST_MAX_ROWS_CONF, "0" if large else str(DEFAULT_BROADCAST_MAX_ROWS))
             if name == "daily_summary":
-                df = marts.build_daily_summary(catalog._fact(spark, sf_dir), *catalog._dims(spark, sf_dir),
-                                               broadcast_max_rows=0 if large else DEFAULT_BROADCAST_MAX_ROWS)
+                df = marts.build_daily_summary(catalog._fact(spark, sf_dir), *catalog._dims(spark, sf_dir))
             elif name == "snowflake_enrich":
-                df = marts.enrich_sales(catalog._fact(spark, sf_dir), *catalog._dims(spark, sf_dir),
-                                        broadcast_max_rows=0 if large else DEFAULT_BROADCAST_MAX_ROWS)
+                df = marts.enrich_sales(catalog._fact(spark, sf_dir), *catalog._dims(spark, sf_dir))
             elif name == "region_category_top8":
                 from lakelayer.operators.report import top_region_categories
 
                 df = top_region_categories(marts.enrich_sales(
-                    catalog._fact(spark, sf_dir), *catalog._dims(spark, sf_dir),
-                    broadcast_max_rows=0 if large else DEFAULT_BROADCAST_MAX_ROWS), k=8)
+                    catalog._fact(spark, sf_dir), *catalog._dims(spark, sf_dir)), k=8)
             else:
                 df = catalog.QUERIES[name](spark, sf_dir)
             note = f"{NOTES[name]}\n\n" if not large and name in NOTES else ""
             print(f"## {name} ({label})\n\n{note}```\n{plan_text(df)}\n```\n")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", default_threshold)
+    spark.conf.unset(BROADCAST_MAX_ROWS_CONF)
     spark.stop()
 
 
