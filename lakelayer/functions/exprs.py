@@ -20,9 +20,10 @@ QUARANTINE_REASONS = (NULL_REQUIRED_FIELD, NON_NUMERIC_VALUE, DUPLICATE_KEY)
 REASON_SEPARATOR = ","
 REASON_COL = "_dq_failure_reason"
 
-# Characters the legacy string->int cast strips from both ends (C0 controls
-# and space), and the plain-decimal shape whose fraction it cuts off.
-_EDGE_CHARS = r"^[\x00-\x20]+|[\x00-\x20]+$"
+# Characters the legacy string->int cast strips from both ends (code points
+# 0 to 32: controls and space), and the plain-decimal shape whose fraction it
+# cuts off.
+_EDGE_CHARS = "".join(chr(i) for i in range(0x21))
 _PLAIN_DECIMAL = r"^[+-]?[0-9]*[.][0-9]*$"
 
 
@@ -69,12 +70,14 @@ def to_int_truncating(c: str | Column) -> Column:
     fraction (2), while ``try_cast("int")`` returns null for it. Strip control
     characters and spaces at both ends, reduce a plain decimal to its sign and
     integer digits (``"0"`` when there are none), then ``try_cast``. Exponents,
-    suffixes such as ``"1d"``, NaN and overflow stay null.
+    suffixes such as ``"1d"``, NaN and overflow stay null. One ``rlike`` is
+    the only regular expression: the expression is cheap enough to inline
+    wherever the optimizer copies it (join conditions get no common
+    subexpression elimination).
     """
-    stripped = F.regexp_replace(col(c).cast("string"), _EDGE_CHARS, "")
-    sign = F.regexp_extract(stripped, r"^([+-]?)", 1)
-    digits = F.regexp_extract(stripped, r"^[+-]?([0-9]*)", 1)
-    whole = F.concat(sign, F.when(digits == "", F.lit("0")).otherwise(digits))
+    stripped = F.trim(col(c).cast("string"), F.lit(_EDGE_CHARS))
+    head = F.substring_index(stripped, ".", 1)  # sign and integer digits of a plain decimal
+    whole = F.when(head.isin("", "+", "-"), F.lit("0")).otherwise(head)
     candidate = F.when(stripped.rlike(_PLAIN_DECIMAL), whole).otherwise(stripped)
     return candidate.try_cast("int")
 

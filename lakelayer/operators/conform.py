@@ -10,6 +10,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 from typing import Iterable, Mapping
 
 from pyspark.sql import DataFrame
@@ -95,12 +96,17 @@ def conform_to_schema(df: DataFrame, schema: StructType, violation_col: str = "_
             value = src
         else:
             value = src.try_cast(field.dataType)
-            problems.append(F.when(src.isNotNull() & value.isNull(), F.lit(f"cast_failed:{field.name}")))
+            problems.append((src.isNotNull() & value.isNull(), f"cast_failed:{field.name}"))
         if not field.nullable:
-            problems.append(F.when(value.isNull(), F.lit(f"null_in_not_null:{field.name}")))
+            problems.append((value.isNull(), f"null_in_not_null:{field.name}"))
         casts.append(value.alias(field.name))
-    reason = F.concat_ws(",", *problems) if problems else F.lit("")
-    checked = df.select(*casts, F.nullif(reason, F.lit("")).alias(violation_col))
-    rows = checked.drop(violation_col)
-    violations = checked.where(F.col(violation_col).isNotNull())
+    rows = df.select(*casts)
+    if not problems:
+        return ConformResult(rows, rows.withColumn(violation_col, F.lit(None).cast("string")).limit(0))
+    # Filter on a plain OR of the checks; spell out the reasons only for the
+    # rows that fail (the filter may be pushed into a join condition, where a
+    # cheap predicate matters).
+    failing = df.where(reduce(lambda a, b: a | b, [cond for cond, _ in problems]))
+    reason = F.concat_ws(",", *[F.when(cond, F.lit(text)) for cond, text in problems])
+    violations = failing.select(*casts, reason.alias(violation_col))
     return ConformResult(rows, violations)
