@@ -161,3 +161,65 @@ def test_placement_hints(spark):
     for table, placement in WAREHOUSE_PLACEMENT.items():
         assert place_for_write(df, placement).count() == 100
     assert bounded_counts({"a": df, "b": df.limit(3)}, 10) == {"a": 11, "b": 3}
+
+
+def test_enforce_header_rejects_swapped_columns(spark):
+    base = work_dir(spark, "hdr").replace("file:", "")
+    path = f"{base}/t.csv"
+    _write_text(path, "transaction_ts,transaction_id,store_id,product_id,quantity,unit_price,payment_type\n"
+                      "2026-06-01 10:00:00,T1,S1,P1,2,10.0,card\n")
+    # Default: binds by position, silently (the timestamp text lands in transaction_id).
+    assert read_typed_csv(spark, path, TRANSACTIONS).collect()[0].transaction_id == "2026-06-01 10:00:00"
+    with pytest.raises(Exception):
+        read_typed_csv(spark, path, TRANSACTIONS, enforce_header=True).collect()
+
+
+def _plan(df):
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()
+
+
+def test_partitioned_fact_prunes_dates_and_export_matches(spark, sf_small):
+    from lakelayer.plans import catalog
+    from lakelayer.sources.tables import publish, read_table
+
+    gold = work_dir(spark, "pub")
+    rows = publish(spark, catalog._fact(spark, sf_small), gold, "fact_sales", partition_col="date_key")
+    table = read_table(spark, f"{gold}/fact_sales")
+    assert rows == table.count() == read_table(spark, f"{gold}/fact_sales_parquet").count()
+    one_year = table.where((F.col("date_key") >= "1996-01-01") & (F.col("date_key") < "1997-01-01"))
+    plan = _plan(one_year)
+    assert "PartitionFilters: [isnotnull(date_key" in plan and "1996-01-01" in plan
+    assert one_year.count() < rows
+
+
+def test_silver_reads_only_its_outcome_partition(spark, sf_small):
+    from lakelayer.plans.medallion import OUTCOME_COL
+    from lakelayer.sources.tables import overwrite_table, read_table
+
+    base = work_dir(spark, "outcome")
+    df = spark.createDataFrame([(1, "clean"), (2, "quarantined")], f"id int, {OUTCOME_COL} string")
+    overwrite_table(df, base, partition_by=[OUTCOME_COL])
+    clean = read_table(spark, base).where(F.col(OUTCOME_COL) == "clean")
+    assert "PartitionFilters: [isnotnull(_dq_outcome" in _plan(clean)
+    assert [r.id for r in clean.collect()] == [1]
+
+
+LAZY_QUERIES = ["tag_null", "tag_numeric", "tag_duplicate", "dq_quarantine", "cast_transactions",
+                "conform_reference", "fact_sales", "supply_chain_summary", "snowflake_enrich", "daily_summary",
+                "warehouse_conform", "warehouse_violations", "merge_upsert", "revenue_total", "dim_counts",
+                "region_category_top8", "supplier_top5"]
+
+
+@pytest.mark.parametrize("name", LAZY_QUERIES)
+def test_no_python_in_plans(spark, sf_small, name):
+    import __spark_entry__ as entry
+
+    plan = _plan(entry.queries()[name](spark, sf_small))
+    for marker in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "MapInPandas", "FlatMapGroupsInPandas"):
+        assert marker not in plan
