@@ -61,6 +61,19 @@ def top_region_categories(enriched: DataFrame, k: int = 8, ids_unique: bool = Tr
     return totals.orderBy(F.desc("total_revenue"), *keys).limit(k)
 
 
+def top_region_categories_from_fact(fact_sales: DataFrame, products: DataFrame, categories: DataFrame,
+                                   stores: DataFrame, regions: DataFrame, k: int = 8,
+                                   ids_unique: bool = True) -> DataFrame:
+    """A12 + T2 from the fact and the dimensions, through ``summarize_sales``:
+    the fact is shrunk before any shuffle join, then null groups are dropped
+    and the top ``k`` taken."""
+    from lakelayer.operators.marts import summarize_sales
+
+    keys = ["region_name", "category_name"]
+    totals = summarize_sales(fact_sales, products, categories, stores, regions, keys, ids_unique)
+    return totals.dropna(subset=keys).orderBy(F.desc("total_revenue"), *keys).limit(k)
+
+
 def top_supply_pairs(supply_chain: DataFrame, k: int = 5) -> DataFrame:
     """A11 + T3: product x supplier units and shipment ids (non-null), top ``k`` by units."""
     keys = ["product_id", "supplier_id"]

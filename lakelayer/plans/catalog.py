@@ -39,7 +39,7 @@ from lakelayer.operators.quality import (
 from lakelayer.operators.report import (
     dimension_counts,
     revenue_total,
-    top_region_categories,
+    top_region_categories_from_fact,
     top_supply_pairs,
 )
 from lakelayer.plans.medallion import (
@@ -89,8 +89,7 @@ def _fact(spark, d):
 
 
 def _silver_reference(spark, d):
-    src = driver.retail_sources(spark, d)
-    src.pop("transactions")
+    src = {name: build(spark, d) for name, build in driver.BUILDERS.items() if name != "transactions"}
     return conform_reference_tables(src, order_by=DEFAULT_REFERENCE_ORDER)
 
 
@@ -311,7 +310,7 @@ def dim_counts(spark, d):
 
 
 def region_category_top8(spark, d):
-    return top_region_categories(enrich_sales(_fact(spark, d), *_dims(spark, d)), k=8)
+    return top_region_categories_from_fact(_fact(spark, d), *_dims(spark, d), k=8)
 
 
 def supplier_top5(spark, d):
