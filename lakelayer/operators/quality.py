@@ -39,6 +39,7 @@ from lakelayer.functions.exprs import (
     append_reason,
     is_blank,
     is_non_numeric,
+    to_int_truncating,
 )
 
 _DUP_FLAG = "_dq_dup"
@@ -52,6 +53,10 @@ class QualityRules:
     numeric_columns: tuple[str, ...] = ()
     unique_columns: tuple[str, ...] = ()
     max_quarantine_pct: float = 5.0
+    # Strict types: numeric columns that silver casts to int. A value that
+    # parses as a number but not as an int ("1e3", "NaN", overflow) then fails
+    # the numeric check instead of becoming a null quantity in silver.
+    integer_columns: tuple[str, ...] = ()
 
     @classmethod
     def from_mapping(cls, rules: Mapping) -> "QualityRules":
@@ -60,6 +65,7 @@ class QualityRules:
             numeric_columns=tuple(rules.get("numeric_columns", ())),
             unique_columns=tuple(rules.get("unique_columns", ())),
             max_quarantine_pct=float(rules.get("max_quarantine_pct", 5.0)),
+            integer_columns=tuple(rules.get("integer_columns", ())),
         )
 
 
@@ -73,6 +79,16 @@ TRANSACTION_RULES = QualityRules(
 )
 
 
+# The same rules with strict types: quantity must cast to int.
+STRICT_TRANSACTION_RULES = QualityRules(
+    not_null_columns=TRANSACTION_RULES.not_null_columns,
+    numeric_columns=TRANSACTION_RULES.numeric_columns,
+    unique_columns=TRANSACTION_RULES.unique_columns,
+    max_quarantine_pct=TRANSACTION_RULES.max_quarantine_pct,
+    integer_columns=("quantity",),
+)
+
+
 class QuarantineRateExceeded(RuntimeError):
     """Raised by ``enforce_threshold`` when the bad-row rate is above the limit."""
 
@@ -99,10 +115,15 @@ def tag_null_check(df: DataFrame, not_null_columns: Iterable[str], reason_col: s
 
 
 def tag_numeric_check(df: DataFrame, numeric_columns: Iterable[str], reason_col: str = REASON_COL,
-                      legacy_prefix: bool = False) -> DataFrame:
-    """Tag ``non_numeric_value`` if any listed column is present but not a number."""
-    return _tag(df, any_of(is_non_numeric(c) for c in numeric_columns), NON_NUMERIC_VALUE,
-                reason_col, legacy_prefix)
+                      legacy_prefix: bool = False, integer_columns: Iterable[str] = ()) -> DataFrame:
+    """Tag ``non_numeric_value`` if any listed column is present but not a number.
+
+    Columns also in ``integer_columns`` must in addition cast to int (strict types).
+    """
+    integer_columns = set(integer_columns)
+    checks = [is_non_numeric(c) | (F.col(c).isNotNull() & to_int_truncating(c).isNull())
+              if c in integer_columns else is_non_numeric(c) for c in numeric_columns]
+    return _tag(df, any_of(checks), NON_NUMERIC_VALUE, reason_col, legacy_prefix)
 
 
 def duplicate_keys(df: DataFrame, unique_columns: Iterable[str]) -> DataFrame:
@@ -180,7 +201,8 @@ def tag_quality(df: DataFrame, rules: QualityRules, reason_col: str = REASON_COL
     """All rows, each with its reason (null when the row passed every check)."""
     tagged = df.withColumn(reason_col, F.lit(None).cast("string"))
     tagged = tag_null_check(tagged, rules.not_null_columns, reason_col, legacy_prefix)
-    tagged = tag_numeric_check(tagged, rules.numeric_columns, reason_col, legacy_prefix)
+    tagged = tag_numeric_check(tagged, rules.numeric_columns, reason_col, legacy_prefix,
+                               rules.integer_columns)
     return tag_duplicate_check(tagged, rules.unique_columns, reason_col, legacy_prefix,
                                method=duplicate_method)
 
