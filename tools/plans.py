@@ -35,15 +35,16 @@ NOTES = {
     "conform_reference": "`max(struct(...))` per key: `partial_max` before the exchange, so a repeated id costs one "
                          "row per map task. No window and no sort of a whole key group in one task.",
     "supply_chain_summary": "Partial + final aggregate on (product, supplier) after the dedupe aggregate.",
-    "daily_summary": "The fact is pre-aggregated on (date, store, product) before any join; dimensions join "
-                     "each other first; one small final aggregate and a range sort of the summary.",
+    "daily_summary": "Lookups proven small are broadcast: map-side joins, one partial + final aggregate, and a "
+                     "range sort of the small summary. Without broadcast, the fact is first pre-aggregated on "
+                     "(date, store, product), so the shuffle joins see one row per group, not per sale.",
     "snowflake_enrich": "Two lookups instead of four chained joins; broadcast only after the bounded count.",
     "merge_upsert": "The staging source was written once and counted: the target meets it in a broadcast hash "
                     "join and is never shuffled; inserts come from a semi join of target keys with the "
                     "broadcast source keys. Without broadcast: left join on (key, salt) and left anti join "
                     "against distinct target (key, salt), the salt spreading null-key rows.",
-    "region_category_top8": "`TakeOrderedAndProject`: per-partition top 8, then a merge of 8 rows per "
-                            "partition. No global sort.",
+    "region_category_top8": "The same size-aware summary without the date, then `TakeOrderedAndProject`: "
+                            "per-partition top 8 and a merge of 8 rows per partition. No global sort.",
 }
 
 
@@ -75,11 +76,6 @@ def main(argv):
                 df = marts.build_daily_summary(catalog._fact(spark, sf_dir), *catalog._dims(spark, sf_dir))
             elif name == "snowflake_enrich":
                 df = marts.enrich_sales(catalog._fact(spark, sf_dir), *catalog._dims(spark, sf_dir))
-            elif name == "region_category_top8":
-                from lakelayer.operators.report import top_region_categories
-
-                df = top_region_categories(marts.enrich_sales(
-                    catalog._fact(spark, sf_dir), *catalog._dims(spark, sf_dir)), k=8)
             else:
                 df = catalog.QUERIES[name](spark, sf_dir)
             note = f"{NOTES[name]}\n\n" if not large and name in NOTES else ""
