@@ -52,7 +52,9 @@ def plan_text(df) -> str:
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
         df.explain()
-    return buf.getvalue().strip()
+    text = buf.getvalue().strip()
+    # Control characters (the legacy-cast trim set) are shown escaped.
+    return "".join(c if c >= " " or c == "\n" else f"\\x{ord(c):02x}" for c in text)
 
 
 def main(argv):
