@@ -223,3 +223,17 @@ def test_no_python_in_plans(spark, sf_small, name):
     plan = _plan(entry.queries()[name](spark, sf_small))
     for marker in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "MapInPandas", "FlatMapGroupsInPandas"):
         assert marker not in plan
+
+
+def test_silver_fails_the_run_on_alert_when_asked(spark, sf_small):
+    from lakelayer.operators.quality import QuarantineRateExceeded
+    from lakelayer.plans.medallion import LayerPaths, land_raw_extract, run_bronze, run_silver
+    from lakelayer.sources import driver
+
+    paths = LayerPaths(work_dir(spark, "alert"))
+    land_raw_extract({"transactions": driver.transactions(spark, sf_small)}, paths.raw)
+    run_bronze(spark, paths, tables=("transactions",))
+    report = run_silver(spark, paths, reference_tables=())  # default: warn only
+    assert report.status == "ALERT" and report.quarantine_pct > 5.0
+    with pytest.raises(QuarantineRateExceeded):
+        run_silver(spark, paths, reference_tables=(), fail_on_alert=True)
