@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from lakelayer.llm.packing import pack_documents
+from lakelayer.llm.shuffle import shuffle_into_shards
 from lakelayer.llm.tokens import public_path
 from lakelayer.llm.wavelet import token_shards
 
@@ -12,10 +15,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids in windows of 2048, placed by histogram packing."""
+    placed = pack_documents(table(spark, sf_dir, "documents"), public_path("word_bpe_49k.json"))
+    return placed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
 def op2_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level ids of every document, written as wavelet matrices and read back."""
     return token_shards(table(spark, sf_dir, "documents"), public_path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op2_wavelet_tokens,)}
+def op4_shuffle_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in one of 8 shards, uniformly at random, with shard counts at most one apart."""
+    text = F.coalesce("text", F.lit(""))
+    rows = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        (F.octet_length("text") + 1).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"))
+    rows = rows.withColumn("size", F.coalesce("size", F.lit(1)).cast("long"))
+    dealt = shuffle_into_shards(rows, 8, ["doc_id", "size", "text_crc32"])
+    return dealt.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard",
+                        F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+
+
+QUERIES = {f.__name__: f for f in (op1_pack_sequences, op2_wavelet_tokens, op4_shuffle_shards)}
 ORACLE_SQL: dict[str, str] = {}
