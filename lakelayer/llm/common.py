@@ -13,6 +13,14 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return materialize(df, label)[0]
 
 
+def spare_name(df: DataFrame, name: str) -> str:
+    """``name`` with underscores before it until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def totals_before(sizes: DataFrame, block: str, order: str, amount: str, out: str) -> DataFrame:
     """Add ``out``: the sum of ``amount`` over all rows that come before, by (block, order).
 

@@ -129,8 +129,7 @@ def _tokenize(batches: Iterator[pa.RecordBatch], path: str, window: int) -> Iter
     step = 4 * window
     for batch in batches:
         keys, starts, totals, pieces, held = [], [], [], [], 0
-        texts = (t or "" for t in batch.column("text").to_pylist())
-        for key, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(texts)):
+        for key, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text"))):
             ids += end
             for at in range(0, len(ids), step):
                 keys.append(key)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakelayer.llm.packing import pack_documents
+from lakelayer.llm.quality_rules import judge
 from lakelayer.llm.shuffle import shuffle_into_shards
 from lakelayer.llm.tokens import public_path
 from lakelayer.llm.wavelet import token_shards
@@ -39,5 +40,10 @@ def op4_shuffle_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pack_sequences, op2_wavelet_tokens, op4_shuffle_shards)}
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality measures and the cascade's verdict of every document."""
+    return judge(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_pack_sequences, op2_wavelet_tokens, op4_shuffle_shards, op9_quality_rules)}
 ORACLE_SQL: dict[str, str] = {}

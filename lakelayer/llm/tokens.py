@@ -1,10 +1,11 @@
-"""Tokenizer ids for whole texts, with a memo of chunk ids.
+"""Tokenizer ids for columns of whole texts.
 
 Both vocabularies split a text into small pieces before merging, and no piece
-spans a place where white space follows other characters. A text of plain
-Latin characters is therefore cut at those places, and every distinct chunk is
-given to the tokenizer once per worker (the memo is bounded). Any other text
-is given to the tokenizer whole. Both ways return the tokenizer's own ids.
+spans a place where white space follows other characters. Texts of plain Latin
+characters are therefore split at white space by Arrow, the distinct chunks of
+a batch are given to the tokenizer's model (with a bounded memo of pieces), and
+the ids are gathered with numpy. Any other text is given to the tokenizer
+whole. Both ways return the tokenizer's own ids.
 """
 
 from __future__ import annotations
@@ -13,15 +14,21 @@ import os
 import re
 import sys
 import unicodedata
+from array import array
+from collections.abc import Iterator
 from types import ModuleType
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-# Printable characters up to Latin Extended-B, with blank and newline as the only white space.
-PLAIN = re.compile("[\n\x20-\x7e\u00a1-\u024f]*")
-PLAIN_CHARS = ["\n", *map(chr, range(0x20, 0x7F)), *map(chr, range(0xA1, 0x250))]
-CHUNKS = re.compile("[ \n]*[^ \n]+|[ \n]+")
-MEMO_ENTRIES = 500_000
+# Plain: printable characters up to Latin Extended-B; white space is blank and newline only.
+# (U+0130 is left out: its lower case is not one of them.)
+PLAIN_CHARS = ["\n", *map(chr, range(0x20, 0x7F)), *map(chr, range(0xA1, 0x130)), *map(chr, range(0x131, 0x250))]
+NOT_PLAIN = "[^\n\x20-\x7e\u00a1-\u012f\u0131-\u024f]"
+SPACE_RUN = "[ \n][ \n]"
+PIECES_KEPT = 1_000_000
+GATHER_TOKENS = 2_000_000
 
 # How the two public vocabularies split a text into pieces (their
 # own patterns; L and N stand for the classes of letters and numbers).
@@ -42,71 +49,88 @@ def piece_pattern(pattern: str) -> re.Pattern:
     return re.compile(pattern.translate({ord(k): v for k, v in of.items()}))
 
 
-class ChunkEncoder:
+class ColumnEncoder:
     """``encode(texts)`` gives each text's ids as little-endian uint32 bytes.
 
     ``keeps_space``: whether white space is part of the ids (byte-level
-    vocabularies) or dropped (word vocabularies, which also lower-case). A new
-    chunk is split by the vocabulary's pattern and each new piece goes to the
-    tokenizer's model; a call of ``encode`` costs several times as much for so
-    short a string.
+    vocabularies) or dropped (word vocabularies, which also lower-case).
     """
 
-    def __init__(self, path: str, keeps_space: bool, memo_entries: int = MEMO_ENTRIES):
+    def __init__(self, path: str, keeps_space: bool, pieces_kept: int = PIECES_KEPT):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         # Strings of special tokens inside a text are ordinary text.
         self.tokenizer.encode_special_tokens = True
-        self.lower = not keeps_space
-        self.cut = CHUNKS.findall if keeps_space else str.split
+        self.keeps_space = keeps_space
+        self.odd = f"{NOT_PLAIN}|{SPACE_RUN}" if keeps_space else NOT_PLAIN
         self.split = piece_pattern(BYTE_PIECES if keeps_space else WORD_PIECES).findall
         spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self.spelled = {ord(c): spell(c)[0][0] for c in PLAIN_CHARS}
-        self.limit = memo_entries
-        # Two generations: the older one keeps frequent chunks when the newer one is full.
-        self.memo, self.older = _Memo(self._chunk), {}
-        self.pieces = _Memo(self._piece)
-
-    def _piece(self, piece: str) -> bytes:
-        tokens = self.tokenizer.model.tokenize(piece.translate(self.spelled))
-        return np.array([t.id for t in tokens], dtype="<u4").tobytes()
-
-    def _chunk(self, chunk: str) -> bytes:
-        known = self.older.get(chunk)
-        if known is not None:
-            return known
-        found = self.split(chunk.lower() if self.lower else chunk)
-        return b"".join(map(self.pieces.__getitem__, found))
-
-    def _one(self, text: str) -> bytes:
-        if not PLAIN.fullmatch(text):
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-            return np.asarray(ids, dtype="<u4").tobytes()
-        if len(self.memo) > self.limit:
-            self.older = dict(self.memo)
-            self.memo.clear()
-        if len(self.pieces) > self.limit:
+        self.pieces: dict[str, array] = {}
+        self.kept = pieces_kept
+
+    def _chunk(self, chunk: str) -> list[array]:
+        found = []
+        for piece in self.split(chunk if self.keeps_space else chunk.lower()):
+            ids = self.pieces.get(piece)
+            if ids is None:
+                spelled = piece.translate(self.spelled)
+                ids = self.pieces[piece] = array("I", [t.id for t in self.tokenizer.model.tokenize(spelled)])
+            found.append(ids)
+        return found
+
+    def _gathered(self, texts: pa.Array) -> Iterator[bytes]:
+        """Ids of plain texts."""
+        if len(self.pieces) > self.kept:
             self.pieces.clear()
-        return b"".join(map(self.memo.__getitem__, self.cut(text)))
-
-    def encode(self, texts):
-        """Yield the ids of each text, in order."""
-        return map(self._one, texts)
-
-
-class _Memo(dict):
-    def __init__(self, make):
-        super().__init__()
-        self.make = make
-
-    def __missing__(self, key: str) -> bytes:
-        value = self[key] = self.make(key)
-        return value
-
-
-def worker_encoder(path: str, keeps_space: bool) -> ChunkEncoder:
+        lists = pc.split_pattern(texts, " ") if self.keeps_space else pc.ascii_split_whitespace(texts)
+        coded = lists.flatten().dictionary_encode()
+        chunks = coded.dictionary.to_pylist()
+        ids, ends = array("I"), array("q", [0])
+        for chunk in chunks:
+            for part in self._chunk(f" {chunk}" if self.keeps_space else chunk):
+                ids.extend(part)
+            ends.append(len(ids))
+        ids = np.frombuffer(ids, dtype="<u4") if len(ids) else np.zeros(0, "<u4")
+        ends = np.frombuffer(ends, dtype=np.int64)
+        at = coded.indices.to_numpy(zero_copy_only=False)
+        starts, lengths = ends[:-1][at], np.diff(ends)[at]
+        offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        first = [b""] * len(texts)
+        if self.keeps_space:  # the first chunk of a text has no blank before it
+            full = np.flatnonzero(np.diff(offsets))
+            lengths[offsets[full]] = 0
+            for row in full.tolist():
+                head = chunks[at[offsets[row]]]
+                first[row] = b"".join(part.tobytes() for part in self._chunk(head))
+        before = np.concatenate((np.zeros(1, np.int64), np.cumsum(lengths)))[offsets]
+        row = 0
+        while row < len(texts):
+            stop = max(row + 1, int(np.searchsorted(before, before[row] + GATHER_TOKENS, side="right")) - 1)
+            own = slice(offsets[row], offsets[stop])
+            size = lengths[own]
+            shift = np.repeat(starts[own] - (np.cumsum(size) - size), size)
+            flat = ids[shift + np.arange(len(shift))]
+            cuts = (before[row:stop + 1] - before[row]).tolist()
+            for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
+                yield first[row + i] + flat[a:b].tobytes()
+            row = stop
+
+    def encode(self, texts: pa.Array) -> Iterator[bytes]:
+        """Yield the ids of each text, in order; null counts as empty."""
+        texts = texts.fill_null("")
+        odd = pc.match_substring_regex(texts, self.odd)
+        plain = self._gathered(texts.filter(pc.invert(odd)))
+        for strange, text in zip(odd, texts):
+            if strange.as_py():
+                yield array("I", self.tokenizer.encode(text.as_py(), add_special_tokens=False).ids).tobytes()
+            else:
+                yield next(plain)
+
+
+def worker_encoder(path: str, keeps_space: bool) -> ColumnEncoder:
     """This Python worker's encoder; Spark reuses workers, so its memo serves later tasks too.
 
     Kept outside this module because functions reach executors by value.
@@ -114,5 +138,5 @@ def worker_encoder(path: str, keeps_space: bool) -> ChunkEncoder:
     held = sys.modules.setdefault("_lakelayer_llm_worker", ModuleType("_lakelayer_llm_worker"))
     known = held.__dict__.setdefault("encoders", {})
     if (path, keeps_space) not in known:
-        known[path, keeps_space] = ChunkEncoder(path, keeps_space)
+        known[path, keeps_space] = ColumnEncoder(path, keeps_space)
     return known[path, keeps_space]

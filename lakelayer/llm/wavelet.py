@@ -185,8 +185,7 @@ def _encode_partition(batches: Iterator[pa.RecordBatch], path: str, shard_tokens
             "matrix": pa.array([write_entry(keys, lengths, ids)], pa.binary())})
 
     for batch in batches:
-        texts = (t or "" for t in batch.column("text").to_pylist())
-        for key, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(texts)):
+        for key, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text"))):
             tokens = len(ids) // 4 + 1
             if keys and held + tokens > shard_tokens:
                 yield entry()
