@@ -29,7 +29,7 @@ WINDOW = 2048
 CLASSES = 256
 DEPTH = 3
 END_ID = 1
-BLOCK_ROWS = 50_000
+BLOCK_ROWS = 10_000
 
 
 def fillings(classes: int, depth: int = DEPTH) -> list[tuple[int, ...]]:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakelayer.llm.decontaminate import scan
 from lakelayer.llm.packing import pack_documents
 from lakelayer.llm.quality_rules import judge
 from lakelayer.llm.shuffle import shuffle_into_shards
@@ -40,10 +41,19 @@ def op4_shuffle_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside 13-word windows of the benchmark, and the verdict."""
+    found = scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality measures and the cascade's verdict of every document."""
     return judge(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pack_sequences, op2_wavelet_tokens, op4_shuffle_shards, op9_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_pack_sequences, op2_wavelet_tokens, op4_shuffle_shards, op7_decontaminate,
+                                  op9_quality_rules)}
 ORACLE_SQL: dict[str, str] = {}
