@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakelayer.llm.decontaminate import scan
 from lakelayer.llm.packing import pack_documents
+from lakelayer.llm.pii import KINDS, find_personal_data
 from lakelayer.llm.quality_rules import judge
 from lakelayer.llm.shuffle import shuffle_into_shards
 from lakelayer.llm.tokens import public_path
@@ -41,6 +42,24 @@ def op4_shuffle_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
 
 
+def spelled(spans: Column) -> Column:
+    """Spans as kind:start:stop, comma-joined."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",")
+
+
+def of_kind(kind: str) -> Column:
+    return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: base kinds, and identifiers found by their context."""
+    found = find_personal_data(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] != "context")
+    counts = [of_kind(kind).alias(f"n_{kind}") for kind in KINDS]
+    return found.select("doc_id", *counts, F.sha2(spelled(base).cast("binary"), 256).alias("base_sha256"),
+                        spelled(F.col("spans")).alias("spans"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document inside 13-word windows of the benchmark, and the verdict."""
     found = scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -54,6 +73,6 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pack_sequences, op2_wavelet_tokens, op4_shuffle_shards, op7_decontaminate,
+QUERIES = {f.__name__: f for f in (op1_pack_sequences, op2_wavelet_tokens, op4_shuffle_shards, op6_personal_data, op7_decontaminate,
                                   op9_quality_rules)}
 ORACLE_SQL: dict[str, str] = {}
