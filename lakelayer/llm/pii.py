@@ -124,11 +124,8 @@ def discover(found: DataFrame, docs: DataFrame, rounds: int = ROUNDS, support: i
     patterns; at ``known`` it becomes known. Counts are over all documents.
     """
     seeds = found.where("base")
-    # Tokens that hold a seed, or are part of one, are not unseen.
-    held = F.lit(False)
-    for kind in KINDS:
-        held = held | F.col("value").rlike(PATTERNS[kind].replace(r"(?:\G|", "(?:"))
-    tokens = found.where(F.col("kind") == "token").where(~held)
+    # A token that shares characters with a seed is not unseen.
+    tokens = found.where(F.col("kind") == "token")
     inside = seeds.select("key", F.col("start").alias("a"), F.col("stop").alias("b"))
     tokens = tokens.join(inside, (tokens["key"] == inside["key"]) & (tokens["start"] < inside["b"])
                          & (tokens["stop"] > inside["a"]), "left_anti")
