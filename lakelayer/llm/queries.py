@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakelayer.llm.backoff import score_documents
 from lakelayer.llm.decontaminate import scan
 from lakelayer.llm.packing import pack_documents
 from lakelayer.llm.pii import KINDS, find_personal_data
@@ -73,6 +74,11 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents"))
 
 
+def op10_backoff_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stupid-backoff score of every document against the rest of the corpus."""
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_pack_sequences, op2_wavelet_tokens, op4_shuffle_shards, op6_personal_data, op7_decontaminate,
-                                  op9_quality_rules)}
+                                  op9_quality_rules, op10_backoff_scores)}
 ORACLE_SQL: dict[str, str] = {}
