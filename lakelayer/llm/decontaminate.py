@@ -13,10 +13,12 @@ come from two shorter runs each, so a window costs four hash steps, not 13.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakelayer.llm.common import spare_name, stage
+from lakelayer.llm.common import stage
 
 SPAN = 13
 # Characters that part words: ASCII other than 0-9 and a-z, after lower-casing.
@@ -30,33 +32,38 @@ def normal(text: Column) -> Column:
 
 def words_of(text: Column) -> Column:
     """Words of a text; no element for null or empty text."""
-    return F.filter(F.split(normal(text), PARTS), lambda w: w != "")
+    return F.array_remove(F.split(normal(text), PARTS), "")
 
 
-def run_hashes(hashes: Column, length: int) -> Column:
-    """Hashes of all runs of ``length`` neighbours in an array; empty if there are fewer.
+def with_run_hashes(df: DataFrame, hashes: str, lengths: list[int]) -> DataFrame:
+    """Add ``run<n>`` for every n of ``lengths``: hashes of all runs of n neighbours in array ``hashes``.
 
-    Built from the runs of the powers of two in ``length``. A run's hash is a
-    function of its elements alone, so equal runs have equal hashes anywhere.
+    Built from the runs of powers of two, one column each, so that every array
+    is computed once. A run's hash depends on its elements alone, so equal runs
+    have equal hashes anywhere. Fewer than n elements give an empty array.
     """
-    def tail(values: Column, start: int) -> Column:
-        return F.slice(values, start + 1, F.greatest(F.size(values) - start, F.lit(0)))
-
-    def join(left: Column, right: Column) -> Column:
-        # Positions past the shorter side give null and are cut off below.
-        return F.zip_with(left, right, lambda a, b: F.xxhash64(a, b))
-
-    powers, size = {1: hashes}, 1
-    while size * 2 <= length:
-        powers[size * 2] = join(powers[size], tail(powers[size], size))
-        size *= 2
-    built, have = None, 0
-    for size in sorted(powers, reverse=True):
-        if length & size:
-            part = powers[size]
-            built = part if built is None else join(built, tail(part, have))
-            have += size
-    return F.slice(built, 1, F.greatest(F.size(hashes) - (length - 1), F.lit(0)))
+    def joined(left: str, right: str, skip: int) -> Column:
+        # Each run of the left column with the run that starts ``skip`` elements later.
+        count = F.greatest(F.size(right) - skip, F.lit(0))
+        return F.zip_with(F.slice(left, 1, count), F.slice(right, skip + 1, count), lambda a, b: F.xxhash64(a, b))
+
+    columns = list(df.columns)
+    built = {1: hashes}
+    size = 1
+    while size * 2 <= max(lengths):
+        name = f"power{size * 2}"
+        df = df.withColumn(name, joined(built[size], built[size], size))
+        built[size * 2], size = name, size * 2
+    for n in lengths:
+        parts = [p for p in sorted(built, reverse=True) if n & p]
+        own, have = built[parts[0]], parts[0]
+        for part in parts[1:]:
+            name = f"run{n}" if have + part == n else f"run{n}_{have + part}"
+            df = df.withColumn(name, joined(own, built[part], have))
+            own, have = name, have + part
+        if len(parts) == 1:
+            df = df.withColumn(f"run{n}", F.col(own))
+    return df.select(*columns, *(f"run{n}" for n in lengths))
 
 
 def item_windows(benchmark: DataFrame, span: int = SPAN) -> DataFrame:
@@ -70,9 +77,9 @@ def item_windows(benchmark: DataFrame, span: int = SPAN) -> DataFrame:
 
 
 def with_hash(windows: DataFrame, lengths: list[int]) -> DataFrame:
-    hashed = F.transform("words", lambda w: F.xxhash64(w))
-    cases = F.coalesce(*(F.when(F.col("length") == n, F.element_at(run_hashes(hashed, n), 1)) for n in lengths))
-    return windows.withColumn("hash", cases)
+    hashed = with_run_hashes(windows.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w))), "hashes", lengths)
+    own = F.coalesce(*(F.when(F.col("length") == n, F.get(f"run{n}", F.lit(0))) for n in lengths))
+    return hashed.withColumn("hash", own).select(*windows.columns, "hash")
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, most_broadcast: int = MOST_BROADCAST) -> DataFrame:
@@ -98,10 +105,11 @@ def scan(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, most_broadcast
     windows = with_hash(windows, lengths)
 
     hashed = rows.select("key", F.transform(words_of(F.col("text")), lambda w: F.xxhash64(w)).alias("hashes"))
-    by_length = [F.struct(F.lit(n).alias("length"), run_hashes(F.col("hashes"), n).alias("runs")) for n in lengths]
-    runs = hashed.select("key", F.explode(F.array(*by_length)).alias("own")) if len(lengths) > 1 else hashed.select(
-        "key", by_length[0].alias("own"))
-    runs = runs.select("key", "own.length", F.posexplode("own.runs").alias("at", "hash"))
+    hashed = with_run_hashes(hashed, "hashes", lengths)
+    # The outer form keeps Spark from filtering on the arrays' sizes below the columns that
+    # build them, which would spell out every column in terms of the text again.
+    by_length = [hashed.select("key", F.lit(n).alias("length"), F.posexplode_outer(f"run{n}").alias("at", "hash")) for n in lengths]
+    runs = reduce(DataFrame.union, by_length)
     keys = windows.select("length", "hash").distinct()
     met = runs.join(F.broadcast(keys) if small else keys, ["length", "hash"])
     # Equal rows give equal hits; a key's hits are at most its text's windows.
