@@ -71,9 +71,12 @@ class ColumnEncoder:
         self.pieces: dict[str, array] = {}
         self.kept = pieces_kept
 
-    def _chunk(self, chunk: str) -> list[array]:
+    def _chunk(self, chunk: str, blank: str) -> list[array]:
+        """Ids of a chunk's pieces; ``blank`` stands before it in the text, if that is part of the ids."""
+        text = f"{blank}{chunk}" if self.keeps_space else chunk.lower()
         found = []
-        for piece in self.split(chunk if self.keeps_space else chunk.lower()):
+        # ASCII letters alone are one piece.
+        for piece in (text,) if chunk.isascii() and chunk.isalpha() else self.split(text):
             ids = self.pieces.get(piece)
             if ids is None:
                 spelled = piece.translate(self.spelled)
@@ -90,7 +93,7 @@ class ColumnEncoder:
         chunks = coded.dictionary.to_pylist()
         ids, ends = array("I"), array("q", [0])
         for chunk in chunks:
-            for part in self._chunk(f" {chunk}" if self.keeps_space else chunk):
+            for part in self._chunk(chunk, " "):
                 ids.extend(part)
             ends.append(len(ids))
         ids = np.frombuffer(ids, dtype="<u4") if len(ids) else np.zeros(0, "<u4")
@@ -104,7 +107,7 @@ class ColumnEncoder:
             lengths[offsets[full]] = 0
             for row in full.tolist():
                 head = chunks[at[offsets[row]]]
-                first[row] = b"".join(part.tobytes() for part in self._chunk(head))
+                first[row] = b"".join(part.tobytes() for part in self._chunk(head, ""))
         before = np.concatenate((np.zeros(1, np.int64), np.cumsum(lengths)))[offsets]
         row = 0
         while row < len(texts):
