@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lakelayer.llm.backoff import score_documents
 from lakelayer.llm.decontaminate import scan
+from lakelayer.llm.jaccard import link_groups
 from lakelayer.llm.packing import pack_documents
 from lakelayer.llm.pii import KINDS, find_personal_data
 from lakelayer.llm.quality_rules import judge
@@ -69,6 +70,11 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size of every document's set of 3-word shingles, and its group at Jaccard 0.9 or more."""
+    return link_groups(table(spark, sf_dir, "documents"), 3, 9, 10).select("doc_id", "n_shingles", "component_id")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality measures and the cascade's verdict of every document."""
     return judge(table(spark, sf_dir, "documents"))
@@ -80,5 +86,5 @@ def op10_backoff_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_pack_sequences, op2_wavelet_tokens, op4_shuffle_shards, op6_personal_data, op7_decontaminate,
-                                  op9_quality_rules, op10_backoff_scores)}
+                                  op8_jaccard_join, op9_quality_rules, op10_backoff_scores)}
 ORACLE_SQL: dict[str, str] = {}
