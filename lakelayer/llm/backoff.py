@@ -27,8 +27,8 @@ from lakelayer.llm.words import runs, word_hashes
 
 ORDER = 2
 BACKOFF = 0.4
-BLOCK_BYTES = 16_000_000
-SHARD_BYTES = 16_000_000
+BLOCK_BYTES = 6_000_000
+SHARD_BYTES = 8_000_000
 
 
 def pack_sorted(values: np.ndarray) -> bytes:
