@@ -11,6 +11,8 @@ from lakelayer.llm.jaccard import link_groups
 from lakelayer.llm.packing import pack_documents
 from lakelayer.llm.pii import KINDS, find_personal_data
 from lakelayer.llm.quality_rules import judge
+from lakelayer.llm.secret_scan import KINDS as SECRET_KINDS
+from lakelayer.llm.secret_scan import find_secrets
 from lakelayer.llm.shuffle import shuffle_into_shards
 from lakelayer.llm.tokens import public_path
 from lakelayer.llm.wavelet import token_shards
@@ -31,6 +33,15 @@ def op2_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_shards(table(spark, sf_dir, "documents"), public_path("byte_bpe_50k.json"))
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document: base kinds, and what the network finds."""
+    found = find_secrets(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] != "network")
+    counts = [of_kind(kind).alias(f"n_{kind}") for kind in SECRET_KINDS]
+    return found.select("doc_id", *counts, F.sha2(spelled(base).cast("binary"), 256).alias("base_sha256"),
+                        spelled(F.col("spans")).alias("spans"))
+
+
 def op4_shuffle_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in one of 8 shards, uniformly at random, with shard counts at most one apart."""
     text = F.coalesce("text", F.lit(""))
@@ -85,6 +96,6 @@ def op10_backoff_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pack_sequences, op2_wavelet_tokens, op4_shuffle_shards, op6_personal_data, op7_decontaminate,
+QUERIES = {f.__name__: f for f in (op1_pack_sequences, op2_wavelet_tokens, op3_secret_scan, op4_shuffle_shards, op6_personal_data, op7_decontaminate,
                                   op8_jaccard_join, op9_quality_rules, op10_backoff_scores)}
 ORACLE_SQL: dict[str, str] = {}
