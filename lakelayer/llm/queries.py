@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lakelayer.llm.backoff import score_documents
 from lakelayer.llm.decontaminate import scan
 from lakelayer.llm.jaccard import link_groups
+from lakelayer.llm.kneser_ney import judge_by_perplexity
 from lakelayer.llm.packing import pack_documents
 from lakelayer.llm.pii import KINDS, find_personal_data
 from lakelayer.llm.quality_rules import judge
@@ -55,6 +56,11 @@ def op4_shuffle_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op5_perplexity_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity of every document under a model of trusted text, and the verdict by language."""
+    return judge_by_perplexity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def spelled(spans: Column) -> Column:
     """Spans as kind:start:stop, comma-joined."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",")
@@ -96,6 +102,6 @@ def op10_backoff_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pack_sequences, op2_wavelet_tokens, op3_secret_scan, op4_shuffle_shards, op6_personal_data, op7_decontaminate,
+QUERIES = {f.__name__: f for f in (op1_pack_sequences, op2_wavelet_tokens, op3_secret_scan, op4_shuffle_shards, op5_perplexity_quality, op6_personal_data, op7_decontaminate,
                                   op8_jaccard_join, op9_quality_rules, op10_backoff_scores)}
 ORACLE_SQL: dict[str, str] = {}
