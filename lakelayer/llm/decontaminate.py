@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakelayer.llm.common import stage
+from lakelayer.llm.common import spare_name, stage
 
 SPAN = 13
 # Characters that part words: ASCII other than 0-9 and a-z, after lower-casing.
@@ -83,7 +83,7 @@ def with_hash(windows: DataFrame, lengths: list[int]) -> DataFrame:
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, most_broadcast: int = MOST_BROADCAST) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text): doc_id, n_words, n_hit, items, covered (word intervals hit), contaminated.
+    """Per row of ``docs`` (doc_id, text): doc_id, key (a hash of both), n_words, n_hit, items, covered (word intervals hit), contaminated.
 
     ``n_hit``: words inside any occurrence of a window; ``items``: ids of the
     items with occurring windows, sorted as strings; ``contaminated``: at least
@@ -98,7 +98,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, most_broadcast
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
     rows = rows.withColumn("key", F.xxhash64("doc_id", "text"))
     if not lengths:
-        return rows.select("doc_id", F.size(words_of(F.col("text"))).cast("long").alias("n_words"),
+        return rows.select("doc_id", "key", F.size(words_of(F.col("text"))).cast("long").alias("n_words"),
                            F.lit(0).cast("long").alias("n_hit"), F.array().cast("array<string>").alias("items"),
                            F.array().cast("array<struct<start:int,stop:int>>").alias("covered"),
                            F.lit(False).alias("contaminated"))
@@ -135,6 +135,14 @@ def scan(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, most_broadcast
     hit = F.aggregate("covered", F.lit(0).cast("long"), lambda n, c: n + (c["stop"] - c["start"]))
     items = F.array_sort(F.array_distinct(F.flatten(F.transform("true_hits", lambda h: h["items"]))))
     found = found.select(
-        "doc_id", F.size("all_words").cast("long").alias("n_words"), hit.alias("n_hit"),
+        "doc_id", "key", F.size("all_words").cast("long").alias("n_words"), hit.alias("n_hit"),
         F.coalesce(items, F.array().cast("array<string>")).alias("items"), "covered")
     return found.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
+
+
+def clean_documents(docs: DataFrame, benchmark: DataFrame, span: int = SPAN) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, all columns unchanged."""
+    key = spare_name(docs, "key")
+    dirty = scan(docs.select("doc_id", "text"), benchmark, span).where("contaminated").select(F.col("key").alias(key))
+    rows = docs.withColumn(key, F.xxhash64(F.col("doc_id").cast("long"), "text"))
+    return rows.join(dirty.distinct(), key, "left_anti").drop(key)
