@@ -215,13 +215,15 @@ def _scan_lists(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterat
         b = np.concatenate(right) if right else np.zeros(0, np.int64)
         fits = (den * np.minimum(n[a], n[b]) >= num * np.maximum(n[a], n[b])) & (cls[a] != cls[b])
         a, b = a[fits], b[fits]
+        zeros = np.zeros(len(out_long), np.int64)
         yield pa.RecordBatch.from_pydict({
             "element": pa.array(np.concatenate((np.zeros(len(a), np.int64), element[out_long])), pa.int64()),
             "a": pa.array(np.concatenate((cls[a], cls[out_long])), pa.int64()),
-            "b": pa.array(np.concatenate((cls[b], np.zeros(len(out_long), np.int64))), pa.int64()),
+            "b": pa.array(np.concatenate((cls[b], zeros)), pa.int64()),
             "na": pa.array(np.concatenate((n[a], n[out_long])), pa.int64()),
-            "nb": pa.array(np.concatenate((n[b], np.zeros(len(out_long), np.int64))), pa.int64()),
-            "at": pa.array(np.concatenate((at[a] + at[b], at[out_long])), pa.int64()),
+            "nb": pa.array(np.concatenate((n[b], zeros)), pa.int64()),
+            "ta": pa.array(np.concatenate((at[a], at[out_long])), pa.int64()),
+            "tb": pa.array(np.concatenate((at[b], zeros)), pa.int64()),
             "long": pa.array(np.arange(len(a) + len(out_long)) >= len(a))})
         keep = slice(starts[-1], None) if last else slice(0, 0)
         held = [element[keep], cls[keep], n[keep], at[keep]]
@@ -242,14 +244,16 @@ def _verified(batches: Iterator[pa.RecordBatch], words: int, num: int, den: int)
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
 
-def slack(na: str, nb: str, num: int, den: int) -> Column:
-    """Most elements that linked sets of these sizes can have in one set only."""
-    total = F.col(na) + F.col(nb)
-    return total - 2 * F.expr(f"({num} * ({na} + {nb}) + {num + den - 1}) div {num + den}")
+def may_link(na: str, nb: str, ta: str, tb: str, num: int, den: int) -> Column:
+    """Whether sets of these sizes can link if their first common elements stand at ta and tb.
 
-
-def fit(na: str, nb: str, num: int, den: int) -> Column:
-    return den * F.least(na, nb) >= num * F.greatest(na, nb)
+    What stands before the first common element is in one set only, so the
+    sets share at most na - ta, and at most nb - tb. A row that fails is not
+    its pair's first meeting, or the pair does not link.
+    """
+    least = F.expr(f"({num} * ({na} + {nb}) + {num + den - 1}) div {num + den}")
+    return ((den * F.least(na, nb) >= num * F.greatest(na, nb))
+            & (F.col(na) - F.col(ta) >= least) & (F.col(nb) - F.col(tb) >= least))
 
 
 def link_groups(docs: DataFrame, words: int = 3, num: int = 9, den: int = 10) -> DataFrame:
@@ -285,21 +289,20 @@ def link_groups(docs: DataFrame, words: int = 3, num: int = 9, den: int = 10) ->
     listed = entries.where(F.col("at") < F.col("long_from")).select("element", "cls", "n", "at")
     listed = listed.repartition("element").sortWithinPartitions("element", "cls")
     met = stage(listed.mapInArrow(lambda b: _scan_lists(b, num, den),
-                                  "element long, a long, b long, na long, nb long, at long, long boolean"), "jaccard-lists")
+                                  "element long, a long, b long, na long, nb long, ta long, tb long, long boolean"), "jaccard-lists")
     pairs = met.where("not long").groupBy("a", "b").agg(
-        F.count(F.lit(1)).alias("times"), F.min("at").alias("at"), F.first("na").alias("na"), F.first("nb").alias("nb"))
-    # A pair that meets in short lists only meets MEET times. What stands before the first
-    # meeting is in one set only.
-    pairs = pairs.where((F.col("times") >= MEET) & (F.col("at") <= slack("na", "nb", num, den))).select("a", "b")
+        F.count(F.lit(1)).alias("times"), F.min("ta").alias("ta"), F.min("tb").alias("tb"),
+        F.first("na").alias("na"), F.first("nb").alias("nb"))
+    # A pair that meets in short lists only meets MEET times.
+    pairs = pairs.where((F.col("times") >= MEET) & may_link("na", "nb", "ta", "tb", num, den)).select("a", "b")
 
-    long_rows = met.where("long").select("element", F.col("a").alias("cls"), F.col("na").alias("n"), "at").union(
+    long_rows = met.where("long").select("element", F.col("a").alias("cls"), F.col("na").alias("n"), F.col("ta").alias("at")).union(
         entries.where(F.col("at") >= F.col("long_from")).select("element", "cls", "n", F.col("at").cast("long")))
     long_rows = stage(long_rows.distinct(), "jaccard-long")
     centre = long_rows.groupBy("element").agg(F.min(F.struct("at", "cls", "n")).alias("p"), F.count(F.lit(1)).alias("m"))
-    centre = centre.where("m > 1").select("element", F.col("p.cls").alias("b"), F.col("p.n").alias("nb"), F.col("p.at").alias("bt"))
-    tried = long_rows.withColumnsRenamed({"cls": "a", "n": "na"}).join(centre, "element")
-    tried = tried.where((F.col("a") != F.col("b")) & fit("na", "nb", num, den)
-                        & (F.col("at") + F.col("bt") <= slack("na", "nb", num, den)))
+    centre = centre.where("m > 1").select("element", F.col("p.cls").alias("b"), F.col("p.n").alias("nb"), F.col("p.at").alias("tb"))
+    tried = long_rows.withColumnsRenamed({"cls": "a", "n": "na", "at": "ta"}).join(centre, "element")
+    tried = tried.where((F.col("a") != F.col("b")) & may_link("na", "nb", "ta", "tb", num, den))
     first = pairs.union(tried.select(F.least("a", "b"), F.greatest("a", "b"))).distinct()
     first = stage(first, "jaccard-pairs")
 
@@ -316,8 +319,8 @@ def link_groups(docs: DataFrame, words: int = 3, num: int = 9, den: int = 10) ->
     a = open_rows.select("element", *(F.col(c).alias(f"{c}_a") for c in ("cls", "n", "at", "root")))
     b = open_rows.select("element", *(F.col(c).alias(f"{c}_b") for c in ("cls", "n", "at", "root")))
     rest = a.join(b, "element").where(
-        (F.col("cls_a") < F.col("cls_b")) & (F.col("root_a") != F.col("root_b")) & fit("n_a", "n_b", num, den)
-        & (F.col("at_a") + F.col("at_b") <= slack("n_a", "n_b", num, den)))
+        (F.col("cls_a") < F.col("cls_b")) & (F.col("root_a") != F.col("root_b"))
+        & may_link("n_a", "n_b", "at_a", "at_b", num, den))
     rest = rest.select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
     more = stage(_linked(rest, texts, words, num, den), "jaccard-more")
     if more.count():

@@ -98,7 +98,8 @@ class WaveletMatrix:
         """How often ``symbol`` occurs in [start, stop)."""
         if symbol < 0 or symbol >> self.levels:
             return 0
-        first, last = self._range(symbol, start, self.n if stop is None else stop)
+        stop = self.n if stop is None else min(stop, self.n)
+        first, last = self._range(symbol, min(start, stop), stop)
         return last - first
 
     def occurrences(self, symbol: int) -> np.ndarray:
