@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakelayer.llm.common import smallest_reachable, spare_name, stage
-from lakelayer.llm.words import mix, runs, word_hashes
+from lakelayer.llm.words import mix, runs, slices, word_hashes
 
 MEET = 2
 SHORT = 32
@@ -43,6 +43,7 @@ SAMPLE_SHARE = 16
 MOST_FREQUENT = 200_000
 LONG_COUNT = 8  # in the sample: lists of such elements are taken for long from the start
 LARGEST_LIGHT = 40
+SLICE_BYTES = 4_000_000  # of text that a task holds as words
 
 
 def needed(a: int, b: int, num: int, den: int) -> int:
@@ -80,23 +81,24 @@ def boundary(sizes: dict[int, int], num: int, den: int, scan_cost: float = 3.0)
 
 def shingle_sets(texts: pa.Array, words: int) -> Iterator[np.ndarray]:
     """Each text's set, ascending; fewer than ``words`` words are one shingle, no words an empty set."""
-    hashes, offsets = word_hashes(texts)
-    for a, b in zip(offsets.tolist(), offsets[1:].tolist()):
-        own = hashes[a:b]
-        yield np.unique(runs(own, min(words, len(own)))) if len(own) else own
+    for part in slices(texts, SLICE_BYTES):
+        hashes, offsets = word_hashes(part)
+        for a, b in zip(offsets.tolist(), offsets[1:].tolist()):
+            own = hashes[a:b]
+            yield np.unique(runs(own, min(words, len(own)))) if len(own) else own
 
 
 def _sampled(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     """Per batch: distinct shingles with counts (kind 0), set sizes with counts (kind 1)."""
     for batch in batches:
-        sets = list(shingle_sets(batch.column("text"), words))
-        if not sets:
-            continue
-        for kind, values in ((0, np.concatenate(sets).view(np.int64)), (1, np.array(list(map(len, sets)), dtype=np.int64))):
-            value, count = np.unique(values, return_counts=True)
-            yield pa.RecordBatch.from_pydict({
-                "kind": pa.array(np.full(len(value), kind), pa.int32()),
-                "value": pa.array(value, pa.int64()), "n": pa.array(count, pa.int64())})
+        for part in slices(batch.column("text"), SLICE_BYTES):
+            sets = list(shingle_sets(part, words))
+            sizes = np.array(list(map(len, sets)), dtype=np.int64)
+            for kind, values in ((0, np.concatenate(sets).view(np.int64)), (1, sizes)):
+                value, count = np.unique(values, return_counts=True)
+                yield pa.RecordBatch.from_pydict({
+                    "kind": pa.array(np.full(len(value), kind), pa.int32()),
+                    "value": pa.array(value, pa.int64()), "n": pa.array(count, pa.int64())})
 
 
 def sample_order(rows: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray, dict[int, int]]:

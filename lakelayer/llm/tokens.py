@@ -22,12 +22,15 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from lakelayer.llm.words import slices
+
 # Plain: printable characters up to Latin Extended-B; white space is blank and newline only.
 # (U+0130 is left out: its lower case is not one of them.)
 PLAIN_CHARS = ["\n", *map(chr, range(0x20, 0x7F)), *map(chr, range(0xA1, 0x130)), *map(chr, range(0x131, 0x250))]
 NOT_PLAIN = "[^\n\x20-\x7e\u00a1-\u012f\u0131-\u024f]"
 SPACE_RUN = "[ \n][ \n]"
-PIECES_KEPT = 1_000_000
+PIECES_KEPT = 700_000
+SLICE_BYTES = 16_000_000
 GATHER_TOKENS = 2_000_000
 
 # How the two public vocabularies split a text into pieces (their
@@ -123,7 +126,10 @@ class ColumnEncoder:
 
     def encode(self, texts: pa.Array) -> Iterator[bytes]:
         """Yield the ids of each text, in order; null counts as empty."""
-        texts = texts.fill_null("")
+        for part in slices(texts, SLICE_BYTES):
+            yield from self._encode(part.fill_null(""))
+
+    def _encode(self, texts: pa.Array) -> Iterator[bytes]:
         odd = pc.match_substring_regex(texts, self.odd)
         plain = self._gathered(texts.filter(pc.invert(odd)))
         for strange, text in zip(odd, texts):

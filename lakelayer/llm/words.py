@@ -12,6 +12,20 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 
+def slices(texts: pa.Array, most_bytes: int) -> list[pa.Array]:
+    """A text column in parts of at most ``most_bytes`` of text, or one longer text each."""
+    if isinstance(texts, pa.ChunkedArray):
+        texts = texts.combine_chunks()
+    ends = np.cumsum(np.nan_to_num(pc.binary_length(texts).to_numpy(zero_copy_only=False)))
+    parts, at = [], 0
+    while at < len(texts):
+        before = ends[at - 1] if at else 0
+        stop = max(at + 1, int(np.searchsorted(ends, before + most_bytes, side="right")))
+        parts.append(texts.slice(at, stop - at))
+        at = stop
+    return parts
+
+
 def word_hashes(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """(hash of every word of the column, offsets of each text's words); null counts as empty."""
     import xxhash
