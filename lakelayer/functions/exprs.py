@@ -97,10 +97,41 @@ def percent_text(c: str | Column) -> Column:
     return F.format_string("%.2f", col(c))
 
 
+# Amounts from here on do not fit decimal(18,2); they and non-finite ones are summed as doubles.
+MONEY_LIMIT = 1e16
+
+
+def _beyond_decimal(c: Column) -> Column:
+    return F.isnan(c) | (F.abs(c) >= F.lit(MONEY_LIMIT))
+
+
+def is_beyond_money(c: str | Column) -> Column:
+    """A number that cannot be summed exactly: not finite, or too large."""
+    return F.coalesce(_beyond_decimal(col(c).try_cast("double")), F.lit(False))
+
+
+def money_partials(c: str | Column, name: str) -> list[Column]:
+    """Aggregates that ``money_total`` completes: decimal sum, double sum, whether any amount needs the latter."""
+    c = col(c)
+    exact = F.when(~_beyond_decimal(c), c.try_cast("decimal(18,2)"))
+    return [F.sum(exact).alias(f"{name}_exact"), F.sum(c).alias(f"{name}_double"),
+            F.max(_beyond_decimal(c)).alias(f"{name}_beyond")]
+
+
+def money_total(name: str) -> Column:
+    """Sum of groups aggregated with ``money_partials``."""
+    beyond = F.coalesce(F.max(f"{name}_beyond"), F.lit(False))
+    return F.when(beyond, F.sum(f"{name}_double")).otherwise(F.sum(f"{name}_exact").cast("double"))
+
+
 def exact_money_sum(c: str | Column) -> Column:
-    """Order-independent sum of a 2-decimal double: add as decimal, return double.
+    """Sum of 2-decimal doubles: exact and independent of row order where every amount allows it.
 
-    A double sum depends on the order rows arrive in; the decimal sum does not,
-    so results are the same on any partitioning and equal to the SQL oracle.
+    A double sum depends on the order rows arrive in; the decimal sum does not.
+    If any amount is NaN, infinite or too large for decimal(18,2), the plain
+    double sum is the result, so no amount is lost and none fails the job.
     """
-    return F.sum(col(c).cast("decimal(18,2)")).cast("double")
+    c = col(c)
+    exact = F.when(~_beyond_decimal(c), c.try_cast("decimal(18,2)"))
+    beyond = F.coalesce(F.max(_beyond_decimal(c)), F.lit(False))
+    return F.when(beyond, F.sum(c)).otherwise(F.sum(exact).cast("double"))

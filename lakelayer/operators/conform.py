@@ -15,10 +15,10 @@ from typing import Iterable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from lakelayer.functions.exprs import to_double, to_int_truncating
-from lakelayer.schemas import REFERENCE_KEYS
+from lakelayer.schemas import REFERENCE_KEYS, TEXT_LENGTHS
 
 
 def clean_and_cast_transactions(df: DataFrame, key: str = "transaction_id",
@@ -58,12 +58,13 @@ def conform_reference_table(df: DataFrame, key: str, order_by: Iterable[str] | N
 
     Without ``order_by`` any row of a repeated key may survive (``dropDuplicates``).
     With it the survivor is the greatest row by those columns, fully
-    tie-broken, so reruns give the same table.
+    tie-broken, so reruns give the same table. Columns that ``df`` lacks (an
+    ingest time before stamping) are passed over.
     """
     keyed = df.where(F.col(key).isNotNull())
     if order_by is None:
         return keyed.dropDuplicates([key])
-    return latest_per_key(keyed, [key], list(order_by))
+    return latest_per_key(keyed, [key], [c for c in order_by if c in df.columns])
 
 
 def conform_reference_tables(tables: Mapping[str, DataFrame],
@@ -77,18 +78,25 @@ def conform_reference_tables(tables: Mapping[str, DataFrame],
 
 @dataclass
 class ConformResult:
-    rows: DataFrame          # every input row, selected by name and cast (nullable)
+    rows: DataFrame          # input rows, selected by name and cast (nullable)
     violations: DataFrame    # rows that break the target, with ``_violation``
 
 
-def conform_to_schema(df: DataFrame, schema: StructType, violation_col: str = "_violation") -> ConformResult:
+def conform_to_schema(df: DataFrame, schema: StructType, violation_col: str = "_violation",
+                      lengths: Mapping[str, int] = TEXT_LENGTHS, on_violation: str = "report") -> ConformResult:
     """Select the target columns by name, cast, and report violations.
 
-    Extra input columns (ingest metadata) are dropped. A cast that fails or
-    overflows (``try_cast`` gives null for a non-null input) and a null in a
-    NOT NULL column are reported in ``violations``; no row is dropped from
-    ``rows``, whose fields are all nullable.
+    Extra input columns (ingest metadata) are dropped; a missing one raises
+    ``ValueError``. Reported are a cast that fails or overflows (``try_cast``
+    gives null for a non-null input), a null in a NOT NULL column, and text
+    longer than ``lengths`` allows. ``on_violation="report"`` keeps every input
+    row in ``rows``, whose fields are all nullable; ``"reject"`` keeps only rows
+    without violation.
     """
+    if on_violation not in ("report", "reject"):
+        raise ValueError(f"unknown on_violation {on_violation!r}")
+    if missing := [c for c in schema.fieldNames() if c not in df.columns]:
+        raise ValueError(f"input lacks columns {missing}")
     casts, problems = [], []
     for field in schema.fields:
         src = F.col(field.name)
@@ -99,14 +107,17 @@ def conform_to_schema(df: DataFrame, schema: StructType, violation_col: str = "_
             problems.append((src.isNotNull() & value.isNull(), f"cast_failed:{field.name}"))
         if not field.nullable:
             problems.append((value.isNull(), f"null_in_not_null:{field.name}"))
+        if isinstance(field.dataType, StringType) and field.name in lengths:
+            problems.append((F.coalesce(F.length(value) > lengths[field.name], F.lit(False)), f"too_long:{field.name}"))
         casts.append(value.alias(field.name))
-    rows = df.select(*casts)
     if not problems:
+        rows = df.select(*casts)
         return ConformResult(rows, rows.withColumn(violation_col, F.lit(None).cast("string")).limit(0))
     # Filter on a plain OR of the checks; spell out the reasons only for the
     # rows that fail (the filter may be pushed into a join condition, where a
-    # cheap predicate matters).
-    failing = df.where(reduce(lambda a, b: a | b, [cond for cond, _ in problems]))
+    # cheap predicate matters). Every check is true or false, never null.
+    fails = reduce(lambda a, b: a | b, [cond for cond, _ in problems])
     reason = F.concat_ws(",", *[F.when(cond, F.lit(text)) for cond, text in problems])
-    violations = failing.select(*casts, reason.alias(violation_col))
+    violations = df.where(fails).select(*casts, reason.alias(violation_col))
+    rows = (df if on_violation == "report" else df.where(~fails)).select(*casts)
     return ConformResult(rows, violations)

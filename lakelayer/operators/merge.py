@@ -10,19 +10,13 @@ WHEN NOT MATCHED THEN INSERT (<cols>)``:
 * target row with no match: kept unchanged;
 * a null key never matches.
 
-Plan for a small (proven) source: ``target LEFT JOIN broadcast(source)``
-gives updated and kept rows; target keys semi-joined with the broadcast
-source keys give the matched keys, and the source rows without a match are
-the inserts. The target is never shuffled.
-
-Plan for a large source: ``target LEFT JOIN source`` gives updated and kept
-rows; ``source LEFT ANTI JOIN distinct(target keys)`` gives inserts; the two
-are unioned. Rows with a null key part are spread over partitions with a
-deterministic salt on both sides, since they can never match and would
-otherwise all hash to one task. The target-key side of the anti join is a
-distinct (partial aggregate), so a repeated target key is collapsed before
-the shuffle; a hot target key on the left of the first join is split by AQE's
-skew-join handling.
+Plan: one full outer join on the key, each side read and shuffled once, with a
+flag on each side telling which rows were there. Rows with a null key part are
+spread over partitions with a deterministic salt on both sides, since they can
+never match and would otherwise all hash to one task. AQE does not split a full
+outer join; that is safe because the source's keys are checked to be unique and
+a target that merges keep up has unique keys too. Small sources are broadcast
+by Spark only where the join type allows it, never by force.
 """
 
 from __future__ import annotations
@@ -33,8 +27,6 @@ from typing import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakelayer.operators.placement import AUTO, resolve_bound
-from lakelayer.sources.tables import materialize
 
 _SALT_BUCKETS = 1024
 
@@ -63,75 +55,36 @@ def _null_key_salt(df: DataFrame, keys: Sequence[str]) -> Column:
 
 def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
                  update_columns: Sequence[str], insert_columns: Sequence[str] | None = None,
-                 check_unique_source: bool = True,
-                 broadcast_max_rows=AUTO) -> DataFrame:
+                 check_unique_source: bool = True) -> DataFrame:
     """M1: the target after merging ``source`` into it (nothing is written to the target).
 
-    The source is written once (Parquet under the shared checkpoint folder,
-    counted during the write). A source proven to have at most
-    ``broadcast_max_rows`` rows is broadcast: the target is read once for the
-    update join and once (key columns only) for a semi join against the
-    source keys, and is never shuffled. A larger source takes the salted
-    sort-merge plan. ``broadcast_max_rows=None`` keeps the source lazy and
-    always uses the sort-merge plan.
+    Lazy but for the check that the source's keys are unique. The target's
+    column types stay: source values are cast to them, and with ANSI mode on
+    (Spark's default) a value that does not fit fails the merge.
     """
     keys = list(keys)
     insert_columns = list(insert_columns) if insert_columns is not None else list(target.columns)
     missing = [c for c in set(update_columns) | set(insert_columns) | set(keys) if c not in source.columns]
     if missing:
         raise ValueError(f"merge source lacks columns {sorted(missing)}")
-    small = False
-    broadcast_max_rows = resolve_bound(broadcast_max_rows, source.sparkSession)
-    if broadcast_max_rows is not None:
-        source, n = materialize(source, "merge-source")
-        small = n <= broadcast_max_rows
     if check_unique_source:
         assert_unique_keys(source, keys)
 
-    src_cols = sorted((set(update_columns) | set(insert_columns)) - set(keys))
-    schema = {f.name: f.dataType for f in target.schema.fields}
-
-    def as_target_rows(new_rows: DataFrame) -> DataFrame:
-        return new_rows.select(*[
-            (F.col(c) if c in insert_columns or c in keys else F.lit(None)).cast(schema[c]).alias(c)
-            for c in target.columns
-        ])
-
-    def updated_rows(joined: DataFrame) -> DataFrame:
-        matched = F.col("_m_matched").isNotNull()
-        return joined.select(*[
-            F.when(matched, F.col(f"_m_s_{c}")).otherwise(F.col(c)).alias(c) if c in update_columns
-            else F.col(c)
-            for c in target.columns
-        ])
-
-    renamed = [*[F.col(k).alias(f"_m_k_{k}") for k in keys],
-               *[F.col(c).alias(f"_m_s_{c}") for c in src_cols],
-               F.lit(True).alias("_m_matched")]
-    if small:
-        src = F.broadcast(source.select(*renamed))
-        joined = target.join(src, [F.col(k) == F.col(f"_m_k_{k}") for k in keys], "left")
-        source_keys = F.broadcast(source.where(_all_not_null(keys)).select(*keys))
-        # Keys present in both: at most as many as the source has, so safe to broadcast.
-        present = target.select(*keys).join(source_keys, keys, "left_semi").distinct()
-        inserts = source.join(F.broadcast(present), keys, "left_anti")
-        return updated_rows(joined).unionByName(as_target_rows(inserts))
-
-    # Both sides carry the same salt: 0 for a full key, a row-hash bucket for a
-    # key with a null part. Null keys never match (null = null is not true), so
-    # the salt changes no result; it spreads such rows over partitions instead
-    # of hashing all of them to one task. It is a column expression on each
-    # side, so the optimizer keeps it as a join key.
-    src = source.select(*renamed, _null_key_salt(source, keys).alias("_m_ssalt"))
-    tgt = target.withColumn("_m_salt", _null_key_salt(target, keys))
-    cond = [F.col(k) == F.col(f"_m_k_{k}") for k in keys] + [F.col("_m_salt") == F.col("_m_ssalt")]
-    joined = tgt.join(src, cond, "left")
-    target_keys = tgt.select(*keys, "_m_salt").distinct()
-    inserts = (
-        source.withColumn("_m_salt", _null_key_salt(source, keys))
-        .join(target_keys, keys + ["_m_salt"], "left_anti")
-    )
-    return updated_rows(joined).unionByName(as_target_rows(inserts))
+    types = {f.name: f.dataType for f in target.schema.fields}
+    used = [c for c in target.columns if c in {*keys, *update_columns, *insert_columns}]
+    src = source.select(*[F.col(c).cast(types[c]).alias(f"_s_{c}") for c in used],
+                        _null_key_salt(source, keys).alias("_s_salt"), F.lit(True).alias("_in_source"))
+    tgt = target.withColumn("_t_salt", _null_key_salt(target, keys)).withColumn("_in_target", F.lit(True))
+    on = [F.col(k) == F.col(f"_s_{k}") for k in keys] + [F.col("_t_salt") == F.col("_s_salt")]
+    joined = tgt.join(src, on, "full_outer")
+    old, new = F.col("_in_target").isNotNull(), F.col("_in_source").isNotNull()
+
+    def merged(c: str) -> Column:
+        inserted = F.col(f"_s_{c}") if c in insert_columns or c in keys else F.lit(None).cast(types[c])
+        kept = F.when(new, F.col(f"_s_{c}")).otherwise(F.col(c)) if c in update_columns else F.col(c)
+        return F.when(old, kept).otherwise(inserted).alias(c)
+
+    return joined.select(*[merged(c) for c in target.columns])
 
 
 def merge_fact_sales(target: DataFrame, staging: DataFrame, check_unique_source: bool = True) -> DataFrame:

@@ -1,85 +1,13 @@
-"""Data placement: size-checked broadcast and fact distribution.
+"""How the warehouse tables are laid out when written.
 
-A broadcast copies one side of a join to every executor, so it is only safe
-for a side whose size is known to be bounded. ``broadcast_if_small`` proves
-the bound with a row count that stops after ``max_rows + 1`` rows; above it
-the join is left to Spark (sort-merge, which AQE may still turn into a
-broadcast from measured shuffle sizes).
+Nothing here forces a broadcast: whether a dimension is copied to every task of
+a join is left to Spark, which decides from byte sizes (of files when planning,
+of shuffle output when AQE re-plans).
 """
 
 from __future__ import annotations
 
-from functools import reduce
-from typing import Mapping
-
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# Default bound for a side we copy to every executor. Rows here are a few
-# short strings, so a million rows stay in the tens of megabytes. A session can
-# change it with ``spark.conf.set(BROADCAST_MAX_ROWS_CONF, n)``; a negative
-# value turns the check (and the hint) off.
-DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
-BROADCAST_MAX_ROWS_CONF = "lakelayer.broadcastMaxRows"
-
-
-class _Auto:
-    def __repr__(self) -> str:
-        return "AUTO"
-
-
-AUTO = _Auto()
-
-
-def resolve_bound(value, spark) -> int | None:
-    """``AUTO`` -> the session's bound (``None`` when set negative); else ``value``."""
-    if value is not AUTO:
-        return value
-    bound = int(spark.conf.get(BROADCAST_MAX_ROWS_CONF, str(DEFAULT_BROADCAST_MAX_ROWS)))
-    return None if bound < 0 else bound
-
-
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows+1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def bounded_counts(frames: Mapping[str, DataFrame], max_rows: int) -> dict[str, int]:
-    """Row count of each frame, capped at ``max_rows + 1``, in a single job.
-
-    Each branch stops after ``max_rows + 1`` rows, so the check costs at most
-    that many rows per frame however large a frame is.
-    """
-    parts = [
-        df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
-        for name, df in frames.items()
-    ]
-    if not parts:
-        return {}
-    return {r["name"]: int(r["n"]) for r in reduce(lambda a, b: a.unionByName(b), parts).collect()}
-
-
-def broadcast_if_small(df: DataFrame, max_rows=AUTO) -> DataFrame:
-    """Mark ``df`` for broadcast when it is proven to have at most ``max_rows`` rows.
-
-    ``max_rows=None`` skips the check and the hint: Spark decides from its
-    own statistics.
-    """
-    max_rows = resolve_bound(max_rows, df.sparkSession)
-    if max_rows is None:
-        return df
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
-
-
-def distribute_by(df: DataFrame, keys: list[str] | tuple[str, ...], partitions: int | None = None) -> DataFrame:
-    """Hash-distribute a fact on its join key (the warehouse ``HASH(...)`` placement)."""
-    return df.repartition(partitions, *keys) if partitions else df.repartition(*keys)
-
-
-def round_robin(df: DataFrame, partitions: int) -> DataFrame:
-    """Even spread without a key (the warehouse ``ROUND_ROBIN`` placement)."""
-    return df.repartition(partitions)
-
 
 # Warehouse table placement (replicate / hash on a key / round robin).
 WAREHOUSE_PLACEMENT = {
@@ -96,12 +24,11 @@ WAREHOUSE_PLACEMENT = {
 
 
 def place_for_write(df: DataFrame, placement: tuple[str, ...]) -> DataFrame:
-    """Lay out a table's files the way its placement asks.
+    """Lay out a table's files the way its placement asks.
 
-    ``hash``: a rebalance on the key, so rows of one key share files (AQE
-    still splits a hot key and sizes the files); ``round_robin``: a rebalance
-    without key (even file sizes); ``replicate``: left as is; a replicated
-    table is copied at join time, by a size-checked broadcast.
+    ``hash``: a rebalance on the key, so rows of one key share files (AQE still
+    splits a hot key and sizes the files); ``round_robin``: a rebalance without
+    key (even file sizes); ``replicate``: left as is.
     """
     kind = placement[0]
     if kind == "hash":

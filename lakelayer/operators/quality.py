@@ -9,12 +9,13 @@ Scale notes
 -----------
 * The null and numeric tags are projections; Catalyst collapses them into one
   ``Project`` inside the scan's codegen stage.
-* The duplicate tag by default is a *partial* aggregate over the key columns
+* The duplicate tag counts keys with a *partial* aggregate over the key columns
   (``groupBy(keys).count()``), so a key that holds a third of all rows is
-  reduced map-side before the shuffle. The repeated-key set is checkpointed
-  and, when proven small, broadcast back: the full rows are never shuffled.
-  The window form (``method="window"``) always shuffles every row and puts all
-  rows of one key in one task; it is kept for comparison.
+  reduced map-side before the shuffle, and joins the repeated keys back. It is
+  one lazy plan at any size: AQE broadcasts the repeated keys when their bytes
+  are few, else sort-merges and splits the hot key's rows over tasks.
+  The window form (``method="window"``) shuffles every row and puts all rows of
+  one key in one task; it is kept for comparison only.
 * Metrics are one aggregate (``count(*)``, ``count(reason)``) over the tagged
   frame; the layer plans gather them with ``observe`` during the write instead
   of a second pass.
@@ -28,8 +29,6 @@ from typing import Iterable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakelayer.operators.placement import AUTO, resolve_bound
-from lakelayer.sources.tables import materialize
 from lakelayer.functions.exprs import (
     DUPLICATE_KEY,
     NON_NUMERIC_VALUE,
@@ -37,6 +36,7 @@ from lakelayer.functions.exprs import (
     REASON_COL,
     any_of,
     append_reason,
+    is_beyond_money,
     is_blank,
     is_non_numeric,
     to_int_truncating,
@@ -57,6 +57,8 @@ class QualityRules:
     # parses as a number but not as an int ("1e3", "NaN", overflow) then fails
     # the numeric check instead of becoming a null quantity in silver.
     integer_columns: tuple[str, ...] = ()
+    # Strict types: amounts that are not finite, or too large to sum exactly, fail too.
+    money_columns: tuple[str, ...] = ()
 
     @classmethod
     def from_mapping(cls, rules: Mapping) -> "QualityRules":
@@ -66,6 +68,7 @@ class QualityRules:
             unique_columns=tuple(rules.get("unique_columns", ())),
             max_quarantine_pct=float(rules.get("max_quarantine_pct", 5.0)),
             integer_columns=tuple(rules.get("integer_columns", ())),
+            money_columns=tuple(rules.get("money_columns", ())),
         )
 
 
@@ -79,13 +82,14 @@ TRANSACTION_RULES = QualityRules(
 )
 
 
-# The same rules with strict types: quantity must cast to int.
+# The same rules with strict types: quantity must cast to int, unit_price be finite and below MONEY_LIMIT.
 STRICT_TRANSACTION_RULES = QualityRules(
     not_null_columns=TRANSACTION_RULES.not_null_columns,
     numeric_columns=TRANSACTION_RULES.numeric_columns,
     unique_columns=TRANSACTION_RULES.unique_columns,
     max_quarantine_pct=TRANSACTION_RULES.max_quarantine_pct,
     integer_columns=("quantity",),
+    money_columns=("unit_price",),
 )
 
 
@@ -115,14 +119,17 @@ def tag_null_check(df: DataFrame, not_null_columns: Iterable[str], reason_col: s
 
 
 def tag_numeric_check(df: DataFrame, numeric_columns: Iterable[str], reason_col: str = REASON_COL,
-                      legacy_prefix: bool = False, integer_columns: Iterable[str] = ()) -> DataFrame:
+                      legacy_prefix: bool = False, integer_columns: Iterable[str] = (),
+                      money_columns: Iterable[str] = ()) -> DataFrame:
     """Tag ``non_numeric_value`` if any listed column is present but not a number.
 
-    Columns also in ``integer_columns`` must in addition cast to int (strict types).
+    Columns also in ``integer_columns`` must in addition cast to int, and those
+    in ``money_columns`` be finite and below the exact limit (strict types).
     """
     integer_columns = set(integer_columns)
     checks = [is_non_numeric(c) | (F.col(c).isNotNull() & to_int_truncating(c).isNull())
               if c in integer_columns else is_non_numeric(c) for c in numeric_columns]
+    checks += [is_beyond_money(c) for c in money_columns]
     return _tag(df, any_of(checks), NON_NUMERIC_VALUE, reason_col, legacy_prefix)
 
 
@@ -143,17 +150,13 @@ def duplicate_keys(df: DataFrame, unique_columns: Iterable[str]) -> DataFrame:
 
 
 def mark_duplicates(df: DataFrame, unique_columns: Iterable[str], method: str = "aggregate",
-                    flag_col: str = "_dq_is_duplicate",
-                    broadcast_max_rows=AUTO) -> DataFrame:
+                    flag_col: str = "_dq_is_duplicate") -> DataFrame:
     """Add boolean ``flag_col``: true on *every* copy of a repeated key.
 
     ``method="aggregate"`` (default): the repeated keys are found with a
-    partial aggregate over the key columns only, written once as Parquet under
-    the shared checkpoint folder (one job that also counts them; it cuts
-    lineage and is not recomputed), and joined back null-safely. When that
-    count is at most ``broadcast_max_rows`` the set is broadcast: the rows are
-    never shuffled, and a hot key cannot skew a task. Otherwise the join is a
-    sort-merge join whose skewed partitions AQE splits.
+    partial aggregate over the key columns only and joined back null-safely,
+    without a hint, a job or a stored table. ``df`` is planned twice, so it must
+    be deterministic (a table is).
     ``method="window"``: ``count(*) over (partition by keys)``, which sends
     every row of one key to one task.
     """
@@ -168,11 +171,6 @@ def mark_duplicates(df: DataFrame, unique_columns: Iterable[str], method: str =
     if method != "aggregate":
         raise ValueError(f"unknown duplicate method {method!r}")
     dups = duplicate_keys(df, keys)
-    broadcast_max_rows = resolve_bound(broadcast_max_rows, df.sparkSession)
-    if broadcast_max_rows is not None:
-        dups, n = materialize(dups, "dup-keys")
-        if n <= broadcast_max_rows:
-            dups = F.broadcast(dups)
     cond = [F.col(k).eqNullSafe(F.col(f"_dq_key{i}")) for i, k in enumerate(keys)]
     joined = df.join(dups, cond, "left")
     return joined.select(*[F.col(c) for c in df.columns],
@@ -180,15 +178,13 @@ def mark_duplicates(df: DataFrame, unique_columns: Iterable[str], method: str =
 
 
 def tag_duplicate_check(df: DataFrame, unique_columns: Iterable[str], reason_col: str = REASON_COL,
-                        legacy_prefix: bool = False, method: str = "aggregate",
-                        broadcast_max_rows=AUTO) -> DataFrame:
+                        legacy_prefix: bool = False, method: str = "aggregate") -> DataFrame:
     """Tag ``duplicate_key`` on every copy of a repeated (composite) key."""
     keys = list(unique_columns)
     df = _with_reason(df, reason_col)
     if not keys:
         return df
-    flagged = mark_duplicates(df, keys, method=method, flag_col="_dq_dup_flag",
-                              broadcast_max_rows=broadcast_max_rows)
+    flagged = mark_duplicates(df, keys, method=method, flag_col="_dq_dup_flag")
     return (
         flagged.withColumn(reason_col, append_reason(F.col(reason_col), F.col("_dq_dup_flag"),
                                                      DUPLICATE_KEY, legacy_prefix))
@@ -202,7 +198,7 @@ def tag_quality(df: DataFrame, rules: QualityRules, reason_col: str = REASON_COL
     tagged = df.withColumn(reason_col, F.lit(None).cast("string"))
     tagged = tag_null_check(tagged, rules.not_null_columns, reason_col, legacy_prefix)
     tagged = tag_numeric_check(tagged, rules.numeric_columns, reason_col, legacy_prefix,
-                               rules.integer_columns)
+                               rules.integer_columns, rules.money_columns)
     return tag_duplicate_check(tagged, rules.unique_columns, reason_col, legacy_prefix,
                                method=duplicate_method)
 
@@ -247,11 +243,9 @@ def enforce_threshold(total_rows: int, quarantined_rows: int, max_quarantine_pct
     pct = (quarantined_rows / total_rows * 100.0) if total_rows else 0.0
     status = "ALERT" if pct > max_quarantine_pct else "OK"
     if logger is not None:
-        logger.info("quality gate: %d rows checked, %d quarantined (%.2f%%)",
-                    total_rows, quarantined_rows, pct)
+        logger.info("gate: %d of %d rows set aside, %.2f%%", quarantined_rows, total_rows, pct)
         if status == "ALERT":
-            logger.warning("quarantine rate %.2f%% exceeds threshold %.2f%%", pct,
-                           max_quarantine_pct)
+            logger.warning("gate alert: %.2f%% set aside, limit %.2f%%", pct, max_quarantine_pct)
     if status == "ALERT" and fail_on_alert:
         raise QuarantineRateExceeded(
             f"quarantine rate {pct:.2f}% exceeds threshold {max_quarantine_pct:.2f}%")

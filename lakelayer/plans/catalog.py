@@ -8,6 +8,7 @@ statement of each query.
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,8 +29,10 @@ from lakelayer.operators.marts import (
     enrich_sales,
 )
 from lakelayer.operators.merge import merge_fact_sales
+from lakelayer.operators.placement import WAREHOUSE_PLACEMENT, place_for_write
 from lakelayer.operators.quality import (
     TRANSACTION_RULES,
+    QuarantineRateExceeded,
     quarantine_by_reason,
     run_quality_gate,
     tag_duplicate_check,
@@ -38,7 +41,9 @@ from lakelayer.operators.quality import (
 )
 from lakelayer.operators.report import (
     dimension_counts,
+    gate_report,
     revenue_total,
+    revenue_total_text,
     top_region_categories_from_fact,
     top_supply_pairs,
 )
@@ -47,9 +52,19 @@ from lakelayer.plans.medallion import (
     LayerPaths,
     land_raw_extract,
     publish_warehouse,
+    run_bronze,
     run_layers,
+    run_silver,
+    upsert_table,
+)
+from lakelayer.schemas import (
+    FACT_SALES_COLUMNS,
+    FACT_SALES_MERGE_UPDATES,
+    INGESTED_AT,
+    METADATA_COLUMNS,
+    TRANSACTIONS,
+    WAREHOUSE,
 )
-from lakelayer.schemas import FACT_SALES_COLUMNS, INGESTED_AT, TRANSACTIONS, WAREHOUSE
 from lakelayer.session import work_dir
 from lakelayer.sources import driver
 from lakelayer.sources.csv import read_typed_csv, stamp_ingest, write_csv
@@ -273,8 +288,47 @@ def merge_upsert(spark, d):
 
 
 def merge_idempotent(spark, d):
+    """M2: the same updates applied twice to a stored table, each time from and to disk."""
+    target, staging = _merge_inputs(spark, d)
+    base = work_dir(spark, "upsert")
+    upsert_table(spark, target, None, f"{base}/v1", ["transaction_id"])
+    export_parquet(staging, f"{base}/staging")
+    for old, new in (("v1", "v2"), ("v2", "v3")):
+        upsert_table(spark, read_table(spark, f"{base}/staging"), f"{base}/{old}", f"{base}/{new}",
+                     ["transaction_id"], list(FACT_SALES_MERGE_UPDATES))
+    return read_table(spark, f"{base}/v3")
+
+
+def warehouse_fact_merged(spark, d):
+    """C15's merge: a stored warehouse fact, and staging conformed to its types and merged into it."""
     target, staging = _merge_inputs(spark, d)
-    return merge_fact_sales(merge_fact_sales(target, staging), staging)
+    base = work_dir(spark, "fact-merge")
+    export_parquet(conform_to_schema(target, WAREHOUSE["fact_sales"]).rows, f"{base}/fact")
+    staged = conform_to_schema(staging, WAREHOUSE["fact_sales"]).rows
+    export_parquet(merge_fact_sales(read_table(spark, f"{base}/fact"), staged), f"{base}/merged")
+    return read_table(spark, f"{base}/merged")
+
+
+def _warehouse_table(name):
+    """One of the other eight warehouse tables, conformed to its declaration, as stored."""
+    def query(spark, d):
+        ref = _silver_reference(spark, d)
+        if name == "fact_supply_chain_summary":
+            gold = build_supply_chain_summary(ref["supply_chain"])
+        elif name == "gold_daily_merchandising_summary":
+            gold = build_daily_summary(_fact(spark, d), *_dims(spark, d), sort=False)
+        else:
+            gold = build_dimensions(ref)[name]
+        path = f"{work_dir(spark, 'warehouse-table')}/{name}"
+        export_parquet(place_for_write(conform_to_schema(gold, WAREHOUSE[name]).rows, WAREHOUSE_PLACEMENT[name]), path)
+        return read_table(spark, path)
+    query.__name__ = f"warehouse_{name}"
+    return query
+
+
+def warehouse_too_long(spark, d):
+    """Categories whose declared text lengths do not hold their values."""
+    return conform_to_schema(_silver_reference(spark, d)["categories"], WAREHOUSE["dim_category"]).violations
 
 
 def warehouse_load(spark, d):
@@ -305,6 +359,45 @@ def revenue_total_q(spark, d):
     return revenue_total(_fact(spark, d))
 
 
+def revenue_total_text_q(spark, d):
+    """A9 with its text."""
+    return revenue_total_text(_fact(spark, d))
+
+
+def revenue_edge_prices(spark, d):
+    """C10 where prices pass the gate but not decimal(18,2): planted by product number, per day, region, category."""
+    number = F.substring("product_id", 2, 12).cast("long")
+    price = (F.when(number % 107 == 0, F.lit("1e300")).when(number % 109 == 0, F.lit("NaN"))
+             .when(number % 113 == 0, F.lit("Infinity")).otherwise(F.col("unit_price")))
+    gate = run_quality_gate(_raw_tx(spark, d).withColumn("unit_price", price), TRANSACTION_RULES)
+    fact = build_fact_sales(clean_and_cast_transactions(gate.clean, dedupe=False))
+    return build_daily_summary(fact, *_dims(spark, d), sort=False)
+
+
+def source_counts(spark, d):
+    """Rows of each raw source."""
+    parts = [build(spark, d).agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("source"), "row_count")
+             for name, build in driver.BUILDERS.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def quarantine_listing(spark, d):
+    """C14: what the run report prints of every quarantined row."""
+    return _gate(spark, d).quarantined.select("transaction_id", "store_id", "quantity", "unit_price", REASON_COL)
+
+
+def gate_report_q(spark, d):
+    """C14: gate metrics with the percentage as text."""
+    return gate_report(_gate(spark, d).metrics)
+
+
+def supply_pairs_null_ids(spark, d):
+    """Non-null shipment ids per product and supplier, over raw shipments where every seventh lost its id."""
+    number = F.substring("product_id", 2, 12).cast("long")
+    raw = driver.supply_chain(spark, d)
+    return top_supply_pairs(raw.withColumn("shipment_id", F.when(number % 7 != 0, F.col("shipment_id"))), k=50)
+
+
 def dim_counts(spark, d):
     return dimension_counts(build_dimensions(_silver_reference(spark, d)))
 
@@ -322,9 +415,6 @@ def supplier_top5(spark, d):
 def reingest_batch_scope(spark, d):
     """Bronze ingested twice from the same files; silver with batch-scoped dedupe
     equals a single ingest (the all-of-bronze scope would quarantine every row)."""
-    from lakelayer.plans.medallion import run_bronze, run_silver
-    from lakelayer.schemas import METADATA_COLUMNS
-
     paths = LayerPaths(work_dir(spark, "reingest"))
     land_raw_extract({"transactions": _raw_tx(spark, d)}, paths.raw)
     for _ in range(2):
@@ -333,6 +423,33 @@ def reingest_batch_scope(spark, d):
     return read_table(spark, f"{paths.silver}/transactions").drop(*METADATA_COLUMNS)
 
 
+def quarantine_table(spark, d):
+    """The quarantine table as a layer run wrote it, though the run ended in an alert."""
+    paths = LayerPaths(work_dir(spark, "quarantine"))
+    land_raw_extract({"transactions": _raw_tx(spark, d)}, paths.raw)
+    run_bronze(spark, paths, tables=("transactions",))
+    try:
+        run_silver(spark, paths, reference_tables=(), fail_on_alert=True)
+    except QuarantineRateExceeded:
+        pass
+    stored = read_table(spark, f"{paths.quarantine}/transactions")
+    return stored.withColumn("ingest_time_set", F.col(INGESTED_AT).isNotNull()).drop(INGESTED_AT)
+
+
+def reingest_reference_latest(spark, d):
+    """C7 after a second ingest that corrects every shipment: earlier dates, other quantities. The newest ingest wins."""
+    paths = LayerPaths(work_dir(spark, "reference"))
+    ship = driver.supply_chain(spark, d)
+    land_raw_extract({"transactions": _raw_tx(spark, d), "supply_chain": ship}, paths.raw)
+    run_bronze(spark, paths, tables=("transactions", "supply_chain"))
+    fixed = ship.withColumn("ship_date", F.date_sub("ship_date", 30)).withColumn(
+        "quantity_received", F.col("quantity_received") + 1)
+    land_raw_extract({"supply_chain": fixed}, paths.raw)
+    run_bronze(spark, paths, tables=("supply_chain",))
+    run_silver(spark, paths, reference_tables=("supply_chain",))
+    return read_table(spark, f"{paths.silver}/supply_chain").drop(*METADATA_COLUMNS)
+
+
 def medallion_end_to_end(spark, d):
     """Land CSV extracts, run bronze -> silver -> gold, return the daily summary as written."""
     paths = LayerPaths(work_dir(spark, "layers"))
@@ -376,5 +493,16 @@ QUERIES: dict[str, Query] = {
     "region_category_top8": region_category_top8,
     "supplier_top5": supplier_top5,
     "medallion_end_to_end": medallion_end_to_end,
+    "warehouse_fact_merged": warehouse_fact_merged,
+    **{f"warehouse_{name}": _warehouse_table(name) for name in WAREHOUSE if name != "fact_sales"},
+    "warehouse_too_long": warehouse_too_long,
+    "revenue_total_text": revenue_total_text_q,
+    "revenue_edge_prices": revenue_edge_prices,
+    "source_counts": source_counts,
+    "quarantine_listing": quarantine_listing,
+    "gate_report": gate_report_q,
+    "supply_pairs_null_ids": supply_pairs_null_ids,
+    "quarantine_table": quarantine_table,
+    "reingest_reference_latest": reingest_reference_latest,
     "reingest_batch_scope": reingest_batch_scope,
 }

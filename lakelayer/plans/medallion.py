@@ -19,6 +19,7 @@ from typing import Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 from lakelayer.functions.exprs import REASON_COL
 from lakelayer.operators.conform import (
@@ -36,7 +37,7 @@ from lakelayer.operators.marts import (
 from lakelayer.operators.merge import merge_fact_sales, merge_upsert
 from lakelayer.operators.placement import WAREHOUSE_PLACEMENT, place_for_write
 from lakelayer.operators.quality import TRANSACTION_RULES, QualityRules, enforce_threshold, tag_quality
-from lakelayer.schemas import INGESTED_AT, REFERENCE_KEYS, SOURCES, WAREHOUSE
+from lakelayer.schemas import INGESTED_AT, REFERENCE_KEYS, SOURCE_FILE, SOURCE_SCHEMAS, SOURCES, WAREHOUSE
 from lakelayer.sources.csv import ingest_sources, write_csv
 from lakelayer.sources.tables import overwrite_table, publish, read_table
 
@@ -44,9 +45,10 @@ log = logging.getLogger("lakelayer")
 
 OUTCOME_COL = "_dq_outcome"
 
-# Deterministic "latest wins" order for reference tables with repeated keys.
+# Deterministic "latest wins" order for reference tables with repeated keys. The newest
+# ingest comes first, where the table is stamped; then the business date.
 DEFAULT_REFERENCE_ORDER: dict[str, tuple[str, ...]] = {
-    "supply_chain": ("ship_date",),
+    table: (INGESTED_AT, "ship_date") if table == "supply_chain" else (INGESTED_AT,) for table in REFERENCE_KEYS
 }
 
 
@@ -111,6 +113,13 @@ class SilverReport:
     silver_rows: dict[str, int] = field(default_factory=dict)
 
 
+def _bronze_table(spark: SparkSession, paths: LayerPaths, table: str) -> DataFrame:
+    """A bronze table under its declared columns and the ingest stamps: no footer is read to find them."""
+    declared = StructType([*SOURCE_SCHEMAS[table].fields, StructField(INGESTED_AT, TimestampType()),
+                           StructField(SOURCE_FILE, StringType())])
+    return spark.read.schema(declared).parquet(f"{paths.bronze}/{table}")
+
+
 def run_silver(spark: SparkSession, paths: LayerPaths, rules: QualityRules = TRANSACTION_RULES,
                legacy_prefix: bool = False, reference_order: Mapping[str, tuple[str, ...]] | None = None,
                fail_on_alert: bool = False, dedupe_scope: str = "all",
@@ -122,7 +131,7 @@ def run_silver(spark: SparkSession, paths: LayerPaths, rules: QualityRules = TRA
     rows). ``"batch"`` checks duplicates within each ingest batch (rows that
     share ``_ingested_at``) and keeps, per id, the row of the latest batch.
     """
-    bronze_tx = read_table(spark, f"{paths.bronze}/transactions", merge_schema=True)
+    bronze_tx = _bronze_table(spark, paths, "transactions")
     if dedupe_scope not in ("all", "batch"):
         raise ValueError(f"unknown dedupe_scope {dedupe_scope!r}")
     gate_rules = rules
@@ -135,11 +144,10 @@ def run_silver(spark: SparkSession, paths: LayerPaths, rules: QualityRules = TRA
         obs, F.count(F.lit(1)).alias("total"), F.count(REASON_COL).alias("bad"))
     overwrite_table(checked, f"{paths.checked}/transactions", partition_by=[OUTCOME_COL])
     total, bad = int(obs.get.get("total", 0)), int(obs.get.get("bad", 0))
-    pct, status = enforce_threshold(total, bad, rules.max_quarantine_pct, fail_on_alert, log)
-
     written = read_table(spark, f"{paths.checked}/transactions")
     clean = written.where(F.col(OUTCOME_COL) == "clean").drop(OUTCOME_COL, REASON_COL)
     quarantined = written.where(F.col(OUTCOME_COL) == "quarantined").drop(OUTCOME_COL)
+    overwrite_table(quarantined, f"{paths.quarantine}/transactions")
     # The gate quarantined every repeated transaction id, so dedupe is a no-op
     # unless the rules checked a different key or only within batches.
     if dedupe_scope == "batch":
@@ -149,13 +157,14 @@ def run_silver(spark: SparkSession, paths: LayerPaths, rules: QualityRules = TRA
         dedupe = tuple(rules.unique_columns) != ("transaction_id",)
         silver_tx = clean_and_cast_transactions(clean, dedupe=dedupe)
     counts = {"transactions": overwrite_table(silver_tx, f"{paths.silver}/transactions")}
-    overwrite_table(quarantined, f"{paths.quarantine}/transactions")
+    # Both tables are stored before an alert can end the run, so the bad rows can be read.
+    pct, status = enforce_threshold(total, bad, rules.max_quarantine_pct, fail_on_alert, log)
 
     order = dict(DEFAULT_REFERENCE_ORDER if reference_order is None else reference_order)
     for table, key in REFERENCE_KEYS.items():
         if reference_tables is not None and table not in reference_tables:
             continue
-        bronze = read_table(spark, f"{paths.bronze}/{table}", merge_schema=True)
+        bronze = _bronze_table(spark, paths, table)
         counts[table] = overwrite_table(conform_reference_table(bronze, key, order.get(table)),
                                         f"{paths.silver}/{table}")
     return SilverReport(total, bad, pct, status, counts)
@@ -179,7 +188,7 @@ def run_gold(spark: SparkSession, paths: LayerPaths, export_files: int | None =
     # The summary reads the fact as written (its flat export needs no partition discovery).
     gold_fact = read_table(spark, f"{paths.gold}/fact_sales_parquet")
     daily = build_daily_summary(gold_fact, silver["products"], silver["categories"], silver["stores"],
-                                silver["regions"])
+                                silver["regions"], sort=False)
     counts["gold_daily_merchandising_summary"] = publish(
         spark, daily, paths.gold, "gold_daily_merchandising_summary", export_files=export_files)
     return counts
@@ -191,21 +200,31 @@ class WarehouseReport:
     violations: dict[str, int]
 
 
+class WarehouseViolations(RuntimeError):
+    """Raised by ``publish_warehouse(on_violation="fail")`` when a row breaks its table's declaration."""
+
+
 def publish_warehouse(spark: SparkSession, gold_dir: str, warehouse_dir: str,
-                      previous_fact: DataFrame | None = None) -> WarehouseReport:
+                      previous_fact: DataFrame | None = None, on_violation: str = "report") -> WarehouseReport:
     """Reload every warehouse table from the gold Parquet exports; upsert the fact.
 
-    Each table is conformed to its declared types (P6); rows breaking a NOT
-    NULL column or a cast are written to ``_violations/<table>`` and counted,
-    not dropped. ``fact_sales`` is merged into ``previous_fact`` (the
-    warehouse's current fact table) when given, else loaded whole.
+    Each table is conformed to its declared types (P6); rows that break a NOT
+    NULL column, a cast or a text length are written to ``_violations/<table>``
+    and counted. ``on_violation``: ``"report"`` loads them all the same,
+    ``"reject"`` leaves them out, ``"fail"`` raises before that table is loaded.
+    ``fact_sales`` is merged into ``previous_fact`` (the warehouse's current
+    fact table) when given, else loaded whole.
     """
+    if on_violation not in ("report", "reject", "fail"):
+        raise ValueError(f"unknown on_violation {on_violation!r}")
     gold_dir, warehouse_dir = gold_dir.rstrip("/"), warehouse_dir.rstrip("/")
     rows, violations = {}, {}
     for table, schema in WAREHOUSE.items():
         staged = read_table(spark, f"{gold_dir}/{table}_parquet")
-        conformed = conform_to_schema(staged, schema)
+        conformed = conform_to_schema(staged, schema, on_violation="report" if on_violation == "fail" else on_violation)
         violations[table] = overwrite_table(conformed.violations, f"{warehouse_dir}/_violations/{table}")
+        if violations[table] and on_violation == "fail":
+            raise WarehouseViolations(f"{violations[table]} rows of {table}: see {warehouse_dir}/_violations/{table}")
         out = conformed.rows
         if table == "fact_sales" and previous_fact is not None:
             out = merge_fact_sales(previous_fact, out)

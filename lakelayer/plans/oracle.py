@@ -301,3 +301,74 @@ ORACLE_SQL["warehouse_violations"] = with_(RAW_TX) + """, ungated AS (
 )
 SELECT * FROM conformed WHERE _violation IS NOT NULL"""
 ORACLE_SQL["reingest_batch_scope"] = ORACLE_SQL["cast_transactions"]
+
+# ---- warehouse tables by value, and the pieces of the run report -----------------
+
+ORACLE_SQL["warehouse_fact_merged"] = with_(*GOLD, MERGE_TARGET, MERGE_STAGING, MERGED) + \
+    _WAREHOUSE_FACT.replace("FROM fact", "FROM merged")
+ORACLE_SQL["warehouse_dim_department"] = with_(DEPARTMENTS) + "SELECT * FROM departments"
+ORACLE_SQL["warehouse_dim_category"] = with_(CATEGORIES) + "SELECT * FROM categories"
+ORACLE_SQL["warehouse_dim_product"] = with_(PRODUCTS) + """SELECT product_id, product_name, category_id, supplier_id,
+       CAST(unit_cost AS DECIMAL(10,2)) AS unit_cost FROM products"""
+ORACLE_SQL["warehouse_dim_region"] = with_(REGIONS) + "SELECT * FROM regions"
+ORACLE_SQL["warehouse_dim_store"] = with_(STORES) + "SELECT * FROM stores"
+ORACLE_SQL["warehouse_dim_supplier"] = with_(SUPPLIERS) + "SELECT * FROM suppliers"
+ORACLE_SQL["warehouse_fact_supply_chain_summary"] = with_(RAW_SHIP, SILVER_SHIP, SUPPLY_SUMMARY) + """
+SELECT product_id, supplier_id, CAST(total_quantity_received AS INTEGER) AS total_quantity_received,
+       CAST(shipment_count AS INTEGER) AS shipment_count, last_shipment_date FROM supply_summary"""
+ORACLE_SQL["warehouse_gold_daily_merchandising_summary"] = with_(*GOLD, *DIMS, ENRICHED, DAILY) + """
+SELECT date_key, region_name, category_name, CAST(total_revenue AS DECIMAL(14,2)) AS total_revenue,
+       CAST(total_units AS INTEGER) AS total_units, CAST(transaction_count AS INTEGER) AS transaction_count FROM daily"""
+ORACLE_SQL["warehouse_too_long"] = with_(CATEGORIES) + """SELECT * FROM (
+  SELECT category_id, category_name, department_id,
+         NULLIF(CONCAT_WS(',', CASE WHEN length(category_id) > 10 THEN 'too_long:category_id' END,
+                CASE WHEN length(category_name) > 100 THEN 'too_long:category_name' END,
+                CASE WHEN length(department_id) > 10 THEN 'too_long:department_id' END), '') AS _violation
+  FROM categories) WHERE _violation IS NOT NULL"""
+
+_TOTAL = ORACLE_SQL["revenue_total"]
+ORACLE_SQL["revenue_total_text"] = f"""SELECT *, '$' || format('{{:,.2f}}', total_revenue) AS total_revenue_text
+FROM ({_TOTAL})"""
+ORACLE_SQL["gate_report"] = f"""SELECT *, format('{{:.2f}}', quarantine_pct) AS quarantine_pct_text
+FROM ({ORACLE_SQL["dq_metrics"]})"""
+ORACLE_SQL["quarantine_listing"] = with_(*GATE) + """SELECT transaction_id, store_id, quantity, unit_price,
+       _dq_failure_reason FROM tagged WHERE _dq_failure_reason IS NOT NULL"""
+ORACLE_SQL["source_counts"] = with_(RAW_TX, PRODUCTS, CATEGORIES, DEPARTMENTS, STORES, REGIONS, SUPPLIERS, RAW_SHIP) + """
+SELECT 'transactions' AS source, COUNT(*) AS row_count FROM raw_tx
+UNION ALL SELECT 'products', COUNT(*) FROM products
+UNION ALL SELECT 'categories', COUNT(*) FROM categories
+UNION ALL SELECT 'departments', COUNT(*) FROM departments
+UNION ALL SELECT 'stores', COUNT(*) FROM stores
+UNION ALL SELECT 'regions', COUNT(*) FROM regions
+UNION ALL SELECT 'suppliers', COUNT(*) FROM suppliers
+UNION ALL SELECT 'supply_chain', COUNT(*) FROM raw_ship"""
+ORACLE_SQL["supply_pairs_null_ids"] = with_(RAW_SHIP) + """SELECT product_id, supplier_id,
+       CAST(SUM(quantity_received) AS BIGINT) AS total_quantity_received,
+       COUNT(CASE WHEN CAST(substr(product_id, 2) AS BIGINT) % 7 <> 0 THEN shipment_id END) AS shipment_count
+FROM raw_ship GROUP BY product_id, supplier_id
+ORDER BY total_quantity_received DESC, product_id, supplier_id LIMIT 50"""
+ORACLE_SQL["reingest_reference_latest"] = with_(RAW_SHIP, SILVER_SHIP) + """
+SELECT shipment_id, CAST(ship_date - 30 AS DATE) AS ship_date, product_id, supplier_id,
+       CAST(quantity_received + 1 AS INTEGER) AS quantity_received FROM silver_ship"""
+
+# Landed as CSV an empty price is null: it is no longer "present but not a number".
+_LANDED = TAGGED.replace("tagged AS", "landed_tagged AS").replace("FROM raw_tx", "FROM landed_tx")
+ORACLE_SQL["quarantine_table"] = with_(RAW_TX, f"""landed_tx AS (
+  SELECT * REPLACE (NULLIF(unit_price, '') AS unit_price) FROM raw_tx)""", _LANDED) + """
+SELECT *, 'transactions.csv' AS _source_file, TRUE AS ingest_time_set
+FROM landed_tagged WHERE _dq_failure_reason IS NOT NULL"""
+
+# Prices that are numbers but not money: a group that has one is summed as doubles.
+_EDGE_TX = RAW_TX.replace("raw_tx AS", "plain_tx AS")
+ORACLE_SQL["revenue_edge_prices"] = with_(_EDGE_TX, """raw_tx AS (
+  SELECT * REPLACE (CASE WHEN CAST(substr(product_id, 2) AS BIGINT) % 107 = 0 THEN '1e300'
+                         WHEN CAST(substr(product_id, 2) AS BIGINT) % 109 = 0 THEN 'NaN'
+                         WHEN CAST(substr(product_id, 2) AS BIGINT) % 113 = 0 THEN 'Infinity'
+                         ELSE unit_price END AS unit_price) FROM plain_tx)""",
+    TAGGED, SILVER_TX, FACT, *DIMS, ENRICHED) + """
+SELECT date_key, region_name, category_name,
+       CASE WHEN bool_or(isnan(revenue) OR abs(revenue) >= 1e16) THEN SUM(revenue)
+            ELSE CAST(SUM(TRY_CAST(CASE WHEN NOT isnan(revenue) AND abs(revenue) < 1e16 THEN revenue END
+                                   AS DECIMAL(18,2))) AS DOUBLE) END AS total_revenue,
+       CAST(SUM(quantity) AS BIGINT) AS total_units, COUNT(DISTINCT transaction_id) AS transaction_count
+FROM enriched GROUP BY date_key, region_name, category_name"""

@@ -157,6 +157,17 @@ WAREHOUSE = {
     ),
 }
 
+# Declared lengths of the warehouse's text columns (the same in every table).
+TEXT_LENGTHS = {
+    "department_id": 10, "department_name": 100,
+    "category_id": 10, "category_name": 100,
+    "product_id": 20, "product_name": 200,
+    "supplier_id": 10, "supplier_name": 200, "country": 50,
+    "region_id": 10, "region_name": 50,
+    "store_id": 20, "store_name": 200,
+    "transaction_id": 20, "payment_type": 20,
+}
+
 # Gold table -> silver source for the six pass-through dimensions.
 DIMENSION_SOURCES = {
     "dim_product": "products",

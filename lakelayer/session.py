@@ -65,9 +65,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a folder every executor can
-    reach; we use it for checkpoints and for the tables the plans write. Only
-    when nothing is configured (unit tests on a laptop) do we pick a folder
-    under the system temp dir.
+    reach; we use it for checkpoints and for the tables the plans write. Only a
+    ``local`` session (unit tests on a laptop) gets a folder under the system
+    temp dir when nothing is configured; any other session raises.
     """
     sc = _context(spark)
     current = sc.getCheckpointDir() if sc is not None else None
@@ -76,6 +76,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if current and sc is not None:
             sc.setCheckpointDir(current)
     if not current:
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         current = os.path.join(tempfile.gettempdir(), "lakelayer-checkpoints")
         if sc is not None:
             sc.setCheckpointDir(current)

@@ -13,6 +13,7 @@ same code serves a scheduled batch job and a continuously running stream.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 from pyspark.sql.types import StructType
 
@@ -24,11 +25,11 @@ def ingest_incrementally(spark: SparkSession, landing_dir: str, schema: StructTy
                          timeout_s: float | None = None) -> int:
     """Append every not-yet-ingested CSV file under ``landing_dir`` to ``bronze_dir``.
 
-    Returns the number of rows appended by this run, summed from the query's
-    progress reports. Spark keeps the last ``spark.sql.streaming.numRecentProgressUpdates``
-    (100) of them, so a run of more micro-batches than that undercounts.
-    The ingest itself is unaffected.
+    Returns the number of rows appended by this run: the table's count after it
+    less the count before, both answered from Parquet footers. The stream is the
+    table's only writer.
     """
+    before = _stored_rows(spark, bronze_dir, schema)
     reader = spark.readStream.schema(schema).option("header", True).option("mode", "PERMISSIVE")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -46,4 +47,12 @@ def ingest_incrementally(spark: SparkSession, landing_dir: str, schema: StructTy
         raise TimeoutError(f"incremental ingest of {landing_dir} did not finish in {timeout_s}s")
     if query.exception() is not None:
         raise query.exception()
-    return sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)
+    return _stored_rows(spark, bronze_dir, schema) - before
+
+
+def _stored_rows(spark: SparkSession, table_dir: str, schema: StructType) -> int:
+    """Rows of the table the stream has committed; 0 before its first run."""
+    try:
+        return spark.read.schema(schema).parquet(table_dir).count()
+    except AnalysisException:  # no such folder yet
+        return 0
