@@ -2,9 +2,7 @@
 
 Usage: python tools/plans.py [sf_dir] > PLANS.md
 
-For each query two plans are shown: as planned on the given scale factor,
-and with every broadcast ruled out (Spark's size threshold off, our bounded
-check at 0 rows), which is the shape a large cluster run takes when the
+The plans are shown with every broadcast ruled out (Spark's size threshold off), the shape a large cluster run takes when the
 dimensions are too big to copy.
 """
 
@@ -18,33 +16,18 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from lakelayer.operators import marts  # noqa: E402
-from lakelayer.operators.placement import BROADCAST_MAX_ROWS_CONF, DEFAULT_BROADCAST_MAX_ROWS  # noqa: E402
 from lakelayer.plans import catalog  # noqa: E402
 
-LAZY = ("tag_duplicate", "dq_quarantine", "conform_reference", "supply_chain_summary", "daily_summary",
-        "snowflake_enrich", "merge_upsert", "region_category_top8")
-
+LAZY = ("tag_duplicate", "daily_summary", "merge_upsert")
 
 NOTES = {
-    "tag_duplicate": "The repeated-key set (a partial + final aggregate over the key column) was written once and "
-                     "counted; here it is a Parquet scan, broadcast because the count is under the bound, so the "
-                     "rows are not shuffled. In the no-broadcast plan it is a null-safe sort-merge join, whose "
-                     "skewed partitions AQE splits (`SortMergeJoin(skew=true)`, tests/test_quality.py).",
-    "dq_quarantine": "Null and numeric tags collapse into one `Project`; the reason filter sits above the join "
-                     "because it depends on it. The key branch reads only the key columns.",
-    "conform_reference": "`max(struct(...))` per key: `partial_max` before the exchange, so a repeated id costs one "
-                         "row per map task. No window and no sort of a whole key group in one task.",
-    "supply_chain_summary": "Partial + final aggregate on (product, supplier) after the dedupe aggregate.",
-    "daily_summary": "Lookups proven small are broadcast: map-side joins, one partial + final aggregate, and a "
-                     "range sort of the small summary. Without broadcast, the fact is first pre-aggregated on "
-                     "(date, store, product), so the shuffle joins see one row per group, not per sale.",
-    "snowflake_enrich": "Two lookups instead of four chained joins; broadcast only after the bounded count.",
-    "merge_upsert": "The staging source was written once and counted: the target meets it in a broadcast hash "
-                    "join and is never shuffled; inserts come from a semi join of target keys with the "
-                    "broadcast source keys. Without broadcast: left join on (key, salt) and left anti join "
-                    "against distinct target (key, salt), the salt spreading null-key rows.",
-    "region_category_top8": "The same size-aware summary without the date, then `TakeOrderedAndProject`: "
-                            "per-partition top 8 and a merge of 8 rows per partition. No global sort.",
+    "tag_duplicate": "Repeated keys come from a partial + final aggregate over the key column alone and join the rows "
+                     "null-safely, without a hint: AQE broadcasts them if their bytes are few, else sort-merges and "
+                     "splits a hot key's rows.",
+    "daily_summary": "The fact is aggregated on (date, store, product) before the joins, so they see one row per "
+                     "group, not per sale; the lookups carry no hint.",
+    "merge_upsert": "One full outer join on (key, salt), each side read and shuffled once; the salt spreads rows "
+                    "with a null key.",
 }
 
 
@@ -63,27 +46,22 @@ def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.1"
     spark = local_session(8, 16)
     print("# Physical plans\n")
-    print(f"Generated by `python tools/plans.py {sf_dir}`. Two plans per query: as planned on this scale")
-    print("factor, and with broadcasts ruled out (`spark.sql.autoBroadcastJoinThreshold=-1`, bounded check")
-    print("at 0 rows), the shape a large run takes when dimensions are too big to copy. Plans are")
+    print(f"Generated by `python tools/plans.py {sf_dir}`. Broadcasts are ruled out")
+    print("(`spark.sql.autoBroadcastJoinThreshold=-1`), the shape a large run takes when dimensions are too big to copy. Plans are")
     print("adaptive; AQE may still coalesce partitions, split skewed ones, or switch a join at run time.")
     print("Dedupe of string columns (`first`, `max(struct)`) plans as a sort-based aggregate, because Spark's")
     print("hash aggregate needs fixed-width buffers; it is still partial (map-side) and spills.\n")
     default_threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     for name in LAZY:
-        for label, large in (("as planned", False), ("no broadcast", True)):
-            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1" if large else default_threshold)
-            spark.conf.set(BROADCAST_MAX_ROWS_CONF, "0" if large else str(DEFAULT_BROADCAST_MAX_ROWS))
+        for label in ("no broadcast",):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
             if name == "daily_summary":
                 df = marts.build_daily_summary(catalog._fact(spark, sf_dir), *catalog._dims(spark, sf_dir))
-            elif name == "snowflake_enrich":
-                df = marts.enrich_sales(catalog._fact(spark, sf_dir), *catalog._dims(spark, sf_dir))
             else:
                 df = catalog.QUERIES[name](spark, sf_dir)
-            note = f"{NOTES[name]}\n\n" if not large and name in NOTES else ""
+            note = f"{NOTES[name]}\n\n" if name in NOTES else ""
             print(f"## {name} ({label})\n\n{note}```\n{plan_text(df)}\n```\n")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", default_threshold)
-    spark.conf.unset(BROADCAST_MAX_ROWS_CONF)
     spark.stop()
 
 
