@@ -30,7 +30,7 @@ PLAIN_CHARS = ["\n", *map(chr, range(0x20, 0x7F)), *map(chr, range(0xA1, 0x130))
 NOT_PLAIN = "[^\n\x20-\x7e\u00a1-\u012f\u0131-\u024f]"
 SPACE_RUN = "[ \n][ \n]"
 PIECES_KEPT = 700_000
-SLICE_BYTES = 16_000_000
+SLICE_BYTES = 24_000_000
 GATHER_TOKENS = 2_000_000
 
 # How the two public vocabularies split a text into pieces (their
@@ -71,21 +71,23 @@ class ColumnEncoder:
         self.split = piece_pattern(BYTE_PIECES if keeps_space else WORD_PIECES).findall
         spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self.spelled = {ord(c): spell(c)[0][0] for c in PLAIN_CHARS}
-        self.pieces: dict[str, array] = {}
+        self.pieces: dict[str, bytes] = {}
         self.kept = pieces_kept
 
-    def _chunk(self, chunk: str, blank: str) -> list[array]:
-        """Ids of a chunk's pieces; ``blank`` stands before it in the text, if that is part of the ids."""
-        text = f"{blank}{chunk}" if self.keeps_space else chunk.lower()
-        found = []
-        # ASCII letters alone are one piece.
-        for piece in (text,) if chunk.isascii() and chunk.isalpha() else self.split(text):
-            ids = self.pieces.get(piece)
-            if ids is None:
-                spelled = piece.translate(self.spelled)
-                ids = self.pieces[piece] = array("I", [t.id for t in self.tokenizer.model.tokenize(spelled)])
-            found.append(ids)
-        return found
+    def _piece(self, piece: str) -> bytes:
+        tokens = self.tokenizer.model.tokenize(piece.translate(self.spelled))
+        ids = self.pieces[piece] = array("I", [t.id for t in tokens]).tobytes()
+        return ids
+
+    def _chunk(self, chunk: str, blank: str) -> bytes:
+        """Ids of a chunk; ``blank`` stands before it in the text, if that is part of the ids."""
+        text = blank + chunk if self.keeps_space else chunk.lower()
+        known = self.pieces.get(text)
+        if known is not None:
+            return known
+        if chunk.isascii() and chunk.isalpha():  # ASCII letters alone are one piece
+            return self._piece(text)
+        return b"".join([self.pieces.get(piece) or self._piece(piece) for piece in self.split(text)])
 
     def _gathered(self, texts: pa.Array) -> Iterator[bytes]:
         """Ids of plain texts."""
@@ -94,13 +96,9 @@ class ColumnEncoder:
         lists = pc.split_pattern(texts, " ") if self.keeps_space else pc.ascii_split_whitespace(texts)
         coded = lists.flatten().dictionary_encode()
         chunks = coded.dictionary.to_pylist()
-        ids, ends = array("I"), array("q", [0])
-        for chunk in chunks:
-            for part in self._chunk(chunk, " "):
-                ids.extend(part)
-            ends.append(len(ids))
-        ids = np.frombuffer(ids, dtype="<u4") if len(ids) else np.zeros(0, "<u4")
-        ends = np.frombuffer(ends, dtype=np.int64)
+        found = [self._chunk(chunk, " ") for chunk in chunks]
+        ends = np.cumsum(np.fromiter(map(len, [b"", *found]), dtype=np.int32) // 4, dtype=np.int32)
+        ids = np.frombuffer(b"".join(found), dtype="<u4")
         at = coded.indices.to_numpy(zero_copy_only=False)
         starts, lengths = ends[:-1][at], np.diff(ends)[at]
         offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
@@ -110,15 +108,15 @@ class ColumnEncoder:
             lengths[offsets[full]] = 0
             for row in full.tolist():
                 head = chunks[at[offsets[row]]]
-                first[row] = b"".join(part.tobytes() for part in self._chunk(head, ""))
+                first[row] = self._chunk(head, "")
         before = np.concatenate((np.zeros(1, np.int64), np.cumsum(lengths)))[offsets]
         row = 0
         while row < len(texts):
             stop = max(row + 1, int(np.searchsorted(before, before[row] + GATHER_TOKENS, side="right")) - 1)
             own = slice(offsets[row], offsets[stop])
             size = lengths[own]
-            shift = np.repeat(starts[own] - (np.cumsum(size) - size), size)
-            flat = ids[shift + np.arange(len(shift))]
+            shift = np.repeat(starts[own] - (np.cumsum(size, dtype=np.int32) - size), size)
+            flat = ids[shift + np.arange(len(shift), dtype=np.int32)]
             cuts = (before[row:stop + 1] - before[row]).tolist()
             for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
                 yield first[row + i] + flat[a:b].tobytes()
