@@ -327,8 +327,11 @@ def _warehouse_table(name):
 
 
 def warehouse_too_long(spark, d):
-    """Categories whose declared text lengths do not hold their values."""
-    return conform_to_schema(_silver_reference(spark, d)["categories"], WAREHOUSE["dim_category"]).violations
+    """Rows whose text is longer than declared; planted where the category's name has an even length."""
+    categories = _silver_reference(spark, d)["categories"]
+    long = F.when(F.length("category_name") % 2 == 0, F.concat("category_id", F.lit("-far-too-long")))
+    return conform_to_schema(categories.withColumn("category_id", F.coalesce(long, F.col("category_id"))),
+                             WAREHOUSE["dim_category"]).violations
 
 
 def warehouse_load(spark, d):

@@ -324,7 +324,8 @@ ORACLE_SQL["warehouse_too_long"] = with_(CATEGORIES) + """SELECT * FROM (
          NULLIF(CONCAT_WS(',', CASE WHEN length(category_id) > 10 THEN 'too_long:category_id' END,
                 CASE WHEN length(category_name) > 100 THEN 'too_long:category_name' END,
                 CASE WHEN length(department_id) > 10 THEN 'too_long:department_id' END), '') AS _violation
-  FROM categories) WHERE _violation IS NOT NULL"""
+  FROM (SELECT CASE WHEN length(category_name) % 2 = 0 THEN category_id || '-far-too-long' ELSE category_id END
+               AS category_id, category_name, department_id FROM categories)) WHERE _violation IS NOT NULL"""
 
 _TOTAL = ORACLE_SQL["revenue_total"]
 ORACLE_SQL["revenue_total_text"] = f"""SELECT *, '$' || format('{{:,.2f}}', total_revenue) AS total_revenue_text
