@@ -97,7 +97,7 @@ class ColumnEncoder:
         coded = lists.flatten().dictionary_encode()
         chunks = coded.dictionary.to_pylist()
         found = [self._chunk(chunk, " ") for chunk in chunks]
-        ends = np.cumsum(np.fromiter(map(len, [b"", *found]), dtype=np.int32) // 4, dtype=np.int32)
+        ends = np.cumsum(np.fromiter(map(len, [b"", *found]), dtype=np.int64) // 4)
         ids = np.frombuffer(b"".join(found), dtype="<u4")
         at = coded.indices.to_numpy(zero_copy_only=False)
         starts, lengths = ends[:-1][at], np.diff(ends)[at]
@@ -115,8 +115,8 @@ class ColumnEncoder:
             stop = max(row + 1, int(np.searchsorted(before, before[row] + GATHER_TOKENS, side="right")) - 1)
             own = slice(offsets[row], offsets[stop])
             size = lengths[own]
-            shift = np.repeat(starts[own] - (np.cumsum(size, dtype=np.int32) - size), size)
-            flat = ids[shift + np.arange(len(shift), dtype=np.int32)]
+            shift = np.repeat(starts[own] - (np.cumsum(size) - size), size)
+            flat = ids[shift + np.arange(len(shift))]
             cuts = (before[row:stop + 1] - before[row]).tolist()
             for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
                 yield first[row + i] + flat[a:b].tobytes()
