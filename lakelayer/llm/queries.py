@@ -104,4 +104,66 @@ def op10_backoff_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_pack_sequences, op2_wavelet_tokens, op3_secret_scan, op4_shuffle_shards, op5_perplexity_quality, op6_personal_data, op7_decontaminate,
                                   op8_jaccard_join, op9_quality_rules, op10_backoff_scores)}
-ORACLE_SQL: dict[str, str] = {}
+# DuckDB SQL of the queries that SQL can express. The others hold random permutations, token
+# ids, trained models or sums of logarithms; tests hold them against brute force.
+_LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_SPACE = r"[ \t\n\r\x0b\x0c]"
+
+ORACLE_SQL: dict[str, str] = {
+    "op7_decontaminate": rf"""WITH items AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all({_LOW}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), windows AS (
+  SELECT DISTINCT item, span, array_to_string(w[pos:pos + span - 1], ' ') AS words
+  FROM (SELECT *, unnest(range(1, len(w) - span + 2)) AS pos FROM (SELECT *, least(13, len(w)) AS span FROM items WHERE len(w) > 0))
+), docs AS (
+  SELECT doc_id, regexp_extract_all({_LOW}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), places AS (
+  SELECT doc_id, span, pos, array_to_string(w[pos:pos + span - 1], ' ') AS words
+  FROM (SELECT doc_id, w, span, unnest(range(1, len(w) - span + 2)) AS pos
+        FROM docs, (SELECT DISTINCT span FROM windows) WHERE len(w) >= span)
+), met AS (SELECT doc_id, pos, span, item FROM places JOIN windows USING (span, words)
+), hits AS (
+  SELECT doc_id, count(DISTINCT at_word) AS n_hit FROM (SELECT doc_id, unnest(range(pos, pos + span)) AS at_word FROM met) GROUP BY doc_id
+), found AS (
+  SELECT doc_id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS own FROM met GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(own, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN found USING (doc_id)""",
+    "op8_jaccard_join": rf"""WITH RECURSIVE docs AS (
+  SELECT doc_id, list_filter(string_split_regex({_LOW}, '{_SPACE}+'), lambda x: x <> '') AS w FROM documents
+), sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+         ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s FROM docs
+), elements AS (SELECT doc_id, len(s) AS n, unnest(s) AS e FROM sets
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM elements a JOIN elements b ON a.e = b.e AND a.doc_id <> b.doc_id
+       AND 10 * least(a.n, b.n) >= 9 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM docs
+  UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id
+FROM sets JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) ON a = doc_id""",
+    "op9_quality_rules": rf"""WITH docs AS (
+  SELECT doc_id, coalesce(text, '') AS t, list_filter(string_split_regex(coalesce(text, ''), '{_SPACE}+'), lambda x: x <> '') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^ \t\n\r\x0b\x0c]')) AS l FROM documents
+), windows AS (
+  SELECT doc_id, pos, count(*) OVER (PARTITION BY doc_id, words) AS times
+  FROM (SELECT doc_id, unnest(range(1, len(w) - 1)) AS pos,
+               unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS words
+        FROM docs WHERE len(w) >= 3)
+), repeated AS (
+  SELECT doc_id, count(DISTINCT word) AS n FROM (SELECT doc_id, unnest([pos, pos + 1, pos + 2]) AS word FROM windows WHERE times > 1) GROUP BY doc_id
+), measured AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+         CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words, len(l) AS n_lines
+  FROM docs LEFT JOIN repeated USING (doc_id)
+), based AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM measured)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR 100 * n_symbols > 35 * n_words OR 100 * n_dup_lines > 60 * n_lines
+            OR word_chars > 20 * n_words OR word_chars < 2 * n_words) AS kept
+FROM based""",
+}
