@@ -24,7 +24,6 @@ their size, not its square, and no link between components is lost.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import combinations
 from math import comb
 
@@ -173,11 +172,6 @@ def subset_keys(own: np.ndarray, num: int, den: int, light: int) -> tuple[np.nda
     return (np.concatenate(keys), np.concatenate(sides)) if keys else (None, None)
 
 
-@lru_cache(maxsize=64)
-def _pairs_of(m: int) -> tuple[np.ndarray, np.ndarray]:
-    return np.triu_indices(m, 1)
-
-
 def _scan_lists(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
     """Lists in order of (element, class): short ones give their pairs, long ones their rows.
 
@@ -210,7 +204,7 @@ def _scan_lists(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterat
         for m in np.unique(sizes[~is_long[done]]).tolist():
             if m > 1:
                 begin = starts[done][~is_long[done] & (sizes == m)]
-                i, j = _pairs_of(m)
+                i, j = np.triu_indices(m, 1)
                 left.append((begin[:, None] + i).ravel())
                 right.append((begin[:, None] + j).ravel())
         a = np.concatenate(left) if left else np.zeros(0, np.int64)
