@@ -289,12 +289,18 @@ def link_groups(docs: DataFrame, words: int = 3, num: int = 9, den: int = 10) ->
     pairs = met.where("not long").groupBy("a", "b").agg(
         F.count(F.lit(1)).alias("times"), F.min("ta").alias("ta"), F.min("tb").alias("tb"),
         F.first("na").alias("na"), F.first("nb").alias("nb"))
-    # A pair that meets in short lists only meets MEET times.
-    pairs = pairs.where((F.col("times") >= MEET) & may_link("na", "nb", "ta", "tb", num, den)).select("a", "b")
+    pairs = pairs.where(may_link("na", "nb", "ta", "tb", num, den)).select("a", "b", "times")
 
     long_rows = met.where("long").select("element", F.col("a").alias("cls"), F.col("na").alias("n"), F.col("ta").alias("at")).union(
         entries.where(F.col("at") >= F.col("long_from")).select("element", "cls", "n", F.col("at").cast("long")))
     long_rows = stage(long_rows.distinct(), "jaccard-long")
+    # A pair that meets in short lists only meets MEET times there. One that meets in long lists
+    # too may first meet in a short one; both its sets then have rows in long lists.
+    in_long = long_rows.select("cls").distinct()
+    few = pairs.where(F.col("times") < MEET).join(in_long.withColumnRenamed("cls", "a"), "a", "left_semi").join(
+        in_long.withColumnRenamed("cls", "b"), "b", "left_semi")
+    pairs = pairs.where(F.col("times") >= MEET).select("a", "b").union(few.select("a", "b"))
+
     centre = long_rows.groupBy("element").agg(F.min(F.struct("at", "cls", "n")).alias("p"), F.count(F.lit(1)).alias("m"))
     centre = centre.where("m > 1").select("element", F.col("p.cls").alias("b"), F.col("p.n").alias("nb"), F.col("p.at").alias("tb"))
     tried = long_rows.withColumnsRenamed({"cls": "a", "n": "na", "at": "ta"}).join(centre, "element")
