@@ -58,9 +58,11 @@ def corpus(seed):
     return [(i + 1, t) for i, t in enumerate(rows)] + [(3, rows[2]), (None, rows[5]), (None, "alone in the world")]
 
 
-@pytest.mark.parametrize("k,num,den,short,light", [(3, 9, 10, 32, None), (5, 4, 5, 8, None), (3, 9, 10, 4, 30)])
-def test_matches_brute_force(spark, monkeypatch, k, num, den, short, light):
+@pytest.mark.parametrize("k,num,den,short,light,long", [
+    (3, 9, 10, 32, None, 8), (5, 4, 5, 8, None, 8), (3, 9, 10, 4, 30, 8), (3, 9, 10, 3, None, 40)])
+def test_matches_brute_force(spark, monkeypatch, k, num, den, short, light, long):
     monkeypatch.setattr(jaccard, "SHORT", short)
+    monkeypatch.setattr(jaccard, "LONG_COUNT", long)
     if light:
         monkeypatch.setattr(jaccard, "boundary", lambda *_: light)
     rows = corpus(k)
