@@ -5,7 +5,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from lakelayer.llm.backoff import pack_sorted, score_documents, unpack_sorted
-from lakelayer.llm.kneser_ney import Model, judge_by_perplexity
+from lakelayer.llm.kneser_ney import Model, judge_by_perplexity, repeated
 from lakelayer.llm.quality_rules import RULES, Document, cascade, judge, kept_documents, order_rules
 from lakelayer.llm.shuffle import communication_matrix, hypergeometric, shuffle_into_shards
 
@@ -81,6 +81,27 @@ def test_clean_documents_are_kept(spark):
     assert bad.where("not kept").count() >= 0.4 * bad.count()
 
 
+def test_bad_documents_are_rejected(spark):
+    sf = "/root/testdata/sf0.1"
+    labels, docs = spark.read.parquet(f"{sf}/labels.parquet"), spark.read.parquet(f"{sf}/documents.parquet")
+    found = judge_by_perplexity(docs, labels).join(labels, "doc_id").groupBy("quality", "toxic").agg(
+        F.count("doc_id").alias("n"), F.sum(F.col("kept").cast("int")).alias("kept")).collect()
+    kept = {(r.quality, r.toxic): r.kept / r.n for r in found}
+    assert kept[1, 0] >= 0.97 and kept[0, 0] <= 0.03 and kept[0, 1] <= 0.03
+    # Toxic text of good quality is mostly kept: its perplexity is close to that of other good text.
+    assert kept[1, 1] <= 0.98
+
+
+def test_repetition_is_counted_by_stretch():
+    texts = ["Der " * 400, "".join(map(chr, range(200, 500))), ""]
+    at = np.concatenate([np.arange(1600) % 4, np.arange(300)])
+    again = repeated(at, np.array([1600, 300, 0]))
+    assert again[:1600].sum() == 1600 - 4 * 7 and again[1600:].sum() == 0
+    keys, counts = np.unique(np.zeros(0, np.int64), return_counts=True)
+    surprise, share = Model.train(keys, counts, np.zeros(2, dtype=np.int64), 6).measure([texts[0], "", texts[0][:3]])
+    assert np.isnan(share[1]) and np.isnan(surprise[1]) and share[0] > 0.9
+
+
 def test_perplexity_edges(spark):
     docs = spark.createDataFrame([(1, None, "en", 1), (2, "", None, 1), (3, "some text here", "en", 1), (3, "some text here", "en", 1),
                                   (None, "else", "xx", 1)], "doc_id long, text string, lang string, key int")
