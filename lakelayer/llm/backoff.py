@@ -5,8 +5,8 @@ n-gram seen elsewhere in the corpus, times 0.4 for each word of history given
 up (Brants et al., 2007). A document's own n-grams are taken out of the counts
 it is scored with, so no document vouches for itself.
 
-Relationally: documents are dealt by a hash into blocks of bounded size. Each
-block lists its distinct n-grams (64-bit hashes) with their counts, cut by hash
+Relationally: every task cuts the documents it reads into compressed blocks of
+bounded size, which are stored once and move once, to be scored. Each block lists its distinct n-grams (64-bit hashes) with their counts, cut by hash
 into shards. A shard adds up the lists of all blocks (the count table of its
 hashes) and joins the totals to every list; a block then looks up its n-grams
 among the totals and sums per document. A list holds an n-gram once per block,
@@ -16,9 +16,12 @@ so a very frequent one is a row per block. Lists travel sorted, as differences.
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -67,8 +70,48 @@ def block_grams(texts: pa.Array, order: int) -> tuple[np.ndarray, list[np.ndarra
     return counts, grams, owners
 
 
-def _lists(table: pa.Table, order: int, shards: int) -> pa.Table:
-    block = table.column("block")[0].as_py()
+def _packed(rows: list[pa.RecordBatch]) -> bytes:
+    """Batches of (doc_id, text) as one compressed stream."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(pa.Table.from_batches(rows).combine_chunks())
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(data: bytes) -> pa.Table:
+    return pa.ipc.open_stream(data).read_all()
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterator[pa.RecordBatch]:
+    """Blocks of the documents of a task, of ``block_bytes`` of text or one document; numbered by task, then in order."""
+    number = TaskContext.get().partitionId() << 32
+
+    def packed(rows):
+        return pa.RecordBatch.from_pydict({"block": pa.array([number], pa.int64()), "data": pa.array([_packed(rows)], pa.binary())})
+
+    rows, size = [], 0
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+        begin = 0
+        for i, length in enumerate(lengths.tolist()):
+            if size and size + length > block_bytes:
+                if i > begin:
+                    rows.append(batch.slice(begin, i - begin))
+                yield packed(rows)
+                number, rows, size, begin = number + 1, [], 0, i
+            size += length
+        rows.append(batch.slice(begin))
+    if sum(map(len, rows)):
+        yield packed(rows)
+
+
+def _lists(batches: Iterator[pa.RecordBatch], order: int, shards: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for block, data in zip(batch.column("block").to_pylist(), batch.column("data")):
+            yield from _listed(block, _unpacked(data.as_buffer()), order, shards).to_batches()
+
+
+def _listed(block: int, table: pa.Table, order: int, shards: int) -> pa.Table:
     _, grams, _ = block_grams(table.column("text"), order)
     # Shard s holds the hashes from s * 2**64 / shards on.
     edges = np.array([(s << 64) // shards for s in range(1, shards)], dtype=np.uint64)
@@ -156,16 +199,15 @@ def score_documents(docs: DataFrame, order: int = ORDER, backoff: float = BACKOF
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks, shards = 1 + size // block_bytes, 1 + size // shard_bytes
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)))
+    shards = 1 + size // shard_bytes
+    blocks = stage(rows.mapInArrow(lambda b: _blocks(b, block_bytes), "block long, data binary"), "lm-blocks")
 
     schema = "block long, n int, shard int, hashes binary, counts binary"
-    lists = dealt.select("block", "text").groupBy("block").applyInArrow(lambda t: _lists(t, order, shards), schema)
+    lists = blocks.mapInArrow(lambda b: _lists(b, order, shards), schema)
     replies = lists.groupBy("n", "shard").applyInArrow(_totals, "block long, n int, shard int, totals binary")
-    replies = stage(replies, "lm-totals")
     words = F.size(F.filter(F.split("text", "[ \t\n\r\x0b\x0c]+"), lambda w: w != ""))
     corpus = int(rows.where("text is not null").agg(F.sum(words.cast("long"))).first()[0] or 0)
 
     schema = ("doc_id long, n_words long, n_full long, n_unseen long, log_score double, mean_log_score double")
-    return dealt.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(
-        lambda d, r: _scores(d, r, order, corpus, backoff), schema)
+    return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(
+        lambda d, r: _scores(_unpacked(d.column("data")[0].as_buffer()), r, order, corpus, backoff), schema)

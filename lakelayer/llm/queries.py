@@ -99,7 +99,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_backoff_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stupid-backoff score of every document against the rest of the corpus."""
-    return score_documents(table(spark, sf_dir, "documents"))
+    return score_documents(table(spark, sf_dir, "documents"), order=3)
 
 
 QUERIES = {f.__name__: f for f in (op1_pack_sequences, op2_wavelet_tokens, op3_secret_scan, op4_shuffle_shards, op5_perplexity_quality, op6_personal_data, op7_decontaminate,

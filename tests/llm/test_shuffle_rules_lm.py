@@ -152,6 +152,31 @@ def test_backoff_matches_brute_force(spark, sf_small):
     assert len(out) == len(rows) and score_documents(docs.limit(0)).count() == 0
 
 
+def test_query_scores_with_trigrams(spark, sf_small):
+    from lakelayer.llm.queries import op10_backoff_scores
+
+    rows = [(r.doc_id, ((r.text or "").encode().lower().split())) for r in spark.read.parquet(f"{sf_small}/documents.parquet").collect()]
+    grams = [Counter(tuple(d[i:i + n]) for _, d in rows for i in range(len(d) - n + 1)) for n in (1, 2, 3)]
+    total, wanted = sum(grams[0].values()), {}
+    for doc, d in rows:
+        own = [Counter(tuple(d[i:i + n]) for i in range(len(d) - n + 1)) for n in (1, 2, 3)]
+        log, full = 0.0, 0
+        for i in range(len(d)):
+            for n in range(min(3, i + 1), 0, -1):
+                run = tuple(d[i - n + 1:i + 1])
+                seen = grams[n - 1][run] - own[n - 1][run]
+                if seen or n == 1:
+                    base = grams[n - 2][run[:-1]] - own[n - 2][run[:-1]] if n > 1 else max(total - len(d), 1)
+                    log += math.log((seen or 0.5) / base * 0.4 ** (min(3, i + 1) - n))
+                    full += n == 3
+                    break
+        wanted[doc] = (len(d), full, log)
+    got = {r.doc_id: r for r in op10_backoff_scores(spark, sf_small).collect()}
+    assert got.keys() == wanted.keys() and sum(full for _, full, _ in wanted.values()) > 0
+    for doc, (n, full, log) in wanted.items():
+        assert (got[doc].n_words, got[doc].n_full) == (n, full) and abs(got[doc].log_score - log) < 1e-4
+
+
 def test_sorted_lists_round_trip():
     rng = np.random.default_rng(2)
     for values in (rng.integers(0, 2**64, 1000, dtype=np.uint64), np.array([0, 2**64 - 1], dtype=np.uint64), np.zeros(1, np.uint64)):
