@@ -3,9 +3,11 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from lakelayer.llm.secret_scan import WIDTH, Network, base_spans, characters, find_secrets, train, train_on
+from lakelayer.llm.secret_scan import (WIDTH, Network, _findings, base_spans, candidates, characters, find_secrets,
+                                       pieces, train, train_on, windows)
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 
@@ -97,6 +99,24 @@ def test_scan_edges(spark):
     assert find_secrets(spark.createDataFrame([(1, "no secrets a1b2c3d4e5f6g7h8")], "doc_id long, text string")).first().spans == []
 
 
+def test_every_value_is_a_candidate_and_read_whole():
+    texts = ["pwd: hunter2x.", "key qwertzuiopasdf and 4711081512 or a.b_c-d/e=f", "x" * 95, "token=abcdefgh pwd=zyxwvuts", "é\n ab"]
+    found = [[t[a:b] for a, b in candidates(t, base_spans(t))] for t in texts]
+    assert found == [["hunter2x"], ["qwertzuiopasdf", "4711081512", "a.b_c-d/e=f"], ["x" * 95], ["pwd=zyxwvuts"], []]
+    assert pieces(3, 98) == [(3, 43), (23, 63), (43, 83), (58, 98)] and pieces(0, 40) == [(0, 40)]
+    for t in texts:
+        spans = [(0, min(len(t), 40)), (len(t) // 2, len(t) // 2 + 2)]
+        assert (windows(t, spans) == [characters(t, a, b) for a, b in spans]).all()
+
+
+def test_unlabelled_tokens_are_no_negatives():
+    texts = ["something ordinary token=abcd1234efgh", "something else ordinary unknown9secret77", "unknown9secret77 something"]
+    out = next(_findings(iter([pa.RecordBatch.from_pydict({"text": texts})])))
+    rows = [(bytes(c)[24:64].rstrip(b"\x61"), y) for c, y in zip(out.column("codes").to_pylist(), out.column("label").to_pylist())]
+    spelled = {("".join(chr(x + 32) for x in c), y) for c, y in rows}
+    assert spelled == {("something", 0), ("abcd1234efgh", 1)}
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline as p
     from lakelayer.llm.quality_rules import RULES, Document, cascade
