@@ -15,7 +15,10 @@ from lakelayer.llm.quality_rules import judge
 from lakelayer.llm.secret_scan import KINDS as SECRET_KINDS
 from lakelayer.llm.secret_scan import find_secrets
 from lakelayer.llm.shuffle import shuffle_into_shards
+from lakelayer.llm.simhash import fingerprint_groups
+from lakelayer.llm.spelling import group_variants
 from lakelayer.llm.tokens import public_path
+from lakelayer.llm.va_file import cluster_vectors
 from lakelayer.llm.wavelet import token_shards
 
 
@@ -102,13 +105,100 @@ def op10_backoff_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"), order=3)
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents, each with its more frequent form one edit away and the root forms lead to."""
+    return group_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_va_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's cluster after ten rounds, with distances and sums."""
+    return cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op13_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint, and its group at three or fewer differing bits."""
+    return fingerprint_groups(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_pack_sequences, op2_wavelet_tokens, op3_secret_scan, op4_shuffle_shards, op5_perplexity_quality, op6_personal_data, op7_decontaminate,
-                                  op8_jaccard_join, op9_quality_rules, op10_backoff_scores)}
+                                  op8_jaccard_join, op9_quality_rules, op10_backoff_scores, op11_spelling_variants,
+                                  op12_va_clusters, op13_simhash_groups)}
 # DuckDB SQL of the queries that SQL can express. The others hold random permutations, token
 # ids, trained models or sums of logarithms; tests hold them against brute force.
 _LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _SPACE = r"[ \t\n\r\x0b\x0c]"
 
+
+
+def _spelling_sql() -> str:
+    """CRC-32 by its table, each byte of a run folded in; words one edit apart by what is left without one letter."""
+    crc = "range(256)"
+    for _ in range(8):
+        crc = f"list_transform({crc}, lambda x: xor(x >> 1, 3988292384 * (x & 1)))"
+    step = "xor(c >> 8, crc[(xor(c, b) & 255) + 1])"
+    return rf"""WITH RECURSIVE tbl AS (SELECT {crc} AS crc
+), runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') || ':' AS id,
+         unnest(regexp_extract_all({_LOW}, '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents
+), counted AS (SELECT id, run, count(*) AS times FROM runs GROUP BY id, run
+), hashed AS (
+  SELECT run, times, xor(list_reduce(list_transform(flatten(list_transform(string_split(id || run, ''),
+           lambda l: CASE WHEN ord(l) < 128 THEN [ord(l)] ELSE [195, ord(l) - 64] END)), lambda b: CAST(b AS BIGINT)),
+         lambda c, b: {step}, CAST(4294967295 AS BIGINT)), 4294967295) AS h
+  FROM counted, tbl
+), slipped AS (
+  SELECT CASE WHEN h % 97 = 0 THEN run[:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word, times FROM hashed
+), words AS MATERIALIZED (
+  SELECT word, CAST(sum(times) AS BIGINT) AS n FROM slipped WHERE length(word) >= 5 GROUP BY word HAVING sum(times) >= 3
+), less AS (
+  SELECT word, n, place, word[:place] || word[place + 2:] AS rest FROM (SELECT word, n, unnest(range(0, length(word))) AS place FROM words)
+), pairs AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM less a JOIN less b ON a.place = b.place AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT less.word, words.word, words.n FROM less JOIN words ON rest = words.word
+  UNION SELECT words.word, less.word, less.n FROM less JOIN words ON rest = words.word
+), best AS (
+  SELECT word, count(*) AS n_near, first(near ORDER BY near_n DESC, near) AS near, max(near_n) AS near_n FROM pairs GROUP BY word
+), forms AS MATERIALIZED (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 2 * n THEN near END AS form,
+         CASE WHEN near_n >= 2 * n THEN near_n END AS form_n FROM words LEFT JOIN best USING (word)
+), reach AS (
+  SELECT word, word AS root, form AS ahead FROM forms
+  UNION ALL SELECT reach.word, forms.word, forms.form FROM reach JOIN forms ON reach.ahead = forms.word
+)
+SELECT word, form, reach.root, n, n_near, form_n FROM forms JOIN reach USING (word) WHERE reach.ahead IS NULL"""
+
+
+def _clusters_sql(rounds: int = 10) -> str:
+    """One pair of tables for each round: every vector's cluster, and the centroids' next components."""
+
+    def nearest(t: int) -> str:
+        return f"""d{t} AS MATERIALIZED (
+  SELECT id, c, sum((x - y) * (x - y)) AS distance FROM tall JOIN c{t} USING (d) GROUP BY id, c
+), a{t} AS MATERIALIZED (
+  SELECT id, c, distance FROM d{t} QUALIFY row_number() OVER (PARTITION BY id ORDER BY distance, c) = 1
+)"""
+
+    moves = ", ".join(f"""{nearest(t)}, s{t} AS (
+  SELECT c, d, sum(x) AS s, count(*) AS k FROM tall JOIN a{t} USING (id) GROUP BY c, d
+), c{t + 1} AS MATERIALIZED (
+  SELECT c, d, coalesce((s - ((s % k) + k) % k) // k, y) AS y FROM c{t} LEFT JOIN s{t} USING (c, d)
+)""" for t in range(rounds))
+    return f"""WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS id, vec_id,
+         list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS HUGEINT)) AS v
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+), tall AS MATERIALIZED (SELECT id, unnest(v) AS x, unnest(range(64)) AS d FROM kept
+), seeds AS (SELECT row_number() OVER (ORDER BY sha256('3:' || coalesce(CAST(vec_id AS VARCHAR), '')), v) - 1 AS c, v FROM kept
+), c0 AS MATERIALIZED (SELECT c, unnest(v) AS y, unnest(range(64)) AS d FROM seeds WHERE c < 8
+), {moves}, {nearest(rounds)}, digests AS (
+  SELECT c, sha256(string_agg(CAST(y AS VARCHAR), ',' ORDER BY d)) AS centroid_sha256 FROM c{rounds} GROUP BY c
+)
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(distance AS BIGINT) AS distance,
+       CAST(sum(distance) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM a{rounds} JOIN kept USING (id) JOIN digests USING (c)"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op7_decontaminate": rf"""WITH items AS (
   SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all({_LOW}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
@@ -166,4 +256,6 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT (base_failed OR 100 * n_symbols > 35 * n_words OR 100 * n_dup_lines > 60 * n_lines
             OR word_chars > 20 * n_words OR word_chars < 2 * n_words) AS kept
 FROM based""",
+    "op11_spelling_variants": _spelling_sql(),
+    "op12_va_clusters": _clusters_sql(),
 }

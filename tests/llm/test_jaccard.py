@@ -1,11 +1,12 @@
 import random
 from collections import defaultdict
+from math import comb
 
 import numpy as np
 import pytest
 
 from lakelayer.llm import jaccard
-from lakelayer.llm.jaccard import boundary, link_groups, needed, one_per_group, subset_keys, subsets_of
+from lakelayer.llm.jaccard import LARGEST_LIGHT, MEET, boundary, link_groups, needed, one_per_group, subset_keys, subsets_of
 
 
 def brute(rows, k, num, den):
@@ -89,7 +90,24 @@ def test_needed_and_boundary():
             linked = [o for o in range(a + 1) if 10 * o >= 9 * (a + b - o)]
             assert (min(linked) if linked else a + 1) == min(needed(a, b, 9, 10), a + 1)
     assert subsets_of(5, 9, 10, 40) == []
-    assert boundary({500: 1000, 12: 3}, 9, 10) >= 4
+    assert boundary({500: 1000, 12: 3}, 9, 10) == 2  # all bounds to 12 cost the same
+
+
+def test_boundary_has_the_least_cost():
+    """Subsets that light sets enumerate, and three times the list entries of heavy ones."""
+    def cost(sizes, bound):
+        subsets = sum(c * comb(n, size) for n, c in sizes.items() if n <= bound
+                      for low, high, size in subsets_of(n, 9, 10, bound))
+        heavy = -(-9 * (bound + 1) // 10)
+        return subsets + 3 * sum(c * (n - -(-9 * n // 10) + MEET) for n, c in sizes.items() if n >= heavy)
+
+    best = []
+    for sizes in ({500: 10, 12: 300, 9: 50, 6: 1000}, {7: 400, 8: 300, 300: 5}, {n: 100 for n in range(1, 60)}):
+        costs = {b: cost(sizes, b) for b in range(2, LARGEST_LIGHT + 1)}
+        best.append(boundary(sizes, 9, 10))
+        assert costs[best[-1]] == min(costs.values())
+        assert best[-1] == min(b for b in costs if costs[b] == min(costs.values()))
+    assert min(best) > 2
 
 
 def test_one_per_group_keeps_columns(spark):
