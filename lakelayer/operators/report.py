@@ -84,6 +84,17 @@ def top_supply_pairs(supply_chain: DataFrame, k: int = 5) -> DataFrame:
     return totals.orderBy(F.desc("total_quantity_received"), *keys).limit(k)
 
 
+def sold_against_received(fact_sales: DataFrame, supply_summary: DataFrame) -> DataFrame:
+    """Units sold and units received of every product that has either.
+
+    Both sides add up on product_id and join on it, so tables bucketed by
+    product_id are read, added up and joined where they lie.
+    """
+    sold = fact_sales.groupBy("product_id").agg(F.sum("quantity").alias("units_sold"))
+    received = supply_summary.groupBy("product_id").agg(F.sum("total_quantity_received").alias("units_received"))
+    return sold.join(received, "product_id", "full_outer")
+
+
 def gate_report(metrics: DataFrame) -> DataFrame:
     """Gate metrics plus ``quarantine_pct_text`` (two decimals)."""
     return metrics.withColumn("quarantine_pct_text", percent_text("quarantine_pct"))

@@ -44,9 +44,11 @@ from lakelayer.operators.report import (
     gate_report,
     revenue_total,
     revenue_total_text,
+    sold_against_received,
     top_region_categories_from_fact,
     top_supply_pairs,
 )
+from lakelayer.plans.incremental import apply_batch, quarantined_transactions, silver_transactions
 from lakelayer.plans.medallion import (
     DEFAULT_REFERENCE_ORDER,
     LayerPaths,
@@ -54,9 +56,11 @@ from lakelayer.plans.medallion import (
     publish_warehouse,
     run_bronze,
     run_layers,
+    run_references,
     run_silver,
     upsert_table,
 )
+from lakelayer.plans.partitioned_merge import merge_partitions, month_of
 from lakelayer.schemas import (
     FACT_SALES_COLUMNS,
     FACT_SALES_MERGE_UPDATES,
@@ -67,7 +71,9 @@ from lakelayer.schemas import (
 )
 from lakelayer.session import work_dir
 from lakelayer.sources import driver
+from lakelayer.sources.buckets import bucketed
 from lakelayer.sources.csv import read_typed_csv, stamp_ingest, write_csv
+from lakelayer.sources.partitions import overwrite_partitions
 from lakelayer.sources.tables import append_table, export_parquet, publish, read_table
 from lakelayer.streaming.ingest import ingest_incrementally
 
@@ -300,13 +306,14 @@ def merge_idempotent(spark, d):
 
 
 def warehouse_fact_merged(spark, d):
-    """C15's merge: a stored warehouse fact, and staging conformed to its types and merged into it."""
+    """C15's merge: a warehouse fact stored by month; staging, conformed to its types, replaces the months it meets."""
     target, staging = _merge_inputs(spark, d)
-    base = work_dir(spark, "fact-merge")
-    export_parquet(conform_to_schema(target, WAREHOUSE["fact_sales"]).rows, f"{base}/fact")
-    staged = conform_to_schema(staging, WAREHOUSE["fact_sales"]).rows
-    export_parquet(merge_fact_sales(read_table(spark, f"{base}/fact"), staged), f"{base}/merged")
-    return read_table(spark, f"{base}/merged")
+    path = f"{work_dir(spark, 'fact-merge')}/fact_sales"
+    stored = conform_to_schema(target, WAREHOUSE["fact_sales"]).rows
+    overwrite_partitions(stored.withColumn("_month", month_of("date_key")), path, ["_month"])
+    merge_partitions(spark, path, conform_to_schema(staging, WAREHOUSE["fact_sales"]).rows, ["transaction_id"],
+                     FACT_SALES_MERGE_UPDATES, "_month", month_of("date_key"), FACT_SALES_COLUMNS)
+    return read_table(spark, path).drop("_month")
 
 
 def _warehouse_table(name):
@@ -453,6 +460,58 @@ def reingest_reference_latest(spark, d):
     return read_table(spark, f"{paths.silver}/supply_chain").drop(*METADATA_COLUMNS)
 
 
+def _two_batches(spark, d, gold=True):
+    """Raw transactions in two landings, applied one after the other.
+
+    The first holds all days before the split, and half of the later ones by
+    product number; the second the other half, with ids that came before.
+    """
+    paths = LayerPaths(work_dir(spark, "batches"))
+    sources = driver.retail_sources(spark, d)
+    raw = sources.pop("transactions")
+    if gold:
+        needed = ("products", "categories", "stores", "regions")
+        land_raw_extract({name: sources[name] for name in needed}, paths.raw)
+        run_bronze(spark, paths, tables=needed)
+        run_references(spark, paths, reference_tables=needed)
+    number = F.substring("product_id", 2, 12).cast("long")
+    late = (F.to_date("transaction_ts") >= F.lit(EVOLVE_SPLIT).cast("date")) & (number % 2 == 1)
+    for batch, rows in (("001", raw.where(~late)), ("002", raw.where(late))):
+        write_csv(rows, f"{paths.raw}/{batch}/transactions.csv")
+        apply_batch(spark, paths, batch, f"{paths.raw}/{batch}/transactions.csv", gold=gold, grain="month")
+    return paths
+
+
+def silver_incremental(spark, d):
+    """C13 batch by batch: silver after two batches that share ids."""
+    return silver_transactions(spark, _two_batches(spark, d, gold=False)).drop(*METADATA_COLUMNS)
+
+
+def quarantine_incremental(spark, d):
+    """S9 batch by batch: quarantine after two batches; earlier copies of an id that came again are in it."""
+    return quarantined_transactions(spark, _two_batches(spark, d, gold=False)).drop(*METADATA_COLUMNS)
+
+
+def gold_incremental(spark, d):
+    """C10 batch by batch: the daily summary after two batches, only touched months recomputed."""
+    paths = _two_batches(spark, d)
+    summary = read_table(spark, f"{paths.gold}/gold_daily_merchandising_summary")
+    return summary.select("date_key", "region_name", "category_name", "total_revenue", "total_units", "transaction_count")
+
+
+def bucketed_sales_supply(spark, d):
+    """The fact and the supply summary bucketed by product, joined and added up without an exchange of either."""
+    base = work_dir(spark, "bucketed")
+    stored = {}
+    for name, df in (("fact_sales", _fact(spark, d)),
+                     ("fact_supply_chain_summary", build_supply_chain_summary(_silver_ship(spark, d)))):
+        rows = conform_to_schema(df, WAREHOUSE[name]).rows
+        table = bucketed(spark, f"{base}/{name}", rows.schema, WAREHOUSE_PLACEMENT[name][1:])
+        table.write(rows)
+        stored[name] = table.read(spark)
+    return sold_against_received(stored["fact_sales"], stored["fact_supply_chain_summary"])
+
+
 def medallion_end_to_end(spark, d):
     """Land CSV extracts, run bronze -> silver -> gold, return the daily summary as written."""
     paths = LayerPaths(work_dir(spark, "layers"))
@@ -508,4 +567,8 @@ QUERIES: dict[str, Query] = {
     "quarantine_table": quarantine_table,
     "reingest_reference_latest": reingest_reference_latest,
     "reingest_batch_scope": reingest_batch_scope,
+    "silver_incremental": silver_incremental,
+    "quarantine_incremental": quarantine_incremental,
+    "gold_incremental": gold_incremental,
+    "bucketed_sales_supply": bucketed_sales_supply,
 }

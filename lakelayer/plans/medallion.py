@@ -160,14 +160,22 @@ def run_silver(spark: SparkSession, paths: LayerPaths, rules: QualityRules = TRA
     # Both tables are stored before an alert can end the run, so the bad rows can be read.
     pct, status = enforce_threshold(total, bad, rules.max_quarantine_pct, fail_on_alert, log)
 
+    counts |= run_references(spark, paths, reference_order, reference_tables)
+    return SilverReport(total, bad, pct, status, counts)
+
+
+def run_references(spark: SparkSession, paths: LayerPaths, reference_order: Mapping[str, tuple[str, ...]] | None = None,
+                   reference_tables=None) -> dict[str, int]:
+    """The reference tables of silver (or only ``reference_tables``), conformed from bronze; rows of each."""
     order = dict(DEFAULT_REFERENCE_ORDER if reference_order is None else reference_order)
+    counts = {}
     for table, key in REFERENCE_KEYS.items():
         if reference_tables is not None and table not in reference_tables:
             continue
         bronze = _bronze_table(spark, paths, table)
         counts[table] = overwrite_table(conform_reference_table(bronze, key, order.get(table)),
                                         f"{paths.silver}/{table}")
-    return SilverReport(total, bad, pct, status, counts)
+    return counts
 
 
 def read_layer(spark: SparkSession, layer_dir: str, tables) -> dict[str, DataFrame]:

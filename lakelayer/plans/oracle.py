@@ -373,3 +373,17 @@ SELECT date_key, region_name, category_name,
                                    AS DECIMAL(18,2))) AS DOUBLE) END AS total_revenue,
        CAST(SUM(quantity) AS BIGINT) AS total_units, COUNT(DISTINCT transaction_id) AS transaction_count
 FROM enriched GROUP BY date_key, region_name, category_name"""
+
+# ---- batch by batch: as one run over everything, landed as CSV --------------------
+
+_LANDED_TX = """landed_tx AS (SELECT * REPLACE (NULLIF(unit_price, '') AS unit_price) FROM raw_tx)"""
+ORACLE_SQL["silver_incremental"] = ORACLE_SQL["cast_transactions"]
+ORACLE_SQL["quarantine_incremental"] = with_(RAW_TX, _LANDED_TX, _LANDED) + """
+SELECT * FROM landed_tagged WHERE _dq_failure_reason IS NOT NULL"""
+ORACLE_SQL["gold_incremental"] = ORACLE_SQL["daily_summary"]
+
+ORACLE_SQL["bucketed_sales_supply"] = with_(*GOLD, RAW_SHIP, SILVER_SHIP, SUPPLY_SUMMARY) + """
+SELECT product_id, units_sold, units_received
+FROM (SELECT product_id, CAST(SUM(quantity) AS BIGINT) AS units_sold FROM fact GROUP BY product_id)
+FULL JOIN (SELECT product_id, CAST(SUM(total_quantity_received) AS BIGINT) AS units_received
+           FROM supply_summary GROUP BY product_id) USING (product_id)"""
