@@ -17,6 +17,8 @@ NULL_REQUIRED_FIELD = "null_required_field"
 NON_NUMERIC_VALUE = "non_numeric_value"
 DUPLICATE_KEY = "duplicate_key"
 QUARANTINE_REASONS = (NULL_REQUIRED_FIELD, NON_NUMERIC_VALUE, DUPLICATE_KEY)
+# The gate's own tag, for lines that are not records of the declared schema.
+MALFORMED_RECORD = "malformed_record"
 REASON_SEPARATOR = ","
 REASON_COL = "_dq_failure_reason"
 
@@ -97,41 +99,55 @@ def percent_text(c: str | Column) -> Column:
     return F.format_string("%.2f", col(c))
 
 
-# Amounts from here on do not fit decimal(18,2); they and non-finite ones are summed as doubles.
+# Amounts from here on do not fit decimal(18,2).
 MONEY_LIMIT = 1e16
+# From MONEY_LIMIT up to here amounts are whole numbers (as all doubles of that size are), summed apart.
+HUGE_LIMIT = 1e26
 
 
-def _beyond_decimal(c: Column) -> Column:
-    return F.isnan(c) | (F.abs(c) >= F.lit(MONEY_LIMIT))
+def _below(c: Column, limit: float) -> Column:
+    """A finite amount under ``limit`` (a comparison with NaN counts NaN as the greatest)."""
+    return F.abs(c) < F.lit(limit)
 
 
 def is_beyond_money(c: str | Column) -> Column:
-    """A number that cannot be summed exactly: not finite, or too large."""
-    return F.coalesce(_beyond_decimal(col(c).try_cast("double")), F.lit(False))
+    """A number too large for decimal(18,2), or not finite."""
+    return F.coalesce(~_below(col(c).try_cast("double"), MONEY_LIMIT), F.lit(False))
+
+
+def _money_parts(c: Column) -> dict[str, Column]:
+    """An amount in one of three columns: two decimals, whole number, or a double (huge or not finite)."""
+    return {
+        "cents": F.when(_below(c, MONEY_LIMIT), c.try_cast("decimal(18,2)")),
+        "whole": F.when(_below(c, HUGE_LIMIT) & ~_below(c, MONEY_LIMIT), c.try_cast("decimal(27,0)")),
+        "rest": F.when(~_below(c, HUGE_LIMIT), c),
+    }
+
+
+def _together(sums: list[Column]) -> Column:
+    """The parts' sums as one double; null where no part has any amount."""
+    any_part = F.coalesce(*[s.cast("double") for s in sums])
+    total = reduce(lambda a, b: a + b, [F.coalesce(s.cast("double"), F.lit(0.0)) for s in sums])
+    return F.when(any_part.isNotNull(), total)
 
 
 def money_partials(c: str | Column, name: str) -> list[Column]:
-    """Aggregates that ``money_total`` completes: decimal sum, double sum, whether any amount needs the latter."""
-    c = col(c)
-    exact = F.when(~_beyond_decimal(c), c.try_cast("decimal(18,2)"))
-    return [F.sum(exact).alias(f"{name}_exact"), F.sum(c).alias(f"{name}_double"),
-            F.max(_beyond_decimal(c)).alias(f"{name}_beyond")]
+    """Aggregates that ``money_total`` completes: the sum of each part."""
+    return [F.sum(part).alias(f"{name}_{kind}") for kind, part in _money_parts(col(c)).items()]
 
 
 def money_total(name: str) -> Column:
     """Sum of groups aggregated with ``money_partials``."""
-    beyond = F.coalesce(F.max(f"{name}_beyond"), F.lit(False))
-    return F.when(beyond, F.sum(f"{name}_double")).otherwise(F.sum(f"{name}_exact").cast("double"))
+    return _together([F.sum(f"{name}_{kind}") for kind in ("cents", "whole", "rest")])
 
 
 def exact_money_sum(c: str | Column) -> Column:
-    """Sum of 2-decimal doubles: exact and independent of row order where every amount allows it.
+    """Sum of doubles that does not depend on the order of rows, for amounts below ``HUGE_LIMIT``.
 
-    A double sum depends on the order rows arrive in; the decimal sum does not.
-    If any amount is NaN, infinite or too large for decimal(18,2), the plain
-    double sum is the result, so no amount is lost and none fails the job.
+    A double sum depends on the order rows arrive in; sums of decimals do not.
+    Amounts below ``MONEY_LIMIT`` are summed with two decimals, those up to
+    ``HUGE_LIMIT`` as whole numbers, so that large amounts that cancel out leave
+    the small ones exact. NaN and infinities give what a double sum gives. Only
+    finite amounts beyond ``HUGE_LIMIT`` are summed as doubles.
     """
-    c = col(c)
-    exact = F.when(~_beyond_decimal(c), c.try_cast("decimal(18,2)"))
-    beyond = F.coalesce(F.max(_beyond_decimal(c)), F.lit(False))
-    return F.when(beyond, F.sum(c)).otherwise(F.sum(exact).cast("double"))
+    return _together([F.sum(part) for part in _money_parts(col(c)).values()])

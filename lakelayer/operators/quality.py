@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from lakelayer.functions.exprs import (
     DUPLICATE_KEY,
+    MALFORMED_RECORD,
     NON_NUMERIC_VALUE,
     NULL_REQUIRED_FIELD,
     REASON_COL,
@@ -41,6 +42,7 @@ from lakelayer.functions.exprs import (
     is_non_numeric,
     to_int_truncating,
 )
+from lakelayer.schemas import CORRUPT_RECORD
 
 _DUP_FLAG = "_dq_dup"
 
@@ -133,6 +135,12 @@ def tag_numeric_check(df: DataFrame, numeric_columns: Iterable[str], reason_col:
     return _tag(df, any_of(checks), NON_NUMERIC_VALUE, reason_col, legacy_prefix)
 
 
+def tag_malformed_check(df: DataFrame, corrupt_col: str = CORRUPT_RECORD, reason_col: str = REASON_COL,
+                        legacy_prefix: bool = False) -> DataFrame:
+    """Tag ``malformed_record`` where bronze kept the line of a record that does not fit its schema."""
+    return _tag(df, F.col(corrupt_col).isNotNull(), MALFORMED_RECORD, reason_col, legacy_prefix)
+
+
 def duplicate_keys(df: DataFrame, unique_columns: Iterable[str]) -> DataFrame:
     """Keys that occur more than once (null is a key value), one row each.
 

@@ -21,6 +21,7 @@ from lakelayer.operators.conform import (
     conform_reference_tables,
     conform_to_schema,
 )
+from lakelayer.operators.distinct import dense_ids, distinct_bitmaps, merged_counts
 from lakelayer.operators.marts import (
     build_daily_summary,
     build_dimensions,
@@ -62,6 +63,7 @@ from lakelayer.plans.medallion import (
 )
 from lakelayer.plans.partitioned_merge import merge_partitions, month_of
 from lakelayer.schemas import (
+    CORRUPT_RECORD,
     FACT_SALES_COLUMNS,
     FACT_SALES_MERGE_UPDATES,
     INGESTED_AT,
@@ -72,9 +74,9 @@ from lakelayer.schemas import (
 from lakelayer.session import work_dir
 from lakelayer.sources import driver
 from lakelayer.sources.buckets import bucketed
-from lakelayer.sources.csv import read_typed_csv, stamp_ingest, write_csv
+from lakelayer.sources.csv import read_typed_csv, stamp_ingest, write_csv, write_lines
 from lakelayer.sources.partitions import overwrite_partitions
-from lakelayer.sources.tables import append_table, export_parquet, publish, read_table
+from lakelayer.sources.tables import append_table, export_parquet, materialize, publish, read_table
 from lakelayer.streaming.ingest import ingest_incrementally
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -144,6 +146,22 @@ def csv_typed_scan(spark, d):
     return read_typed_csv(spark, path, TRANSACTIONS)
 
 
+def csv_malformed(spark, d):
+    """Lines with a field too few, one too many, or a broken time, through bronze and the gate; as quarantined."""
+    paths = LayerPaths(work_dir(spark, "malformed"))
+    number = F.substring("product_id", 2, 12).cast("long")
+    time = F.when(number % 43 == 0, F.lit("soon")).otherwise(F.date_format("transaction_ts", "yyyy-MM-dd HH:mm:ss"))
+    fields = [time if c == "transaction_ts" else F.coalesce(c, F.lit("")) for c in TRANSACTIONS.fieldNames()]
+    line = (F.when(number % 37 == 0, F.concat_ws(",", *fields[:-1]))
+            .when(number % 41 == 0, F.concat_ws(",", *fields, F.lit("surplus"))).otherwise(F.concat_ws(",", *fields)))
+    header = ",".join(TRANSACTIONS.fieldNames())
+    write_lines(_raw_tx(spark, d).select(line.alias("line")), header, f"{paths.raw}/transactions.csv")
+    run_bronze(spark, paths, tables=("transactions",), capture_malformed=True)
+    run_silver(spark, paths, reference_tables=(), quarantine_malformed=True)
+    stored = read_table(spark, f"{paths.quarantine}/transactions").where(F.col(CORRUPT_RECORD).isNotNull())
+    return stored.select("transaction_id", F.col(CORRUPT_RECORD).alias("line"), REASON_COL)
+
+
 def bronze_stamp(spark, d):
     """The typed scan with ingest metadata (the time itself is run-dependent)."""
     path = f"{work_dir(spark, 'stamp')}/transactions.csv"
@@ -268,6 +286,25 @@ def daily_summary_distinct(spark, d):
     return build_daily_summary(_fact(spark, d), *_dims(spark, d), ids_unique=False)
 
 
+def _sales_bitmaps(spark, d):
+    """Raw lines' transaction ids as stored bitmaps per day and store; ids repeat across both."""
+    raw = _raw_tx(spark, d).withColumn("date_key", F.to_date("transaction_ts"))
+    rows = raw.select("transaction_id", "date_key", "store_id", F.substring("product_id", 2, 12).cast("long").alias("n"))
+    # The same id again on a later day and in another store, so that counts do not simply add up.
+    later = rows.where("n % 5 = 0").select(
+        "transaction_id", F.date_add("date_key", 40).alias("date_key"), F.lit("S0").alias("store_id"), "n")
+    rows, _ = materialize(rows.unionByName(later), "bitmap-rows")
+    ids = dense_ids(rows, "transaction_id", "date_key")
+    stored, _ = materialize(distinct_bitmaps(rows.join(ids, "transaction_id", "left"), ["date_key", "store_id"]), "bitmaps")
+    return stored
+
+
+def distinct_rollup(spark, d):
+    """Distinct transactions per month and store, from the stored bitmaps of days and stores alone."""
+    stored = _sales_bitmaps(spark, d).withColumn("month", F.date_format("date_key", "yyyy-MM"))
+    return merged_counts(stored, ["month", "store_id"], "transaction_count")
+
+
 def _dimension(name):
     def query(spark, d):
         return build_dimensions(_silver_reference(spark, d))[name]
@@ -384,6 +421,16 @@ def revenue_edge_prices(spark, d):
     return build_daily_summary(fact, *_dims(spark, d), sort=False)
 
 
+def revenue_huge_prices(spark, d):
+    """C10 where prices are far beyond money but finite: large amounts of both signs, planted by product number."""
+    number = F.substring("product_id", 2, 12).cast("long")
+    price = (F.when(number % 7 == 0, F.lit("7e17")).when(number % 11 == 0, F.lit("-7e17"))
+             .when(number % 13 == 0, F.lit("3e19")).otherwise(F.col("unit_price")))
+    gate = run_quality_gate(_raw_tx(spark, d).withColumn("unit_price", price), TRANSACTION_RULES)
+    fact = build_fact_sales(clean_and_cast_transactions(gate.clean, dedupe=False))
+    return build_daily_summary(fact, *_dims(spark, d), sort=False)
+
+
 def source_counts(spark, d):
     """Rows of each raw source."""
     parts = [build(spark, d).agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("source"), "row_count")
@@ -440,9 +487,10 @@ def quarantine_table(spark, d):
     run_bronze(spark, paths, tables=("transactions",))
     try:
         run_silver(spark, paths, reference_tables=(), fail_on_alert=True)
+        alert = False
     except QuarantineRateExceeded:
-        pass
-    stored = read_table(spark, f"{paths.quarantine}/transactions")
+        alert = True
+    stored = read_table(spark, f"{paths.quarantine}/transactions").withColumn("alert_raised", F.lit(alert))
     return stored.withColumn("ingest_time_set", F.col(INGESTED_AT).isNotNull()).drop(INGESTED_AT)
 
 
@@ -522,6 +570,7 @@ def medallion_end_to_end(spark, d):
 
 QUERIES: dict[str, Query] = {
     "csv_typed_scan": csv_typed_scan,
+    "csv_malformed": csv_malformed,
     "bronze_stamp": bronze_stamp,
     "append_evolve": append_evolve,
     "bronze_incremental": bronze_incremental,
@@ -543,6 +592,7 @@ QUERIES: dict[str, Query] = {
     "snowflake_enrich": snowflake_enrich,
     "daily_summary": daily_summary,
     "daily_summary_distinct": daily_summary_distinct,
+    "distinct_rollup": distinct_rollup,
     **{name: _dimension(name) for name in
        ("dim_product", "dim_category", "dim_department", "dim_store", "dim_region", "dim_supplier")},
     "warehouse_conform": warehouse_conform,
@@ -560,6 +610,7 @@ QUERIES: dict[str, Query] = {
     "warehouse_too_long": warehouse_too_long,
     "revenue_total_text": revenue_total_text_q,
     "revenue_edge_prices": revenue_edge_prices,
+    "revenue_huge_prices": revenue_huge_prices,
     "source_counts": source_counts,
     "quarantine_listing": quarantine_listing,
     "gate_report": gate_report_q,

@@ -36,8 +36,14 @@ from lakelayer.operators.marts import (
 )
 from lakelayer.operators.merge import merge_fact_sales, merge_upsert
 from lakelayer.operators.placement import WAREHOUSE_PLACEMENT, place_for_write
-from lakelayer.operators.quality import TRANSACTION_RULES, QualityRules, enforce_threshold, tag_quality
-from lakelayer.schemas import INGESTED_AT, REFERENCE_KEYS, SOURCE_FILE, SOURCE_SCHEMAS, SOURCES, WAREHOUSE
+from lakelayer.operators.quality import (
+    TRANSACTION_RULES,
+    QualityRules,
+    enforce_threshold,
+    tag_malformed_check,
+    tag_quality,
+)
+from lakelayer.schemas import CORRUPT_RECORD, INGESTED_AT, REFERENCE_KEYS, SOURCE_FILE, SOURCE_SCHEMAS, SOURCES, WAREHOUSE
 from lakelayer.sources.csv import ingest_sources, write_csv
 from lakelayer.sources.tables import overwrite_table, publish, read_table
 
@@ -98,10 +104,14 @@ def land_raw_extract(sources: Mapping[str, DataFrame], raw_dir: str, files: int
             write_csv(sources[table], f"{raw_dir.rstrip('/')}/{filename}", files)
 
 
-def run_bronze(spark: SparkSession, paths: LayerPaths, tables=None) -> dict[str, int]:
-    """Typed scan + stamp + append for every raw source (or only ``tables``)."""
+def run_bronze(spark: SparkSession, paths: LayerPaths, tables=None, capture_malformed: bool = False) -> dict[str, int]:
+    """Typed scan + stamp + append for every raw source (or only ``tables``).
+
+    ``capture_malformed`` keeps the line of every record that does not fit its
+    schema, for ``run_silver`` to quarantine.
+    """
     sources = [s for s in SOURCES if tables is None or s[2] in tables]
-    return ingest_sources(spark, paths.raw, paths.bronze, sources)
+    return ingest_sources(spark, paths.raw, paths.bronze, sources, capture_malformed)
 
 
 @dataclass
@@ -113,9 +123,13 @@ class SilverReport:
     silver_rows: dict[str, int] = field(default_factory=dict)
 
 
-def _bronze_table(spark: SparkSession, paths: LayerPaths, table: str) -> DataFrame:
-    """A bronze table under its declared columns and the ingest stamps: no footer is read to find them."""
-    declared = StructType([*SOURCE_SCHEMAS[table].fields, StructField(INGESTED_AT, TimestampType()),
+def _bronze_table(spark: SparkSession, paths: LayerPaths, table: str, malformed: bool = False) -> DataFrame:
+    """A bronze table under its declared columns and the ingest stamps: no footer is read to find them.
+
+    With ``malformed`` also the captured lines; files written without them give null.
+    """
+    lines = [StructField(CORRUPT_RECORD, StringType())] if malformed else []
+    declared = StructType([*SOURCE_SCHEMAS[table].fields, *lines, StructField(INGESTED_AT, TimestampType()),
                            StructField(SOURCE_FILE, StringType())])
     return spark.read.schema(declared).parquet(f"{paths.bronze}/{table}")
 
@@ -123,21 +137,25 @@ def _bronze_table(spark: SparkSession, paths: LayerPaths, table: str) -> DataFra
 def run_silver(spark: SparkSession, paths: LayerPaths, rules: QualityRules = TRANSACTION_RULES,
                legacy_prefix: bool = False, reference_order: Mapping[str, tuple[str, ...]] | None = None,
                fail_on_alert: bool = False, dedupe_scope: str = "all",
-               reference_tables=None) -> SilverReport:
+               reference_tables=None, quarantine_malformed: bool = False) -> SilverReport:
     """Gate transactions once, write silver + quarantine, conform reference tables.
 
     ``dedupe_scope="all"`` checks duplicates over all of bronze (the original
     behaviour: ingesting the same file twice quarantines every one of its
     rows). ``"batch"`` checks duplicates within each ingest batch (rows that
     share ``_ingested_at``) and keeps, per id, the row of the latest batch.
+    ``quarantine_malformed`` sets aside records whose line bronze captured, with
+    the line in ``_corrupt_record``.
     """
-    bronze_tx = _bronze_table(spark, paths, "transactions")
+    bronze_tx = _bronze_table(spark, paths, "transactions", quarantine_malformed)
     if dedupe_scope not in ("all", "batch"):
         raise ValueError(f"unknown dedupe_scope {dedupe_scope!r}")
     gate_rules = rules
     if dedupe_scope == "batch" and rules.unique_columns:
         gate_rules = replace(rules, unique_columns=tuple(rules.unique_columns) + (INGESTED_AT,))
     tagged = tag_quality(bronze_tx, gate_rules, REASON_COL, legacy_prefix)
+    if quarantine_malformed:
+        tagged = tag_malformed_check(tagged, legacy_prefix=legacy_prefix)
     obs = Observation()
     outcome = F.when(F.col(REASON_COL).isNull(), F.lit("clean")).otherwise(F.lit("quarantined"))
     checked = tagged.withColumn(OUTCOME_COL, outcome).observe(
@@ -145,7 +163,7 @@ def run_silver(spark: SparkSession, paths: LayerPaths, rules: QualityRules = TRA
     overwrite_table(checked, f"{paths.checked}/transactions", partition_by=[OUTCOME_COL])
     total, bad = int(obs.get.get("total", 0)), int(obs.get.get("bad", 0))
     written = read_table(spark, f"{paths.checked}/transactions")
-    clean = written.where(F.col(OUTCOME_COL) == "clean").drop(OUTCOME_COL, REASON_COL)
+    clean = written.where(F.col(OUTCOME_COL) == "clean").drop(OUTCOME_COL, REASON_COL, CORRUPT_RECORD)
     quarantined = written.where(F.col(OUTCOME_COL) == "quarantined").drop(OUTCOME_COL)
     overwrite_table(quarantined, f"{paths.quarantine}/transactions")
     # The gate quarantined every repeated transaction id, so dedupe is a no-op

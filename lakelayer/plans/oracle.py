@@ -356,7 +356,8 @@ SELECT shipment_id, CAST(ship_date - 30 AS DATE) AS ship_date, product_id, suppl
 _LANDED = TAGGED.replace("tagged AS", "landed_tagged AS").replace("FROM raw_tx", "FROM landed_tx")
 ORACLE_SQL["quarantine_table"] = with_(RAW_TX, f"""landed_tx AS (
   SELECT * REPLACE (NULLIF(unit_price, '') AS unit_price) FROM raw_tx)""", _LANDED) + """
-SELECT *, 'transactions.csv' AS _source_file, TRUE AS ingest_time_set
+SELECT *, 'transactions.csv' AS _source_file, TRUE AS ingest_time_set,
+       (SELECT 100.0 * COUNT(_dq_failure_reason) / COUNT(*) > 5.0 FROM landed_tagged) AS alert_raised
 FROM landed_tagged WHERE _dq_failure_reason IS NOT NULL"""
 
 # Prices that are numbers but not money: a group that has one is summed as doubles.
@@ -387,3 +388,38 @@ SELECT product_id, units_sold, units_received
 FROM (SELECT product_id, CAST(SUM(quantity) AS BIGINT) AS units_sold FROM fact GROUP BY product_id)
 FULL JOIN (SELECT product_id, CAST(SUM(total_quantity_received) AS BIGINT) AS units_received
            FROM supply_summary GROUP BY product_id) USING (product_id)"""
+
+# ---- malformed lines and huge amounts ------------------------------------------------
+
+ORACLE_SQL["csv_malformed"] = with_(RAW_TX, """landed_tx AS (
+  SELECT * REPLACE (NULLIF(unit_price, '') AS unit_price,
+                    CASE WHEN n % 43 <> 0 THEN transaction_ts END AS transaction_ts),
+         transaction_id || ',' || CASE WHEN n % 43 = 0 THEN 'soon' ELSE strftime(transaction_ts, '%Y-%m-%d %H:%M:%S') END
+           || ',' || coalesce(store_id, '') || ',' || product_id || ',' || quantity || ',' || unit_price
+           || CASE WHEN n % 37 = 0 THEN '' WHEN n % 41 = 0 THEN ',' || payment_type || ',surplus'
+                   ELSE ',' || payment_type END AS line
+  FROM (SELECT *, CAST(substr(product_id, 2) AS BIGINT) AS n FROM raw_tx))""",
+    _LANDED.replace("AS _dq_failure_reason", "AS _dq_failure_reason, n, line")) + """
+SELECT transaction_id, line, CONCAT_WS(',', _dq_failure_reason, 'malformed_record') AS _dq_failure_reason
+FROM landed_tagged WHERE n % 37 = 0 OR n % 41 = 0 OR n % 43 = 0"""
+
+ORACLE_SQL["revenue_huge_prices"] = with_(_EDGE_TX, """raw_tx AS (
+  SELECT * REPLACE (CASE WHEN CAST(substr(product_id, 2) AS BIGINT) % 7 = 0 THEN '7e17'
+                         WHEN CAST(substr(product_id, 2) AS BIGINT) % 11 = 0 THEN '-7e17'
+                         WHEN CAST(substr(product_id, 2) AS BIGINT) % 13 = 0 THEN '3e19'
+                         ELSE unit_price END AS unit_price) FROM plain_tx)""",
+    TAGGED, SILVER_TX, FACT, *DIMS, ENRICHED) + """
+SELECT date_key, region_name, category_name,
+       CAST(coalesce(SUM(CASE WHEN abs(revenue) >= 1e16 THEN CAST(revenue AS HUGEINT) END), 0) AS DOUBLE)
+         + CAST(coalesce(SUM(CASE WHEN abs(revenue) < 1e16 THEN CAST(revenue AS DECIMAL(18,2)) END), 0) AS DOUBLE)
+         AS total_revenue,
+       CAST(SUM(quantity) AS BIGINT) AS total_units, COUNT(DISTINCT transaction_id) AS transaction_count
+FROM enriched GROUP BY date_key, region_name, category_name"""
+
+ORACLE_SQL["distinct_rollup"] = with_(RAW_TX) + """SELECT strftime(date_key, '%Y-%m') AS month, store_id,
+       COUNT(DISTINCT transaction_id) AS transaction_count
+FROM (SELECT transaction_id, CAST(transaction_ts AS DATE) AS date_key, store_id FROM raw_tx
+      UNION ALL
+      SELECT transaction_id, CAST(transaction_ts AS DATE) + 40, 'S0' FROM raw_tx
+      WHERE CAST(substr(product_id, 2) AS BIGINT) % 5 = 0)
+GROUP BY month, store_id"""

@@ -93,6 +93,8 @@ REFERENCE_KEYS = {table: key for _, _, table, key in SOURCES if table != "transa
 INGESTED_AT = "_ingested_at"
 SOURCE_FILE = "_source_file"
 METADATA_COLUMNS = (INGESTED_AT, SOURCE_FILE)
+# The whole line of a record that does not fit its schema, where bronze captures them.
+CORRUPT_RECORD = "_corrupt_record"
 
 # ---------------------------------------------------------------------------
 # Warehouse tables (names, column order, types, NOT NULL).

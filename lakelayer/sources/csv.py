@@ -2,7 +2,9 @@
 
 S1 ``read_typed_csv``: header row, declared schema, no inference, PERMISSIVE
 mode (a malformed field becomes null, short records are null-filled, extra
-fields are dropped), empty and quoted-empty fields become null.
+fields are dropped), empty and quoted-empty fields become null. With
+``capture_malformed`` the whole line of such a record is kept beside its fields,
+so the gate can set it aside (``tag_malformed_check``) and it can be repaired.
 S2 ``stamp_ingest``: ``_ingested_at`` and ``_source_file``.
 S4 ``ingest_sources``: the registry loop over every raw file.
 """
@@ -13,19 +15,25 @@ from typing import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
-from lakelayer.schemas import INGESTED_AT, SOURCE_FILE, SOURCES
+from lakelayer.schemas import CORRUPT_RECORD, INGESTED_AT, SOURCE_FILE, SOURCES
 
 
 def read_typed_csv(spark: SparkSession, path: str, schema: StructType,
-                   enforce_header: bool = False) -> DataFrame:
+                   enforce_header: bool = False, capture_malformed: bool = False) -> DataFrame:
     """Read header CSV with a declared schema.
 
     Columns bind by position, as in any schema'd CSV read. ``enforce_header``
     makes a header that does not name the schema's columns fail the read.
+    ``capture_malformed`` adds ``_corrupt_record``: the line as it came where it
+    has too few or too many fields or a field that is not of its type, else null.
     """
+    if capture_malformed:
+        schema = StructType([*schema.fields, StructField(CORRUPT_RECORD, StringType())])
     reader = spark.read.option("header", True).option("mode", "PERMISSIVE").schema(schema)
+    if capture_malformed:
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT_RECORD)
     if enforce_header:
         reader = reader.option("enforceSchema", False)
     return reader.csv(path)
@@ -51,17 +59,29 @@ def write_csv(df: DataFrame, path: str, files: int | None = None, mode: str = "o
     )
 
 
+def write_lines(lines: DataFrame, header: str, path: str) -> None:
+    """Write ready-made CSV lines (one text column) as they are, each file under ``header``."""
+    name = lines.columns[0]
+    # A CSV writer without quotes and escapes puts each line down unchanged; \x01 stands in no line.
+    (
+        lines.select(F.col(name).alias(header)).write.mode("overwrite").option("header", True)
+        .option("sep", "\x01").option("quote", "").option("escapeQuotes", False)
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    )
+
+
 def ingest_source(spark: SparkSession, raw_dir: str, filename: str, schema: StructType,
-                  table: str, bronze_dir: str) -> int:
+                  table: str, bronze_dir: str, capture_malformed: bool = False) -> int:
     """S1 + S2 + S3: scan one raw file, stamp it, append it to its bronze table."""
     from lakelayer.sources.tables import append_table
 
-    df = stamp_ingest(read_typed_csv(spark, f"{raw_dir.rstrip('/')}/{filename}", schema), filename)
+    rows = read_typed_csv(spark, f"{raw_dir.rstrip('/')}/{filename}", schema, capture_malformed=capture_malformed)
+    df = stamp_ingest(rows, filename)
     return append_table(df, f"{bronze_dir.rstrip('/')}/{table}")
 
 
 def ingest_sources(spark: SparkSession, raw_dir: str, bronze_dir: str,
-                   sources: Iterable[tuple] = SOURCES) -> dict[str, int]:
+                   sources: Iterable[tuple] = SOURCES, capture_malformed: bool = False) -> dict[str, int]:
     """Ingest every registered source; returns appended rows per table."""
-    return {table: ingest_source(spark, raw_dir, filename, schema, table, bronze_dir)
+    return {table: ingest_source(spark, raw_dir, filename, schema, table, bronze_dir, capture_malformed)
             for filename, schema, table, _key in sources}
