@@ -56,16 +56,19 @@ class ColumnEncoder:
     """``encode(texts)`` gives each text's ids as little-endian uint32 bytes.
 
     ``keeps_space``: whether white space is part of the ids (byte-level
-    vocabularies) or dropped (word vocabularies, which also lower-case).
+    vocabularies) or dropped (word vocabularies, which also lower-case). A text
+    that holds the string of a special token gets that token's id there, as the
+    tokenizer gives it; with ``special_as_text`` the string is ordinary text.
     """
 
-    def __init__(self, path: str, keeps_space: bool, pieces_kept: int = PIECES_KEPT):
+    def __init__(self, path: str, keeps_space: bool, pieces_kept: int = PIECES_KEPT, special_as_text: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        # Strings of special tokens inside a text are ordinary text.
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = special_as_text
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.special = [] if special_as_text else [token.content for token in added]
         self.keeps_space = keeps_space
         self.odd = f"{NOT_PLAIN}|{SPACE_RUN}" if keeps_space else NOT_PLAIN
         self.split = piece_pattern(BYTE_PIECES if keeps_space else WORD_PIECES).findall
@@ -129,6 +132,8 @@ class ColumnEncoder:
 
     def _encode(self, texts: pa.Array) -> Iterator[bytes]:
         odd = pc.match_substring_regex(texts, self.odd)
+        for string in self.special:
+            odd = pc.or_(odd, pc.match_substring(texts, string))
         plain = self._gathered(texts.filter(pc.invert(odd)))
         for strange, text in zip(odd, texts):
             if strange.as_py():

@@ -11,13 +11,14 @@ from lakelayer.llm.wavelet import WaveletMatrix, occurrences, read_documents, re
 from lakelayer.session import work_dir
 
 WORD, BYTE = public_path("word_bpe_49k.json"), public_path("byte_bpe_50k.json")
-ODD = ["", "  a", "a  b ", " \n", "\n\nfoo bar", "x\ty", "naïve İstanbul", "don't we'll 'S", "日本語", "<|endoftext|> x",
+ODD = ["", "  a", "a  b ", " \n", "\n\nfoo bar", "x\ty", "naïve İstanbul", "don't we'll 'S", "日本語", "<|endoftext|> x", "plain words <|endoftext|>", "a<|startoftext|>b",
        "1²3 ½ ª", "a\nb c\n", " lead", "trail ", "A" * 3000, "é combining", None]
 
 
-def plain_ids(path, text, end):
+def plain_ids(path, text, end, special_as_text=False):
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
+    if special_as_text:
+        t.encode_special_tokens = True
     return np.array([*t.encode(text or "", add_special_tokens=False).ids, end], dtype="<u4")
 
 
@@ -26,6 +27,8 @@ def test_encoder_is_the_tokenizer(spark, sf_small, path, keeps):
     texts = ODD + [r.text for r in spark.read.parquet(f"{sf_small}/documents.parquet").limit(60).collect()]
     got = list(ColumnEncoder(path, keeps).encode(pa.array(texts)))
     assert got == [plain_ids(path, t, 0)[:-1].tobytes() for t in texts]
+    as_text = list(ColumnEncoder(path, keeps, special_as_text=True).encode(pa.array(ODD)))
+    assert as_text == [plain_ids(path, t, 0, True)[:-1].tobytes() for t in ODD] != got[:len(ODD)]
 
 
 def test_wavelet_matrix_rank_select():
