@@ -91,25 +91,21 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(prints, pa.int64())], ["doc_id", "print"])
 
 
-def _lists(prints: DataFrame, masks: list[int], of: int) -> DataFrame:
-    """``prints`` under a list for each mask; lists of different ``of`` are apart."""
-    own = F.explode(F.array(*[F.struct(F.lit(i).alias("positions"), F.col("print").bitwiseAND(m).alias("bytes"))
-                              for i, m in enumerate(masks)])).alias("l")
-    rows = prints.select("print", own)
-    return rows.select((F.col("l.positions") + of).alias("positions"), F.col("l.bytes").alias("bytes"), "print")
-
-
 def index(prints: DataFrame, long: int = LONG) -> DataFrame:
-    """Inverted lists of distinct fingerprints: positions, bytes, print."""
-    short = _lists(prints, [mask(t) for t in TRIPLES], 0)
-    full = short.groupBy("positions", "bytes").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > long).drop("n")
-    rest = short.join(full, ["positions", "bytes"], "left_anti")
-    wide = short.join(full, ["positions", "bytes"], "left_semi")
-    narrower = [_lists(wide.where(F.col("positions") == i).select("print"), [mask(f) for f in fives], 8 + 10 * i)
-                for i, fives in enumerate(FIVES)]
-    for lists in narrower:
-        rest = rest.union(lists)
-    return rest
+    """Inverted lists of distinct fingerprints: positions, bytes, print.
+
+    ``positions`` numbers the triples, then for each triple its sets of five.
+    """
+    triples = F.array(*[F.lit(mask(t)) for t in TRIPLES])
+    short = prints.select("print", F.posexplode(triples).alias("positions", "mask"))
+    short = short.select("positions", F.col("print").bitwiseAND(F.col("mask")).alias("bytes"), "print")
+    full = short.groupBy("positions", "bytes").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > long)
+    kept = short.join(full, ["positions", "bytes"], "left")
+    fives = F.array(*[F.array(*[F.lit(mask(f)) for f in own]) for own in FIVES])
+    narrow = kept.where("n is not null").select("print", "positions", F.posexplode(fives[F.col("positions")]).alias("two", "mask"))
+    narrow = narrow.select((F.col("positions") * len(FIVES[0]) + F.col("two") + len(TRIPLES)).alias("positions"),
+                           F.col("print").bitwiseAND(F.col("mask")).alias("bytes"), "print")
+    return kept.where("n is null").select("positions", "bytes", "print").union(narrow)
 
 
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
