@@ -4,8 +4,8 @@ All in DataFrame functions. Texts are lower-cased (A-Z only) and cut into
 words. Every run of ``span`` consecutive words of a benchmark item is a window
 (an item of fewer words is one window). The hashes of all windows are a small
 table; documents stream their own window hashes past it. A hit on a hash is
-verified word by word before it counts, and the words it covers can be removed,
-or the document dropped when they are a large share of it.
+verified word by word before it counts. Documents of which hit words are a large
+share are dropped.
 
 Hashes of a document's windows are built by doubling: runs of 2, 4 and 8 words
 come from two shorter runs each, so a window costs four hash steps, not 13.
