@@ -10,7 +10,8 @@ when den * |a & b| >= num * |a | b|, that is when they share at least
 * Heavy sets are scanned in inverted lists. Only the first elements of a set in
   a global order, rare ones first, go into lists: a pair that links must meet
   there at least ``MEET`` times. The order comes from a sample; it changes the
-  cost, never the result. Pairs are tested exactly, on whole sets.
+  cost, never the result. Pairs that meet are tested on all list entries of both
+  sets, and those that may still link exactly, on whole sets.
 
 The boundary has the least estimated cost, from set sizes in the sample.
 
@@ -308,9 +309,7 @@ def link_groups(docs: DataFrame, words: int = 3, num: int = 9, den: int = 10) ->
     first = pairs.union(tried.select(F.least("a", "b"), F.greatest("a", "b"))).distinct()
     first = stage(first, "jaccard-pairs")
 
-    texts = _texts(rows, described, first.select(F.col("a").alias("cls")).union(first.select("b")).union(
-        long_rows.select("cls")))
-    edges = stage(light_edges.union(_linked(first, texts, words, num, den)), "jaccard-links")
+    edges = stage(light_edges.union(_linked(first, rows, described, words, num, den)), "jaccard-links")
     groups = smallest_reachable(edges)
 
     # Members of long lists that are still in different components are paired in full.
@@ -324,7 +323,7 @@ def link_groups(docs: DataFrame, words: int = 3, num: int = 9, den: int = 10) ->
         (F.col("cls_a") < F.col("cls_b")) & (F.col("root_a") != F.col("root_b"))
         & may_link("n_a", "n_b", "at_a", "at_b", num, den))
     rest = rest.select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
-    more = stage(_linked(rest, texts, words, num, den), "jaccard-more")
+    more = stage(_linked(stage(rest, "jaccard-rest"), rows, described, words, num, den), "jaccard-more")
     if more.count():
         groups = smallest_reachable(edges.union(more))
 
@@ -336,17 +335,41 @@ def link_groups(docs: DataFrame, words: int = 3, num: int = 9, den: int = 10) ->
         F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
 
 
-def _texts(rows: DataFrame, described: DataFrame, wanted: DataFrame) -> DataFrame:
-    """One text for each wanted class."""
-    holders = described.join(wanted.distinct(), "cls", "left_semi").groupBy("cls").agg(F.min("key").alias("key"))
-    texts = rows.select("key", "text").join(holders, "key").dropDuplicates(["cls"]).select("cls", "text")
-    return stage(texts, "jaccard-texts")
+def _members(pairs: DataFrame) -> DataFrame:
+    """The classes of pairs (a, b), each once."""
+    return pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
+
+
+def _both(pairs: DataFrame, table: DataFrame) -> DataFrame:
+    """``pairs`` with the columns of ``table`` (one row for each cls) of either side, marked _a and _b."""
+    for side in "ab":
+        names = {c: side if c == "cls" else f"{c}_{side}" for c in table.columns}
+        pairs = pairs.join(table.withColumnsRenamed(names), side)
+    return pairs
+
 
+def _likely(pairs: DataFrame, described: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs that can link by the list entries of both sets.
 
-def _linked(pairs: DataFrame, texts: DataFrame, words: int, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets link."""
-    both = pairs.join(texts.select(F.col("cls").alias("a"), F.col("text").alias("text_a")), "a").join(
-        texts.select(F.col("cls").alias("b"), F.col("text").alias("text_b")), "b")
+    Entries are the first elements of a set in one order. What two sets share
+    up to the end of the list that ends first is in both lists; beyond it they
+    share no more than that set has left. A set of n has ceil(num * n / den) -
+    MEET elements outside its list, so the lists must share the needed
+    elements less the larger of these two numbers.
+    """
+    lists = described.where("entries is not null").join(_members(pairs), "cls", "left_semi")
+    lists = stage(lists.groupBy("cls").agg(F.first("n").alias("n"), F.first("entries").alias("entries")), "jaccard-entries")
+    least = F.expr(f"({num} * (n_a + n_b) + {num + den - 1}) div {num + den}")
+    outside = F.expr(f"greatest(({num} * greatest(n_a, n_b) + {den - 1}) div {den} - {MEET}, 0)")
+    return _both(pairs, lists).where(F.size(F.array_intersect("entries_a", "entries_b")) >= least - outside).select("a", "b")
+
+
+def _linked(pairs: DataFrame, rows: DataFrame, described: DataFrame, words: int, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) of heavy classes whose whole sets link; only likely pairs move their texts."""
+    likely = stage(_likely(pairs, described, num, den), "jaccard-likely")
+    holders = described.join(_members(likely), "cls", "left_semi").groupBy("cls").agg(F.min("key").alias("key"))
+    texts = rows.select("key", "text").join(holders, "key").dropDuplicates(["cls"]).select("cls", "text")
+    both = _both(likely, stage(texts, "jaccard-texts")).select("a", "b", "text_a", "text_b")
     return both.mapInArrow(lambda batches: _verified(batches, words, num, den), "a long, b long")
 
 

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from lakelayer.llm import jaccard
-from lakelayer.llm.jaccard import LARGEST_LIGHT, MEET, boundary, link_groups, needed, one_per_group, subset_keys, subsets_of
+from lakelayer.llm.jaccard import LARGEST_LIGHT, MEET, boundary, link_groups, list_entries, needed, one_per_group, subset_keys, subsets_of
 
 
 def brute(rows, k, num, den):
@@ -72,6 +72,26 @@ def test_matches_brute_force(spark, monkeypatch, k, num, den, short, light, long
     assert got(link_groups(docs, k, num, den)) == expected
 
 
+def test_likely_pairs_lose_no_link_and_spare_others(spark):
+    """Sets of 40 shingles, up to 32 of them replaced: all links stay, most other pairs go."""
+    rng = np.random.default_rng(4)
+    sets, rows = {}, []
+    for cls in range(300):
+        own = np.random.default_rng(cls // 10).integers(0, 2**63, 40).astype(np.uint64)
+        own[rng.permutation(40)[:rng.integers(0, 33)]] = 0
+        own[own == 0] = rng.integers(0, 2**63, (own == 0).sum())
+        sets[cls] = own = np.unique(own)
+        n = len(own)
+        entries, _ = list_entries(own, n - -(-9 * n // 10) + MEET, own[:0], own[:0].astype(np.int64))
+        rows += [(cls, n, entries.tolist())] * (1 + cls % 2)  # a class may be described by several tasks
+    described = spark.createDataFrame(rows, "cls long, n long, entries array<long>")
+    met = [(a, b) for a in sets for b in sets if a < b and a // 10 == b // 10]
+    links = {p for p in met if 10 * len(np.intersect1d(*map(sets.get, p))) >= 9 * len(np.union1d(*map(sets.get, p)))}
+    likely = jaccard._likely(spark.createDataFrame(met, "a long, b long"), described, 9, 10).collect()
+    assert links and links <= {(r.a, r.b) for r in likely} and len(likely) == len({(r.a, r.b) for r in likely})
+    assert len(likely) - len(links) < (len(met) - len(links)) / 2
+
+
 def test_light_sets_meet_exactly_when_they_link():
     rng = np.random.default_rng(0)
     for n in range(4, 24):
