@@ -29,8 +29,8 @@ from lakelayer.llm.words import slices
 PLAIN_CHARS = ["\n", *map(chr, range(0x20, 0x7F)), *map(chr, range(0xA1, 0x130)), *map(chr, range(0x131, 0x250))]
 NOT_PLAIN = "[^\n\x20-\x7e\u00a1-\u012f\u0131-\u024f]"
 SPACE_RUN = "[ \n][ \n]"
-PIECES_KEPT = 700_000
-SLICE_BYTES = 24_000_000
+PIECES_KEPT = 150_000  # twice: those met lately, and those met before
+SLICE_BYTES = 12_000_000
 GATHER_TOKENS = 2_000_000
 
 # How the two public vocabularies split a text into pieces (their
@@ -75,11 +75,17 @@ class ColumnEncoder:
         spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self.spelled = {ord(c): spell(c)[0][0] for c in PLAIN_CHARS}
         self.pieces: dict[str, bytes] = {}
+        self.earlier: dict[str, bytes] = {}
         self.kept = pieces_kept
 
     def _piece(self, piece: str) -> bytes:
-        tokens = self.tokenizer.model.tokenize(piece.translate(self.spelled))
-        ids = self.pieces[piece] = array("I", [t.id for t in tokens]).tobytes()
+        """Ids of a piece that is not among ``pieces``; they are kept there, the oldest half goes when that is full."""
+        ids = self.earlier.get(piece)
+        if ids is None:
+            ids = array("I", [t.id for t in self.tokenizer.model.tokenize(piece.translate(self.spelled))]).tobytes()
+        if len(self.pieces) >= self.kept:
+            self.earlier, self.pieces = self.pieces, {}
+        self.pieces[piece] = ids
         return ids
 
     def _chunk(self, chunk: str, blank: str) -> bytes:
@@ -94,8 +100,6 @@ class ColumnEncoder:
 
     def _gathered(self, texts: pa.Array) -> Iterator[bytes]:
         """Ids of plain texts."""
-        if len(self.pieces) > self.kept:
-            self.pieces.clear()
         lists = pc.split_pattern(texts, " ") if self.keeps_space else pc.ascii_split_whitespace(texts)
         coded = lists.flatten().dictionary_encode()
         chunks = coded.dictionary.to_pylist()
