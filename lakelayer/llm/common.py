@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +17,19 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return materialize(df, label)[0]
 
 
+def handed_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``batches``; then what this worker no longer uses goes back to the system.
+
+    Spark keeps Python workers for later tasks, also through stages without
+    Python, where freed memory they still hold stands beside the heap.
+    """
+    yield from batches
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc
+    if trim is not None:
+        trim(0)
+
+
 def spare_name(df: DataFrame, name: str) -> str:
     """``name`` with underscores before it until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}

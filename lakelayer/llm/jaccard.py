@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakelayer.llm.common import smallest_reachable, spare_name, stage
+from lakelayer.llm.common import handed_back, smallest_reachable, spare_name, stage
 from lakelayer.llm.words import mix, runs, slices, word_hashes
 
 MEET = 2
@@ -107,7 +107,7 @@ def sample_order(rows: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray, d
     share = max(SAMPLE_ROWS, total // SAMPLE_SHARE)
     limit = min(2**63 - 1, 2**64 * share // total - 2**63)
     picked = rows.where(F.xxhash64("key") <= F.lit(limit)).select("text")
-    counts = picked.mapInArrow(lambda b: _sampled(b, words), "kind int, value long, n long")
+    counts = picked.mapInArrow(lambda b: handed_back(_sampled(b, words)), "kind int, value long, n long")
     counts = stage(counts.groupBy("kind", "value").agg(F.sum("n").alias("n")), "jaccard-sample")
     top = counts.where("kind = 0 and n >= 3").orderBy(F.desc("n"), "value").limit(MOST_FREQUENT).toArrow()
     value = top.column("value").to_numpy().view(np.uint64)
@@ -269,7 +269,7 @@ def link_groups(docs: DataFrame, words: int = 3, num: int = 9, den: int = 10) ->
     schema = ("doc_id long, key long, cls long, n long, entries array<long>, long_from int, "
               "subsets array<long>, sides array<int>")
     described = stage(rows.mapInArrow(
-        lambda b: _described(b, words, num, den, light, frequent, counts), schema), "jaccard-sets")
+        lambda b: handed_back(_described(b, words, num, den, light, frequent, counts)), schema), "jaccard-sets")
 
     # Light sets: members of a subset's bucket link to the least member of the other side.
     light_rows = described.where("subsets is not null").select(
@@ -285,7 +285,7 @@ def link_groups(docs: DataFrame, words: int = 3, num: int = 9, den: int = 10) ->
         "cls", "n", "long_from", F.posexplode("entries").alias("at", "element"))
     listed = entries.where(F.col("at") < F.col("long_from")).select("element", "cls", "n", "at")
     listed = listed.repartition("element").sortWithinPartitions("element", "cls")
-    met = stage(listed.mapInArrow(lambda b: _scan_lists(b, num, den),
+    met = stage(listed.mapInArrow(lambda b: handed_back(_scan_lists(b, num, den)),
                                   "element long, a long, b long, na long, nb long, ta long, tb long, long boolean"), "jaccard-lists")
     pairs = met.where("not long").groupBy("a", "b").agg(
         F.count(F.lit(1)).alias("times"), F.min("ta").alias("ta"), F.min("tb").alias("tb"),
@@ -370,7 +370,7 @@ def _linked(pairs: DataFrame, rows: DataFrame, described: DataFrame, words: int,
     holders = described.join(_members(likely), "cls", "left_semi").groupBy("cls").agg(F.min("key").alias("key"))
     texts = rows.select("key", "text").join(holders, "key").dropDuplicates(["cls"]).select("cls", "text")
     both = _both(likely, stage(texts, "jaccard-texts")).select("a", "b", "text_a", "text_b")
-    return both.mapInArrow(lambda batches: _verified(batches, words, num, den), "a long, b long")
+    return both.mapInArrow(lambda batches: handed_back(_verified(batches, words, num, den)), "a long, b long")
 
 
 def one_per_group(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5) -> DataFrame:

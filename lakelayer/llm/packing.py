@@ -159,7 +159,7 @@ def cut_pieces(docs: DataFrame, tokenizer_path: str, window: int = WINDOW) -> Da
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     schema = "doc_id long, start long, length long, doc_tokens long, ids binary"
-    cut = rows.mapInArrow(lambda batches: _tokenize(batches, tokenizer_path, window), schema)
+    cut = rows.mapInArrow(lambda batches: handed_back(_tokenize(batches, tokenizer_path, window)), schema)
     folder = work_dir(docs.sparkSession, "pieces")
     cut.withColumn("ids_crc32", F.crc32("ids")).write.option("compression", "zstd").parquet(folder)
     return docs.sparkSession.read.parquet(folder)

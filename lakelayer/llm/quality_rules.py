@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructType
 
-from lakelayer.llm.common import spare_name
+from lakelayer.llm.common import handed_back, spare_name
 
 SAMPLE_ROWS = 2_000
 SYMBOLS = re.compile(r"[#*$%&|<>]")
@@ -180,4 +180,4 @@ def kept_documents(docs: DataFrame, rules: list[Rule] = RULES, sample_rows: int
     rules = order_rules(docs, rules, sample_rows)
     flag = spare_name(docs, "kept")
     schema = StructType([*docs.schema.fields]).add(flag, BooleanType())
-    return docs.mapInArrow(lambda batches: _flag(batches, rules, flag), schema).where(F.col(flag)).drop(flag)
+    return docs.mapInArrow(lambda batches: handed_back(_flag(batches, rules, flag)), schema).where(F.col(flag)).drop(flag)
