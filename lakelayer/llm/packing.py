@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakelayer.llm.common import handed_back
 from lakelayer.llm.tokens import worker_encoder
 from lakelayer.session import work_dir
 
