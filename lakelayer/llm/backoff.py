@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from lakelayer.llm.common import stage
 from lakelayer.llm.words import runs, word_hashes
 
-ORDER = 2
+ORDER = 3
 BACKOFF = 0.4
 BLOCK_BYTES = 6_000_000
 SHARD_BYTES = 8_000_000
