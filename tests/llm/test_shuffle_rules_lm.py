@@ -144,7 +144,7 @@ def test_backoff_matches_brute_force(spark, sf_small):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_small}/documents.parquet").collect()]
     rows += [(None, None), (500, ""), (501, "Word"), (501, "Word"), (502, "the  of\tand"), (503, "the " * 3000)]
     docs = spark.createDataFrame([(i, t, 7) for i, t in rows], "doc_id long, text string, block int")
-    out = score_documents(docs, block_bytes=50_000, shard_bytes=40_000).collect()
+    out = score_documents(docs, order=2, block_bytes=50_000, shard_bytes=40_000).collect()
     got = sorted((r.doc_id is None, r.doc_id, r.n_words, round(r.log_score, 6)) for r in out if r.doc_id is not None)
     wanted = sorted((False, i, *s) for (i, _), s in zip(rows, brute_backoff(rows)) if i is not None)
     assert [g[:3] for g in got] == [w[:3] for w in wanted]
