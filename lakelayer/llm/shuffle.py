@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakelayer.llm.common import stage
+from lakelayer.llm.common import spare_name, stage
 
 BLOCK_ROWS = 20_000
 MOST_BLOCKS = 16_384
@@ -75,38 +75,43 @@ def shuffle_into_shards(rows: DataFrame, shards: int, key: list[str], seed: int
 
     ``key`` names the columns that order rows with equal random numbers; rows
     equal in all of them are interchangeable. Nulls are values like any other.
-    An empty table gives an empty result. The rows are written once, then read
-    for the counts and again for the exchange.
+    An empty table gives an empty result. Columns of ``rows`` named ``shard`` or
+    ``slot`` are replaced (``key`` must not name them); all others stay as they
+    are. The rows are written once, then read for the counts and again for the
+    exchange.
     """
     spark = rows.sparkSession
-    held = stage(rows.withColumn("_key", random_key(seed, *key)), "shuffle-rows")
+    rows = rows.drop("shard", "slot")
+    random, block, edges, nth, place, part, ahead, count = (
+        spare_name(rows, n) for n in ("random", "block", "edges", "nth", "place", "part", "ahead", "count"))
+    held = stage(rows.withColumn(random, random_key(seed, *key)), "shuffle-rows")
     total = held.count()
     blocks = max(1, min(most_blocks, total // block_rows))
-    dealt = held.withColumn("_block", F.pmod("_key", F.lit(blocks)))
-    counts = {r["_block"]: r["n"] for r in dealt.groupBy("_block").agg(F.count(F.lit(1)).alias("n")).collect()}
+    dealt = held.withColumn(block, F.pmod(random, F.lit(blocks)))
+    counts = {r[0]: r[1] for r in dealt.groupBy(block).agg(F.count(F.lit(1))).collect()}
     own = sorted(counts)
     matrix = communication_matrix(np.random.default_rng(seed), [counts[b] for b in own], shard_sizes(total, shards))
-    edges = [np.cumsum(row).tolist() for row in matrix]
-    table = spark.createDataFrame(list(zip(own, edges)), "_block long, _edges array<long>")
+    table = spark.createDataFrame([(b, np.cumsum(row).tolist()) for b, row in zip(own, matrix)],
+                                  f"`{block}` long, `{edges}` array<long>")
 
     # First permutation: random order inside each block; its matrix row cuts it into shards.
-    first = Window.partitionBy("_block").orderBy(random_key(seed + 1, *key), *key)
+    first = Window.partitionBy(block).orderBy(random_key(seed + 1, *key), *key)
     sent = (
-        dealt.withColumn("_nth", F.row_number().over(first))
-        .join(F.broadcast(table), "_block")  # at most most_blocks rows of ``shards`` numbers
-        .withColumn("shard", F.expr("size(filter(_edges, e -> e < _nth))").cast("int"))
-        .drop("_edges", "_nth")
+        dealt.withColumn(nth, F.row_number().over(first))
+        .join(F.broadcast(table), block)  # at most most_blocks rows of ``shards`` numbers
+        .withColumn("shard", F.size(F.filter(edges, lambda e: e < F.col(nth))).cast("int"))
+        .drop(edges, nth)
     )
     # Second permutation: random order inside each shard, by ranges of the random number.
-    sent = stage(sent.withColumn("_place", random_key(seed + 2, *key)).withColumn(
-        "_part", F.pmod(F.shiftrightunsigned("_place", 20), F.lit(blocks))), "shuffle-sent")
-    parts = sent.groupBy("shard", "_part").agg(F.count(F.lit(1)).alias("_n"))
-    ahead = F.sum("_n").over(Window.partitionBy("shard").orderBy("_part")) - F.col("_n")
-    parts = parts.withColumn("_ahead", ahead).drop("_n")
-    second = Window.partitionBy("shard", "_part").orderBy("_place", *key)
+    sent = stage(sent.withColumn(place, random_key(seed + 2, *key)).withColumn(
+        part, F.pmod(F.shiftrightunsigned(place, 20), F.lit(blocks))), "shuffle-sent")
+    parts = sent.groupBy("shard", part).agg(F.count(F.lit(1)).alias(count))
+    before = F.sum(count).over(Window.partitionBy("shard").orderBy(part)) - F.col(count)
+    parts = parts.withColumn(ahead, before).drop(count)
+    second = Window.partitionBy("shard", part).orderBy(place, *key)
     return (
-        sent.withColumn("_nth", F.row_number().over(second))
-        .join(parts, ["shard", "_part"])
-        .withColumn("slot", F.col("_ahead") + F.col("_nth") - 1)
-        .drop("_key", "_block", "_place", "_part", "_nth", "_ahead")
+        sent.withColumn(nth, F.row_number().over(second))
+        .join(parts, ["shard", part])
+        .withColumn("slot", F.col(ahead) + F.col(nth) - 1)
+        .drop(random, block, place, part, nth, ahead)
     )

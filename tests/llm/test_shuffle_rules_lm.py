@@ -37,6 +37,31 @@ def test_shuffle_is_exact_and_uniform(spark):
     assert shuffle_into_shards(rows.limit(0), 8, ["id"]).count() == 0
 
 
+def test_shuffle_keeps_columns_of_any_name(spark):
+    names = ["random", "block", "edges", "nth", "place", "part", "ahead", "count", "_block", "_place", "_key"]
+    rows = spark.range(50).select("id", *(F.lit(n).alias(n) for n in names), F.lit("old").alias("shard"), F.lit("old").alias("slot"))
+    out = shuffle_into_shards(rows, 3, ["id"], block_rows=10)
+    assert sorted(out.columns) == sorted(rows.columns)
+    got = out.collect()
+    assert all(r[n] == n for r in got for n in names)
+    assert sorted((r.shard, r.slot) for r in got) == [(s, i) for s, n in enumerate([17, 17, 16]) for i in range(n)]
+
+
+def test_shuffle_query(spark, sf_small):
+    import zlib
+
+    from lakelayer.llm.queries import op4_shuffle_shards
+
+    texts = {r.doc_id: (r.text or "").encode() for r in spark.read.parquet(f"{sf_small}/documents.parquet").collect()}
+    got = op4_shuffle_shards(spark, sf_small).collect()
+    assert sorted(r.doc_id for r in got) == sorted(texts)
+    assert all((r.size, r.text_crc32) == (len(texts[r.doc_id]) + 1, zlib.crc32(texts[r.doc_id])) for r in got)
+    counts = Counter(r.shard for r in got)
+    assert set(counts) == set(range(8)) and max(counts.values()) - min(counts.values()) <= 1
+    assert sorted((r.shard, r.slot) for r in got) == [(s, i) for s in range(8) for i in range(counts[s])]
+    assert all(r.law == "rows" and r.grown_shard is None for r in got)
+
+
 TEXTS = [None, "", " \n ", "a b c", "one two three " * 30, "x\ny\nx\n\nx z", "#* " * 60, "w" * 50_000,
          " ".join(f"word{i}" for i in range(80)), "é " * 60, "a|b <c> $%&", "line here\n" * 40]
 
