@@ -5,7 +5,7 @@ words. Every run of ``span`` consecutive words of a benchmark item is a window
 (an item of fewer words is one window). The hashes of all windows are a small
 table; documents stream their own window hashes past it. A hit on a hash is
 verified word by word before it counts. Documents of which hit words are a large
-share are dropped.
+share are dropped, or the words hit are removed.
 
 Hashes of a document's windows are built by doubling: runs of 2, 4 and 8 words
 come from two shorter runs each, so a window costs four hash steps, not 13.
@@ -23,6 +23,8 @@ from lakelayer.llm.common import spare_name, stage
 SPAN = 13
 # Characters that part words: ASCII other than 0-9 and a-z, after lower-casing.
 PARTS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# A word in a text that is not lower-cased.
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 MOST_BROADCAST = 4_000_000  # windows; at 8 bytes of hash a broadcast stays under 100 MB
 
 
@@ -146,3 +148,25 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, span: int = SPAN) ->
     dirty = scan(docs.select("doc_id", "text"), benchmark, span).where("contaminated").select(F.col("key").alias(key))
     rows = docs.withColumn(key, F.xxhash64(F.col("doc_id").cast("long"), "text"))
     return rows.join(dirty.distinct(), key, "left_anti").drop(key)
+
+
+def without_spans(docs: DataFrame, benchmark: DataFrame, span: int = SPAN) -> DataFrame:
+    """``docs`` without the words hit by a benchmark window; all other columns unchanged.
+
+    Each run of hit words goes with what stands before its words, back to the
+    word before the run; the rest of the text stays as it is. Null texts and
+    texts without hits stay. Equal rows get equal texts.
+    """
+    key, covered = spare_name(docs, "key"), spare_name(docs, "covered")
+    hit = scan(docs.select("doc_id", "text"), benchmark, span).where(F.size("covered") > 0)
+    hit = hit.groupBy(F.col("key").alias(key)).agg(F.first("covered").alias(covered))
+    rows = docs.withColumn(key, F.xxhash64(F.col("doc_id").cast("long"), "text")).join(hit, key, "left")
+    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
+    gaps = F.split("text", WORD, -1)
+    # Every word with what stands before it; the runs between hit runs are kept.
+    units = F.zip_with(F.slice(gaps, 1, F.size(words)), words, lambda gap, word: F.concat(gap, word))
+    starts = F.concat(F.array(F.lit(0)), F.transform(covered, lambda c: c["stop"]))
+    stops = F.concat(F.transform(covered, lambda c: c["start"]), F.array(F.size(words)))
+    kept = F.zip_with(starts, stops, lambda a, b: F.array_join(F.slice(units, a + 1, b - a), ""))
+    text = F.concat(F.array_join(kept, ""), F.element_at(gaps, -1))
+    return rows.withColumn("text", F.when(F.col(covered).isNull(), F.col("text")).otherwise(text)).select(*docs.columns)

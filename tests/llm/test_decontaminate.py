@@ -81,3 +81,32 @@ def test_no_python_on_the_main_path(spark, sf_small):
     docs = spark.read.parquet(f"{sf_small}/documents.parquet")
     plan = scan(docs, spark.read.parquet(f"{sf_small}/benchmark.parquet"))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_without_spans_removes_the_words_hit(spark):
+    from lakelayer.llm.decontaminate import without_spans
+
+    items = spark.createDataFrame([(1, ITEM), (2, "A B")], "item_id long, text string")
+    docs = [(1, None, "x"), (2, "", "x"), (3, "Left, " + ITEM.upper() + "; right.", "x"), (3, "Left, " + ITEM.upper() + "; right.", "x"),
+            (4, "a-b (a b) c é", "y"), (5, "nothing here...", "y"), (6, ITEM, "z"), (None, "so: a b!", "z")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, covered string")
+    out = without_spans(frame, items)
+    assert out.columns == frame.columns
+    text = {1: None, 2: "", 3: "Left; right.", 4: ") c é", 5: "nothing here...", 6: "", None: "so!"}
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted(((i, text[i], c) for i, _, c in docs), key=repr)
+    assert without_spans(frame.limit(0), items).count() == 0
+    assert sorted(map(tuple, without_spans(frame, items.limit(0)).collect()), key=repr) == sorted(docs, key=repr)
+
+
+def test_without_spans_on_tables(spark, sf_small):
+    from lakelayer.llm.decontaminate import without_spans
+
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet")
+    items = spark.read.parquet(f"{sf_small}/benchmark.parquet")
+    covered = {r.doc_id: [tuple(c) for c in r.covered] for r in scan(docs, items).collect()}
+    left = {r.doc_id: r.text for r in without_spans(docs, items).select("doc_id", "text").collect()}
+    assert any(covered.values())
+    for r in docs.collect():
+        own = words(r.text)
+        kept = [w for i, w in enumerate(own) if not any(a <= i < b for a, b in covered[r.doc_id])]
+        assert words(left[r.doc_id]) == kept
