@@ -2,11 +2,15 @@
 
 All in DataFrame functions. Four kinds of identifiers have fixed patterns;
 their matches are always spans. They are also the seeds of a bootstrap: the
-words beside a seed are lexical patterns. Each round scores every pattern by
-how much of its word's use in the whole corpus is beside known identifiers,
-and scores every unknown identifier-like token by the patterns it occurs with;
-tokens of high score become known and count for the next round. Occurrences of
-such tokens beside high-confidence patterns are added as kind ``context``.
+words beside a seed make lexical patterns: the word before, the word after, the
+two words before, and the words on both sides. A pattern counts if its words
+stand beside known identifiers far more often than words at random places do;
+its confidence is the known share of the identifier-like tokens it stands
+beside. So a cue word may be common in prose too. Each round scores the
+patterns, then every unknown identifier-like token by the patterns it occurs
+with and the share of its own uses that is beside them; tokens of high score
+become known and count for the next round. Occurrences of such tokens beside
+high-confidence patterns are added as kind ``context``.
 
 Positions of matches come from the lengths between them: the texts between the
 matches of a pattern (``split``) and the matches (``regexp_extract_all``)
@@ -40,12 +44,13 @@ HINTS = {
 BYTE_VALUE = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 # An identifier-like token: no white space, with a digit.
 TOKEN = r"(?<!\S)(?=[^\s0-9]*+[0-9])\S++"
-CONTEXT = 48  # code points looked at on either side
+NEAR = 48  # code points that mostly hold the neighbouring words; the whole text between matches is read if not
 
 ROUNDS = 3
 LEAST_SUPPORT = 3
 LEAST_CONFIDENCE = 0.7
 KNOWN_SCORE = 0.7
+LEAST_LIFT = 5  # times the hits that chance would give, one more allowed for
 
 
 def holds(kind: str, match: Column) -> Column:
@@ -60,17 +65,34 @@ def holds(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
+def last_words(gap: Column) -> tuple[Column, Column]:
+    """The last word of a text and the one before it; empty where there is none."""
+    tail = F.right(gap, F.lit(NEAR))
+    tail = F.when((F.length(gap) <= NEAR) | tail.rlike(r"\s\S++\s++\S++\s*+$"), tail).otherwise(gap)
+    return F.regexp_extract(tail, r"(?<!\S)(\S++)\s*+$", 1), F.regexp_extract(tail, r"(?<!\S)(\S++)\s++\S++\s*+$", 1)
+
+
+def first_word(gap: Column) -> Column:
+    head = F.left(gap, F.lit(NEAR))
+    head = F.when((F.length(gap) <= NEAR) | head.rlike(r"^\s*+\S++\s"), head).otherwise(gap)
+    return F.regexp_extract(head, r"^\s*+(\S++)", 1)
+
+
 def matches(text: Column, kind: str, pattern: str, hint: Column) -> Column:
-    """Array of all matches: kind, nth, gap (length of the text since the match before), value, left, right."""
-    gaps = F.transform(F.split(text, pattern, -1), lambda g: F.struct(
-        F.length(g).alias("gap"), F.right(g, F.lit(CONTEXT)).alias("end"), F.left(g, F.lit(CONTEXT)).alias("head")))
+    """Array of all matches: kind, nth, gap (length of the text since the match before), value, the words beside it."""
+    def around(gap: Column) -> Column:
+        last, before = last_words(gap)
+        return F.struct(F.length(gap).alias("gap"), last.alias("last"), before.alias("before"), first_word(gap).alias("first"))
+
+    gaps = F.transform(F.split(text, pattern, -1), around)
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    after = F.transform(F.slice(gaps, 2, F.size(found) + 1), lambda g: g["head"])
-    zipped = F.arrays_zip(found.alias("value"), F.slice(gaps, 1, F.size(found)).alias("gap"), after.alias("head"))
+    after = F.transform(F.slice(gaps, 2, F.size(found) + 1), lambda g: g["first"])
+    zipped = F.arrays_zip(found.alias("value"), F.slice(gaps, 1, F.size(found)).alias("gap"), after.alias("right"))
     each = F.transform(zipped, lambda z, i: F.struct(
         F.lit(kind).alias("kind"), i.alias("nth"), z["gap"]["gap"].alias("gap"), z["value"].alias("value"),
-        z["gap"]["end"].alias("left"), z["head"].alias("right")))
-    empty = F.array().cast("array<struct<kind:string,nth:int,gap:int,value:string,left:string,right:string>>")
+        z["gap"]["before"].alias("before"), z["gap"]["last"].alias("left"), z["right"].alias("right")))
+    empty = F.array().cast(
+        "array<struct<kind:string,nth:int,gap:int,value:string,before:string,left:string,right:string>>")
     return F.when(hint, each).otherwise(empty)
 
 
@@ -94,7 +116,7 @@ def all_matches(docs: DataFrame) -> DataFrame:
         .withColumn("start", F.col("stop") - F.length("value"))
         .withColumn("base", good)
         .where("base or kind = 'token'")
-        .select("key", "kind", "start", "stop", "value", "left", "right", "base")
+        .select("key", "kind", "start", "stop", "value", "before", "left", "right", "base")
     )
 
 
@@ -104,24 +126,42 @@ def instance(value: Column) -> Column:
 
 
 def with_patterns(found: DataFrame) -> DataFrame:
-    """One row per match and neighbouring word: the columns of ``found``, instance, pattern, word."""
-    left = F.lower(F.regexp_extract("left", r"(?:^|\s)(\S+)\s*$", 1))
-    right = F.lower(F.regexp_extract("right", r"^\s*(\S+)(?:\s|$)", 1))
-    sides = F.array(F.struct(F.lit("left").alias("side"), left.alias("word")),
-                    F.struct(F.lit("right").alias("side"), right.alias("word")))
+    """One row per match and pattern: the columns of ``found``, instance, side, cue (a word or two), pattern."""
+    before, left, right = (F.lower(c) for c in ("before", "left", "right"))
+    none = F.lit("")
+
+    def side(name: str, cue: Column) -> Column:
+        return F.struct(F.lit(name).alias("side"), cue.alias("cue"))
+
+    sides = F.array(
+        side("left", left), side("right", right),
+        side("two", F.when((before != "") & (left != ""), F.concat_ws(" ", before, left)).otherwise(none)),
+        side("around", F.when((left != "") & (right != ""), F.concat_ws(" ", left, right)).otherwise(none)))
     each = found.withColumn("instance", instance(F.col("value"))).withColumn("s", F.explode(sides))
-    each = each.withColumn("word", F.col("s.word")).where("word <> '' and instance <> ''")
-    return each.withColumn("pattern", F.concat_ws(" ", F.col("s.side"), F.col("word"))).drop("s")
+    each = each.select("*", "s.side", "s.cue").drop("s").where("cue <> '' and instance <> ''")
+    return each.withColumn("pattern", F.concat_ws(" ", "side", "cue"))
+
+
+def cue_uses(docs: DataFrame, cues: DataFrame) -> DataFrame:
+    """(cue, uses): how often each cue, a word or two neighbouring words, stands in all texts."""
+    words = docs.select(F.split(F.lower("text"), r"\s+").alias("words"))
+    count = F.size("words") - 1
+    pairs = F.zip_with(F.slice("words", 1, count), F.slice("words", 2, count), lambda a, b: F.concat_ws(" ", a, b))
+    each = words.select(F.explode(F.concat("words", pairs)).alias("cue"))
+    return each.join(cues, "cue", "left_semi").groupBy("cue").agg(F.count(F.lit(1)).alias("uses"))
 
 
 def discover(found: DataFrame, docs: DataFrame, rounds: int = ROUNDS, support: int = LEAST_SUPPORT,
-             confidence: float = LEAST_CONFIDENCE, known: float = KNOWN_SCORE) -> DataFrame:
+             confidence: float = LEAST_CONFIDENCE, known: float = KNOWN_SCORE, lift: float = LEAST_LIFT) -> DataFrame:
     """Spans (key, start, stop) of unseen identifiers beside high-confidence patterns.
 
-    A pattern needs ``support`` different known instances and ``confidence``:
-    the share of its word's uses in the corpus that are beside known instances.
-    An unknown token's score is 1 - product of (1 - confidence) over its
-    patterns; at ``known`` it becomes known. Counts are over all documents.
+    A pattern needs ``support`` different known instances, ``confidence`` (the
+    known share of the identifier-like tokens beside it), and hits that are no
+    chance: at least ``lift`` times one more than its cue's uses in the corpus
+    would have at the corpus's rate of identifiers a word, or half of the uses.
+    An unknown token's score is 1 - product of (1 - confidence) over such
+    patterns, times the share of its uses beside them; at ``known`` it becomes
+    known. Counts are over all documents.
     """
     seeds = found.where("base")
     # A token that shares characters with a seed is not unseen.
@@ -130,34 +170,40 @@ def discover(found: DataFrame, docs: DataFrame, rounds: int = ROUNDS, support: i
     tokens = tokens.join(inside, (tokens["key"] == inside["key"]) & (tokens["start"] < inside["b"])
                          & (tokens["stop"] > inside["a"]), "left_anti")
     seen = stage(with_patterns(seeds.union(tokens)), "pii-contexts")
-
-    graph = seen.groupBy("pattern", "word", "instance").agg(
-        F.max("base").alias("seed"), F.count(F.lit(1)).alias("n"))
-    # Only a pattern with enough seeds, or reached through tokens, can ever matter; its word's
-    # uses are counted over all texts.
-    uses = docs.select(F.explode(F.split(F.lower("text"), r"\s+")).alias("word")).groupBy("word").agg(
-        F.count(F.lit(1)).alias("uses"))
-    words = graph.groupBy("word").agg(F.countDistinct("instance").alias("k")).where(F.col("k") >= support).select("word")
-    graph = stage(graph.join(words.join(uses, "word", "left"), "word"), "pii-graph")
-
-    scores = graph.select("instance", F.col("seed").cast("double").alias("score")).groupBy("instance").agg(
-        F.max("score").alias("score"))
-    strong = None
+    words = docs.agg(F.sum(F.size(F.split("text", r"\s+")).cast("long"))).first()[0] or 1
+    rate = seeds.count() / words
+
+    edges = seen.groupBy("pattern", "side", "cue", "instance").agg(F.max("base").alias("seed"), F.count(F.lit(1)).alias("n"))
+    # Only a pattern beside enough different tokens can ever matter.
+    enough = edges.groupBy("pattern", "cue").agg(F.countDistinct("instance").alias("k")).where(F.col("k") >= support)
+    enough = stage(enough.select("pattern", "cue"), "pii-cues")
+    uses = stage(cue_uses(docs, enough.select("cue").distinct()), "pii-uses")
+    graph = stage(edges.join(enough.select("pattern"), "pattern", "left_semi").join(uses, "cue", "left"), "pii-graph")
+    # A token's own uses: one side names each of them, unless it has no word there.
+    own = stage(edges.groupBy("instance").agg(
+        F.max(F.col("seed").cast("int")).cast("double").alias("seed"),
+        F.greatest(*(F.sum(F.when(F.col("side") == s, F.col("n")).otherwise(0)) for s in ("left", "right"))).alias("own")),
+        "pii-instances")
+
+    scores, strong = own.select("instance", F.col("seed").alias("score")), None
     for _ in range(rounds):
-        scored = graph.join(scores, "instance")
-        strong = scored.groupBy("pattern").agg(
-            F.sum(F.when(F.col("score") >= known, F.col("n")).otherwise(0)).alias("hits"),
-            F.countDistinct(F.when(F.col("score") >= known, F.col("instance"))).alias("support"),
-            F.greatest(F.max("uses"), F.sum("n")).alias("uses"))
-        strong = strong.where(F.col("support") >= support).select(
-            "pattern", (F.col("hits") / F.col("uses")).alias("confidence"))
-        by_pattern = graph.join(strong, "pattern").groupBy("instance").agg(
-            F.max(F.col("seed").cast("int")).alias("seed"),
+        hit = F.col("score") >= known
+        strong = graph.join(scores, "instance").groupBy("pattern").agg(
+            F.sum(F.when(hit, F.col("n")).otherwise(0)).alias("hits"), F.sum("n").alias("met"),
+            F.countDistinct(F.when(hit, F.col("instance"))).alias("support"),
+            # A pattern on both sides is a pair of neighbours with a token between: not in ``uses``.
+            (F.coalesce(F.max("uses"), F.lit(0)) + F.sum(F.when(F.col("side") == "around", F.col("n")).otherwise(0))).alias("uses"))
+        strong = strong.withColumn("uses", F.greatest("uses", "met")).withColumn("confidence", F.col("hits") / F.col("met"))
+        by_chance = F.col("uses") * F.lit(rate) + 1
+        strong = strong.where((F.col("support") >= support) & (F.col("confidence") >= confidence)
+                              & ((F.col("hits") >= lift * by_chance) | (2 * F.col("hits") >= F.col("uses"))))
+        by_pattern = graph.join(strong.select("pattern", "confidence"), "pattern").groupBy("instance").agg(
+            F.sum("n").alias("beside"),
             (1 - F.exp(F.sum(F.log(F.greatest(F.lit(1e-9), 1 - F.col("confidence")))))).alias("found"))
-        scores = stage(scores.join(by_pattern.select("instance", "found"), "instance", "left").select(
-            "instance", F.greatest("score", F.coalesce("found", F.lit(0.0))).alias("score")), "pii-scores")
-    strong = strong.where(F.col("confidence") >= confidence)
-    unseen = seen.where("not base").join(strong, "pattern", "left_semi")
+        share = F.least(F.lit(1.0), F.col("beside") / F.greatest("own", F.lit(1)))
+        scores = stage(own.join(by_pattern, "instance", "left").select(
+            "instance", F.greatest("seed", F.coalesce(F.col("found") * share, F.lit(0.0))).alias("score")), "pii-scores")
+    unseen = seen.where("not base").join(strong.select("pattern"), "pattern", "left_semi")
     return unseen.join(scores.where(F.col("score") >= known), "instance", "left_semi").select(
         "key", "start", "stop").distinct()
 

@@ -91,3 +91,55 @@ def test_query_digest_and_plan(spark, sf_small):
         assert r.base_sha256 == hashlib.sha256(spelled.encode()).hexdigest()
         assert r.spans.startswith(spelled)
     assert not re.search("Python|Pandas|Arrow", frame._jdf.queryExecution().toString())
+
+
+def test_discovers_beside_cue_words_that_prose_uses_too(spark):
+    import random
+
+    rng = random.Random(3)
+    prose = ["w" + chr(97 + i // 26) + chr(97 + i % 26) for i in range(300)] + ["call", "desk", "the"] * 3
+    long_cue = "c" * 60 + ":"
+    rows, unseen = [], {}
+
+    def add(*middle):
+        text = [rng.choice(prose) for _ in range(rng.randint(20, 40))]
+        at = rng.randint(1, len(text) - 1)
+        rows.append((len(rows), " ".join([*text[:at], *middle, *text[at:]])))
+
+    for i in range(4000):
+        add()
+        if i % 8 == 0:
+            add("call", "desk", f"+1 (555) 01{i % 10}-{1000 + i}")
+        if i % 100 == 0:
+            unseen[len(rows)] = f"QX-{i:05d}-ZW"
+            add("call", "desk", unseen[len(rows)])
+        if i % 20 == 0:
+            add(f"u{i}@mail{i}.org")  # at any place: no pattern
+        if i % 10 == 0:
+            add(f"{1000 + i}x")  # an identifier-like token at any place: to be left alone
+        if i % 40 == 0:
+            add(long_cue)
+            add(long_cue, f"+1 (555) 77{i % 10}-{1000 + i}")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = dict(rows)
+    found = {(r.doc_id, texts[r.doc_id][s.start:s.stop]) for r in find_personal_data(docs).collect()
+             for s in r.spans if s.kind == "context"}
+    wanted = set(unseen.items())
+    assert len(found & wanted) >= 0.95 * len(wanted)
+    # The others are tokens that stand after a cue word by chance.
+    assert len(found - wanted) <= 0.15 * len(found)
+    assert all(re.search(r"\b(call|desk) " + re.escape(token), texts[i]) for i, token in found)
+
+
+def test_words_of_any_length_are_neighbours(spark):
+    from pyspark.sql import functions as F
+
+    from lakelayer.llm.pii import first_word, last_words
+
+    texts = ["", "a", " a ", "b a", "c b a\n", "x" * 100 + " y", "y " + "x" * 100, "b" + " " * 90 + "a" + " " * 90,
+             "q " + "w" * 60 + " " * 60 + "v" * 60 + "  ", " " * 200, "a" * 200, "one two  three " * 20]
+    df = spark.createDataFrame([(t,) for t in texts], "g string")
+    last, before = last_words(F.col("g"))
+    for g, a, b, c in df.select("g", last, before, first_word(F.col("g"))).collect():
+        own = g.split()
+        assert (a, b, c) == (own[-1] if own else "", own[-2] if len(own) > 1 else "", own[0] if own else "")
