@@ -138,7 +138,9 @@ def with_patterns(found: DataFrame) -> DataFrame:
         side("two", F.when((before != "") & (left != ""), F.concat_ws(" ", before, left)).otherwise(none)),
         side("around", F.when((left != "") & (right != ""), F.concat_ws(" ", left, right)).otherwise(none)))
     each = found.withColumn("instance", instance(F.col("value"))).withColumn("s", F.explode(sides))
-    each = each.select("*", "s.side", "s.cue").drop("s").where("cue <> '' and instance <> ''")
+    # Marks between words, as of table cells, are no words: every word of a cue holds a letter.
+    worded = F.col("cue").rlike(r"^\S*\p{L}\S*(?: \S*\p{L}\S*)?$") & (F.col("instance") != "")
+    each = each.select("*", "s.side", "s.cue").drop("s").where(worded)
     return each.withColumn("pattern", F.concat_ws(" ", "side", "cue"))
 
 
