@@ -6,11 +6,13 @@ up (Brants et al., 2007). A document's own n-grams are taken out of the counts
 it is scored with, so no document vouches for itself.
 
 Relationally: every task cuts the documents it reads into compressed blocks of
-bounded size, which are stored once and move once, to be scored. Each block lists its distinct n-grams (64-bit hashes) with their counts, cut by hash
+bounded size, which are stored once, bucketed by their number, and never move.
+Each block lists its distinct n-grams (64-bit hashes) with their counts, cut by hash
 into shards. A shard adds up the lists of all blocks (the count table of its
-hashes) and joins the totals to every list; a block then looks up its n-grams
-among the totals and sums per document. A list holds an n-gram once per block,
-so a very frequent one is a row per block. Lists travel sorted, as differences.
+hashes) and answers every list with the counts in the other blocks, mostly none;
+a block then looks up its n-grams among them and sums per document. A list holds
+an n-gram once per block, so a very frequent one is a row per block. Lists travel
+sorted, as differences, numbers by their bytes of equal weight.
 """
 
 from __future__ import annotations
@@ -24,9 +26,11 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from lakelayer.llm.common import stage
 from lakelayer.llm.words import runs, word_hashes
+from lakelayer.session import work_dir
+from lakelayer.sources.buckets import bucketed
 
 ORDER = 3
 BACKOFF = 0.4
@@ -41,21 +45,39 @@ def pack_sorted(values: np.ndarray) -> bytes:
     steps = np.diff(values)
     width = max(1, (int(steps.max()).bit_length() + 7) // 8) if len(steps) else 1
     low = steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
-    return bytes([width]) + int(values[0]).to_bytes(8, "little") + low.tobytes()
+    # The highest byte is small for most steps, so it is worth a Huffman code; the others are even.
+    coder = zlib.compressobj(1, zlib.DEFLATED, -15, 9, zlib.Z_HUFFMAN_ONLY)
+    high = coder.compress(low[:, -1].tobytes()) + coder.flush()
+    return bytes([width]) + int(values[0]).to_bytes(8, "little") + len(steps).to_bytes(8, "little") + low[:, :-1].tobytes() + high
 
 
 def unpack_sorted(data: bytes) -> np.ndarray:
     if not data:
         return np.zeros(0, dtype=np.uint64)
-    width, first = data[0], int.from_bytes(data[1:9], "little")
-    low = np.frombuffer(data, np.uint8, offset=9).reshape(-1, width)
-    wide = np.zeros((len(low) + 1, 8), dtype=np.uint8)
-    wide[1:, :width] = low
+    width, first, n = data[0], int.from_bytes(data[1:9], "little"), int.from_bytes(data[9:17], "little")
+    even = 17 + n * (width - 1)
+    wide = np.zeros((n + 1, 8), dtype=np.uint8)
+    wide[1:, :width - 1] = np.frombuffer(data, np.uint8, n * (width - 1), 17).reshape(n, width - 1)
+    wide[1:, width - 1] = np.frombuffer(zlib.decompress(data[even:], -15), np.uint8)
     steps = wide.view("<u8").ravel()
     steps[0] = first
     return np.cumsum(steps, dtype=np.uint64)
 
 
+def pack_counts(values: np.ndarray) -> bytes:
+    """Small numbers: all lowest bytes, then all second ones, as many as the largest needs, compressed."""
+    width = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
+    planes = values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
+    return bytes([width]) + zlib.compress(planes.T.tobytes(), 6)
+
+
+def unpack_counts(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(data[1:]), np.uint8).reshape(data[0], -1)
+    wide = np.zeros((planes.shape[1], 8), dtype=np.uint8)
+    wide[:, :data[0]] = planes.T
+    return wide.view("<u8").ravel()
+
+
 def block_grams(texts: pa.Array, order: int) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
     """(words per text, n-gram hashes by n, text number of each n-gram by n); no n-gram spans texts."""
     words, offsets = word_hashes(texts)
@@ -122,20 +144,20 @@ def _listed(block: int, table: pa.Table, order: int, shards: int) -> pa.Table:
         for shard, (a, b) in enumerate(zip(cuts, cuts[1:])):
             if b > a:
                 for name, value in (("block", block), ("n", n), ("shard", shard), ("hashes", pack_sorted(distinct[a:b])),
-                                    ("counts", zlib.compress(counts[a:b].astype("<u4").tobytes(), 1))):
+                                    ("counts", pack_counts(counts[a:b] - 1))):
                     out[name].append(value)
     return pa.table(out, schema=pa.schema([("block", pa.int64()), ("n", pa.int32()), ("shard", pa.int32()),
                                            ("hashes", pa.binary()), ("counts", pa.binary())]))
 
 
 def _totals(table: pa.Table) -> pa.Table:
-    """Counts of one shard over all blocks, for every entry of every list."""
+    """Counts of one shard over all other blocks, for every entry of every list."""
     lists = [unpack_sorted(x) for x in table.column("hashes").to_pylist()]
-    counts = [np.frombuffer(zlib.decompress(x), "<u4") for x in table.column("counts").to_pylist()]
+    counts = np.concatenate([unpack_counts(x) for x in table.column("counts").to_pylist()]) + np.uint64(1)
     distinct, at = np.unique(np.concatenate(lists), return_inverse=True)
-    total = np.bincount(at, weights=np.concatenate(counts), minlength=len(distinct)).astype("<u8")[at]
+    total = np.bincount(at, weights=counts, minlength=len(distinct)).astype(np.uint64)[at] - counts
     cuts = np.cumsum([0, *map(len, lists)])
-    packed = [zlib.compress(total[a:b].tobytes(), 1) for a, b in zip(cuts, cuts[1:])]
+    packed = [pack_counts(total[a:b]) for a, b in zip(cuts, cuts[1:])]
     return table.select(["block", "n", "shard"]).append_column("totals", pa.array(packed, pa.binary()))
 
 
@@ -145,8 +167,9 @@ def _scores(docs: pa.Table, replies: pa.Table, order: int, corpus: int, backoff:
     elsewhere = []
     for n, (own, owner) in enumerate(zip(grams, owners), 1):
         parts = sorted((r["shard"], r["totals"]) for r in rows if r["n"] == n)
-        totals = np.frombuffer(b"".join(zlib.decompress(p) for _, p in parts), "<u8").astype(np.float64)
-        distinct, at = np.unique(own, return_inverse=True)
+        others = np.concatenate([np.zeros(0), *(unpack_counts(p).astype(np.float64) for _, p in parts)])
+        distinct, at, here_in_block = np.unique(own, return_inverse=True, return_counts=True)
+        totals = others + here_in_block
         _, same, here = np.unique(owner * max(1, len(distinct)) + at, return_inverse=True, return_counts=True)
         elsewhere.append(totals[at] - here[same])
     # Scores from the shortest n-gram up; where a longer one is seen elsewhere, it replaces them.
@@ -200,7 +223,10 @@ def score_documents(docs: DataFrame, order: int = ORDER, backoff: float = BACKOF
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = 1 + size // shard_bytes
-    blocks = stage(rows.mapInArrow(lambda b: _blocks(b, block_bytes), "block long, data binary"), "lm-blocks")
+    stored = bucketed(docs.sparkSession, f"{work_dir(docs.sparkSession, 'lm-blocks')}/blocks",
+                      StructType([StructField("block", LongType()), StructField("data", BinaryType())]), ["block"])
+    stored.write(rows.mapInArrow(lambda b: _blocks(b, block_bytes), "block long, data binary"), spread=0)
+    blocks = stored.read(docs.sparkSession)
 
     schema = "block long, n int, shard int, hashes binary, counts binary"
     lists = blocks.mapInArrow(lambda b: _lists(b, order, shards), schema)

@@ -58,6 +58,8 @@ class BucketedTable:
         Each bucket is written by ``spread`` tasks, dealt by a hash of the whole
         row, so that a key with a third of all rows does not land in one task.
         One file a bucket (``spread=1``) keeps the table sorted for merge joins.
+        ``spread=0`` writes rows where they are, without an exchange: a file for
+        each task and bucket, for few large rows.
         """
         spark = df.sparkSession
         self.declare(spark)
@@ -65,7 +67,7 @@ class BucketedTable:
         bucket = F.pmod(F.hash(*self.keys), F.lit(self.buckets))  # how Spark deals rows to buckets
         if spread == 1:
             rows = rows.repartition(self.buckets, *self.keys)
-        else:
+        elif spread > 1:
             salt = F.pmod(F.xxhash64(*rows.columns), F.lit(spread))
             rows = rows.repartition(self.buckets * spread, bucket, salt)
         rows.write.insertInto(self.name, overwrite=mode == "overwrite")

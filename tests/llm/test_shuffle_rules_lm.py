@@ -4,7 +4,7 @@ from collections import Counter
 import numpy as np
 from pyspark.sql import functions as F
 
-from lakelayer.llm.backoff import pack_sorted, score_documents, unpack_sorted
+from lakelayer.llm.backoff import pack_counts, pack_sorted, score_documents, unpack_counts, unpack_sorted
 from lakelayer.llm.kneser_ney import Model, judge_by_perplexity, repeated
 from lakelayer.llm.quality_rules import RULES, Document, cascade, judge, kept_documents, order_rules
 from lakelayer.llm.shuffle import communication_matrix, hypergeometric, shuffle_into_shards
@@ -208,3 +208,19 @@ def test_sorted_lists_round_trip():
         own = np.unique(values)
         assert (unpack_sorted(pack_sorted(own)) == own).all()
     assert len(unpack_sorted(pack_sorted(np.zeros(0, np.uint64)))) == 0
+
+
+def test_counts_round_trip_and_hardly_take_room():
+    rng = np.random.default_rng(3)
+    for values in (rng.integers(0, 2**40, 500, dtype=np.uint64), np.zeros(0, np.uint64), np.array([0, 255, 256, 2**63], np.uint64)):
+        assert (unpack_counts(pack_counts(values)) == values).all()
+    assert len(pack_counts(np.zeros(10_000, np.uint64))) < 100
+    # The step's highest byte is coded: fewer bytes than the whole ones that hold the largest step.
+    own = np.unique(rng.integers(0, 2**64, 20_000, dtype=np.uint64))
+    assert len(pack_sorted(own)) < 0.97 * len(own) * ((int(np.diff(own).max()).bit_length() + 7) // 8)
+
+
+def test_blocks_are_scored_where_they_are_stored(spark, sf_small):
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet")
+    plan = score_documents(docs, block_bytes=50_000)._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan and plan.count("Exchange hashpartitioning") == 2  # the lists and the answers; no text moves
