@@ -224,3 +224,18 @@ def test_blocks_are_scored_where_they_are_stored(spark, sf_small):
     docs = spark.read.parquet(f"{sf_small}/documents.parquet")
     plan = score_documents(docs, block_bytes=50_000)._jdf.queryExecution().executedPlan().toString()
     assert "Bucketed: true" in plan and plan.count("Exchange hashpartitioning") == 2  # the lists and the answers; no text moves
+
+
+def test_all_trusted_documents_count(spark):
+    from lakelayer.llm import kneser_ney
+
+    seen = []
+    own, kneser_ney.train_model = kneser_ney.train_model, lambda t: seen.append(t.count()) or own(t)
+    try:
+        docs = spark.range(6000).select(F.col("id").alias("doc_id"), F.format_string("text %d", "id").alias("text"), F.lit("en").alias("lang"))
+        labels = docs.select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+        out = judge_by_perplexity(docs, labels)
+        assert out.count() == 6000
+    finally:
+        kneser_ney.train_model = own
+    assert 2800 < seen[0] < 3200  # half of them: the other half sets the bounds
