@@ -162,3 +162,24 @@ def test_library_works_without_the_subpackage(tmp_path):
     found = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()), 'op1_pack_sequences' in e.queries())"],
                            cwd=tmp_path, capture_output=True, text=True)
     assert found.stdout.split()[-1] == "False" and int(found.stdout.split()[-2]) >= 39
+
+
+def test_findings_of_all_documents_train(spark):
+    from lakelayer.llm.secret_scan import LEFT, findings
+
+    def text(i):
+        key = hashlib.sha256(str(i).encode()).hexdigest()[:20]
+        return f"letter{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}longer wordinbetween token = {key} and afterwards {'x' * 100 if i == 7 else ''}"
+
+    docs = spark.createDataFrame([(i, text(i % 4500)) for i in range(9000)], "doc_id long, text string").repartition(7, "doc_id")
+    rows = findings(docs).collect()
+    # Every value, and every word of several texts wherever they are: 4,000 of each were taken before.
+    assert sum(r.label for r in rows) == 4500
+    bodies = {bytes(r.codes)[LEFT:LEFT + 40] for r in rows if r.label == 0}
+    assert len(bodies) == len(rows) - 4500 == 4500 + 2 + 1  # words of one's own, two common ones, and one window of a long one
+    net = train_on(docs, epochs=2)
+    again = train_on(docs.repartition(3), epochs=2)
+    assert all(np.allclose(a, b) for a, b in zip(net.params(), again.params())) and abs(net.threshold - again.threshold) < 1e-6
+    tokens = [(t, t.index("=") + 2) for t in map(text, range(4500, 4600))]
+    scores = net.scores(np.array([characters(t, a, a + 20) for t, a in tokens]))
+    assert (scores >= net.threshold).mean() > 0.85
