@@ -75,7 +75,7 @@ from lakelayer.session import work_dir
 from lakelayer.sources import driver
 from lakelayer.sources.buckets import bucketed
 from lakelayer.sources.csv import read_typed_csv, stamp_ingest, write_csv, write_lines
-from lakelayer.sources.partitions import overwrite_partitions
+from lakelayer.sources.partitions import overwrite_partitions, table_exists
 from lakelayer.sources.tables import append_table, export_parquet, materialize, publish, read_table
 from lakelayer.streaming.ingest import ingest_incrementally
 
@@ -389,8 +389,9 @@ def warehouse_load(spark, d):
         publish(spark, df, gold, dim)
     publish(spark, build_supply_chain_summary(ref["supply_chain"]), gold, "fact_supply_chain_summary")
     gold_fact = read_table(spark, f"{gold}/fact_sales_parquet")
-    publish(spark, build_daily_summary(gold_fact, ref["products"], ref["categories"], ref["stores"],
-                                       ref["regions"]), gold, "gold_daily_merchandising_summary")
+    # The dimensions as published, so that they are not derived from the line items again.
+    dims = [read_table(spark, f"{gold}/{dim}_parquet") for dim in ("dim_product", "dim_category", "dim_store", "dim_region")]
+    publish(spark, build_daily_summary(gold_fact, *dims, sort=False), gold, "gold_daily_merchandising_summary")
     publish_warehouse(spark, gold, warehouse)
     parts = [read_table(spark, f"{warehouse}/{t}").agg(F.count(F.lit(1)).alias("row_count"))
              .select(F.lit(t).alias("table_name"), "row_count") for t in WAREHOUSE]
@@ -524,9 +525,13 @@ def _two_batches(spark, d, gold=True):
         run_references(spark, paths, reference_tables=needed)
     number = F.substring("product_id", 2, 12).cast("long")
     late = (F.to_date("transaction_ts") >= F.lit(EVOLVE_SPLIT).cast("date")) & (number % 2 == 1)
-    for batch, rows in (("001", raw.where(~late)), ("002", raw.where(late))):
-        write_csv(rows, f"{paths.raw}/{batch}/transactions.csv")
-        apply_batch(spark, paths, batch, f"{paths.raw}/{batch}/transactions.csv", gold=gold, grain="month")
+    landing = F.when(late, F.lit("002")).otherwise(F.lit("001")).alias("landing")
+    write_csv(raw.where(late.isNotNull()).select("*", landing), f"{paths.raw}/transactions.csv", compression="gzip", partition_by=["landing"])
+    for batch in ("001", "002"):
+        landed = f"{paths.raw}/transactions.csv/landing={batch}"
+        if not table_exists(spark, landed):  # no row falls into it
+            write_csv(raw.limit(0), landed)
+        apply_batch(spark, paths, batch, landed, gold=gold, grain="month")
     return paths
 
 

@@ -166,29 +166,42 @@ def outcome() -> Column:
     return F.when(F.col(REASON_COL).isNull(), F.lit(CLEAN)).otherwise(F.lit(BAD))
 
 
+def _moved(rows: DataFrame) -> DataFrame:
+    """What of tagged rows travels to their partitions; ``_stored`` derives the rest there."""
+    return rows.withColumn(OUTCOME_COL, outcome()).select(*RAW, *METADATA_COLUMNS, REASON_COL, *STORE_PARTITIONS)
+
+
 def _stored(rows: DataFrame) -> DataFrame:
-    return rows.withColumn(OUTCOME_COL, outcome()).select(
+    return rows.withColumns({KEY: id_key(), TYPED["quantity"]: to_int_truncating("quantity"),
+                             TYPED["unit_price"]: to_double("unit_price")}).select(
         *RAW, *METADATA_COLUMNS, *TYPED.values(), REASON_COL, KEY, *STORE_PARTITIONS)
 
 
-def retag_earlier(spark: SparkSession, paths: LayerPaths, repeats: DataFrame) -> DataFrame | None:
-    """The stored partitions that hold ids of ``repeats`` (key, home_period, home_batch), with those rows as duplicates.
+def held_at(spark: SparkSession, paths: LayerPaths, homes: list[tuple]) -> DataFrame:
+    """The stored partitions of ``homes`` (period, batch), of both outcomes."""
+    periods, batches = {p for p, _ in homes}, {b for _, b in homes}
+    held = checked_transactions(spark, paths).where(in_partitions(PERIOD, sorted(periods, key=str)) & F.col(BATCH).isin(sorted(batches)))
+    # At most periods times batches; without the hint all rows would pass a shuffle to meet them.
+    known = F.broadcast(spark.createDataFrame(homes, "h_period string, h_batch string"))
+    return held.join(known, F.col(PERIOD).eqNullSafe(F.col("h_period")) & (F.col(BATCH) == F.col("h_batch")), "left_semi")
+
+
+def retag_earlier(spark: SparkSession, paths: LayerPaths, repeats: DataFrame, homes: list[tuple]) -> DataFrame:
+    """The stored partitions of ``homes``, with the ids of ``repeats`` (key, home_period, home_batch) as duplicates.
 
     An id of ``repeats`` stands in one row. If a run died between writing and
-    clearing that row's partitions it stands in both outcomes; one is kept.
+    clearing that row's partitions it stands in both outcomes; the tagged one is
+    kept. Rows that are duplicates already meet the ids by their keys alone.
     """
-    homes = repeats.select("home_period", "home_batch").distinct().collect()  # at most periods times batches
-    if not homes:
-        return None
-    periods, batches = {r["home_period"] for r in homes}, {r["home_batch"] for r in homes}
-    held = checked_transactions(spark, paths).where(in_partitions(PERIOD, sorted(periods, key=str)) & F.col(BATCH).isin(sorted(batches)))
-    homes = repeats.select(F.col("home_period").alias("h_period"), F.col("home_batch").alias("h_batch")).distinct()
-    held = held.join(homes, F.col(PERIOD).eqNullSafe(F.col("h_period")) & (F.col(BATCH) == F.col("h_batch")), "left_semi")
-    hit = held.join(repeats.select(F.col(KEY).alias("r_key"), F.lit(True).alias("again")), F.col(KEY) == F.col("r_key"), "left")
-    fresh = F.col("again") & ~F.coalesce(F.col(REASON_COL).contains(DUPLICATE_KEY), F.lit(False))
-    hit = hit.withColumn(REASON_COL, append_reason(F.col(REASON_COL), F.coalesce(fresh, F.lit(False)), DUPLICATE_KEY))
-    kept = hit.where("again is null").unionByName(hit.where("again").dropDuplicates([KEY]))
-    return _stored(kept)
+    held = held_at(spark, paths, homes).select(*RAW, *METADATA_COLUMNS, REASON_COL, *STORE_PARTITIONS)
+    tagged = F.coalesce(F.col(REASON_COL).contains(DUPLICATE_KEY), F.lit(False))
+    settled = held.where(tagged)
+    ids = repeats.select(F.col(KEY).alias("r_key"), F.lit(True).alias("again"))
+    stale = settled.select(id_key().alias("s_key")).join(ids, F.col("s_key") == F.col("r_key"), "left_semi").distinct()
+    ids = ids.join(stale, F.col("r_key") == F.col("s_key"), "left")
+    hit = held.where(~tagged).join(ids, id_key() == F.col("r_key"), "left").where("s_key is null")
+    hit = hit.withColumn(REASON_COL, append_reason(F.col(REASON_COL), F.coalesce("again", F.lit(False)), DUPLICATE_KEY))
+    return _moved(hit).unionByName(_moved(settled))
 
 
 def apply_silver(spark: SparkSession, paths: LayerPaths, batch: str, rules: QualityRules = TRANSACTION_RULES,
@@ -205,31 +218,32 @@ def apply_silver(spark: SparkSession, paths: LayerPaths, batch: str, rules: Qual
     met, _ = materialize(meet_index(tagged, index.read(spark), batch), "batch-keys")
 
     repeated = met.where("copies > 1 or earlier > 0").select(F.col(KEY).alias("r_key"), F.lit(True).alias("again"))
-    rows = tagged.join(repeated, F.col(KEY) == F.col("r_key"), "left").withColumn(BATCH, F.lit(batch))
+    # The rows meet the repeated keys as they landed; what follows from them is derived after the exchange.
+    rows = tag_batch(landed.join(repeated, id_key() == F.col("r_key"), "left"), rules, grain).withColumn(BATCH, F.lit(batch))
     rows = rows.withColumn(REASON_COL, append_reason(F.col(REASON_COL), F.coalesce("again", F.lit(False)), DUPLICATE_KEY))
-    rows = _stored(rows)
     found = Observation()
-    rows = rows.observe(found, F.count(F.lit(1)).alias("total"), F.count(REASON_COL).alias("bad"),
-                        *[F.count_if(F.col(REASON_COL).contains(tag)).alias(tag) for tag in QUARANTINE_REASONS])
-    overwrite_partitions(rows, store, STORE_PARTITIONS, [OUTCOME_COL, PERIOD])
+    overwrite_partitions(
+        _moved(rows), store, STORE_PARTITIONS, [OUTCOME_COL, PERIOD],
+        lambda moved: _stored(moved).observe(found, F.count(F.lit(1)).alias("total"), F.count(REASON_COL).alias("bad"),
+                                             *[F.count_if(F.col(REASON_COL).contains(tag)).alias(tag) for tag in QUARANTINE_REASONS]))
     counts = found.get
 
     lone = met.where("earlier = 1").select(KEY, "home_period", "home_batch")
-    changed = retag_earlier(spark, paths, lone)
-    moved: list[tuple] = []
-    if changed is not None:
-        again, _ = materialize(changed, "retagged")
-        overwrite_partitions(again, store, STORE_PARTITIONS, [OUTCOME_COL, PERIOD])
-        left = again.groupBy(PERIOD, BATCH).agg(F.count_if(F.col(OUTCOME_COL) == CLEAN).alias("clean")).collect()
-        moved = [(r[PERIOD], r[BATCH]) for r in left]
-        drop_partitions(spark, store, [{OUTCOME_COL: CLEAN, PERIOD: r[PERIOD], BATCH: r[BATCH]} for r in left if not r["clean"]])
+    homes = [tuple(r) for r in lone.select("home_period", "home_batch").distinct().collect()]  # at most periods times batches
+    if homes:
+        overwrite_partitions(retag_earlier(spark, paths, lone, homes), store, STORE_PARTITIONS, [OUTCOME_COL, PERIOD], _stored)
+        # A clean partition that lost its last row was not overwritten: its rows are ids of ``lone`` still.
+        kept = held_at(spark, paths, homes).where(F.col(OUTCOME_COL) == CLEAN).select(KEY, PERIOD, BATCH)
+        emptied = kept.join(lone.select(F.col(KEY).alias("r_key")), F.col(KEY) == F.col("r_key"), "left_semi")
+        emptied = emptied.select(PERIOD, BATCH).distinct().collect()
+        drop_partitions(spark, store, [{OUTCOME_COL: CLEAN, PERIOD: r[PERIOD], BATCH: r[BATCH]} for r in emptied])
 
     if index.read(spark).where(F.col(BATCH) == batch).isEmpty():
         index.write(met.select(KEY, "copies", PERIOD, F.lit(batch).alias(BATCH)))
     total, bad = int(counts.get("total", 0)), int(counts.get("bad", 0))
     pct, status = enforce_threshold(total, bad, rules.max_quarantine_pct, False, log)
     own = checked_transactions(spark, paths).where((F.col(BATCH) == batch) & (F.col(OUTCOME_COL) == CLEAN))
-    periods = {period for period, _ in moved} | {r[0] for r in own.select(PERIOD).distinct().collect()}
+    periods = {period for period, _ in homes} | {r[0] for r in own.select(PERIOD).distinct().collect()}
     return BatchReport(batch, total, bad, pct, status, {tag: int(counts.get(tag, 0)) for tag in QUARANTINE_REASONS},
                        lone.count(), sorted(p for p in periods if p is not None))
 
@@ -283,24 +297,26 @@ def refresh_gold(spark: SparkSession, paths: LayerPaths, periods: Iterable[str],
     touched = sorted({*own, *renamed_periods(spark, paths, lookups)})
     period = period_of(F.col("date_key"), grain)
     if own:
-        fact = build_fact_sales(silver_transactions(spark, paths, own))
-        _replace_periods(spark, fact.withColumn(PERIOD, period), f"{paths.gold}/fact_sales", own)
+        clean = checked_transactions(spark, paths).where((F.col(OUTCOME_COL) == CLEAN) & F.col(PERIOD).isin(own))
+        sold = silver_transactions(spark, paths, own).drop(*METADATA_COLUMNS)
+        _replace_periods(spark, sold.withColumn(PERIOD, period_of(F.to_date("transaction_ts"), grain)), f"{paths.gold}/fact_sales", own,
+                         clean, lambda rows: build_fact_sales(rows).withColumn(PERIOD, period))
     if touched:
         fact = gold_fact(spark, paths).where(F.col(PERIOD).isin(touched))
         summary = build_daily_summary(fact, silver["products"], silver["categories"], silver["stores"],
                                       silver["regions"], sort=False)
         _replace_periods(spark, summary.withColumn(PERIOD, period),
-                         f"{paths.gold}/gold_daily_merchandising_summary", touched)
+                         f"{paths.gold}/gold_daily_merchandising_summary", touched, fact)
     for key, df in lookups.items():  # last: a run that dies before finds the same changes again
         overwrite_table(df, f"{paths.gold}/_lookups/{key}")
     return touched
 
 
-def _replace_periods(spark: SparkSession, rows: DataFrame, path: str, periods: list[str]) -> None:
-    held, n = materialize(rows, "gold-periods")
-    if n:
-        overwrite_partitions(held, path, [PERIOD])
-    left = {r[0] for r in held.select(PERIOD).distinct().collect()}
+def _replace_periods(spark: SparkSession, rows: DataFrame, path: str, periods: list[str], source: DataFrame, finish=None) -> None:
+    """Replace ``periods`` of the table at ``path``; the periods that ``source`` has rows for are those of ``rows``."""
+    left = {r[0] for r in source.select(PERIOD).distinct().collect()}
+    if left:
+        overwrite_partitions(rows, path, [PERIOD], finish=finish)
     drop_partitions(spark, path, [{PERIOD: p} for p in periods if p not in left])
 
 

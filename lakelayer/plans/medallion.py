@@ -98,10 +98,10 @@ class LayerPaths:
 
 
 def land_raw_extract(sources: Mapping[str, DataFrame], raw_dir: str, files: int | None = None) -> None:
-    """Write each retail source as header CSV under ``raw/<name>.csv`` (the landing zone)."""
+    """Write each retail source as header CSV, gzipped, under ``raw/<name>.csv`` (the landing zone)."""
     for filename, _schema, table, _key in SOURCES:
         if table in sources:
-            write_csv(sources[table], f"{raw_dir.rstrip('/')}/{filename}", files)
+            write_csv(sources[table], f"{raw_dir.rstrip('/')}/{filename}", files, compression="gzip")
 
 
 def run_bronze(spark: SparkSession, paths: LayerPaths, tables=None, capture_malformed: bool = False) -> dict[str, int]:

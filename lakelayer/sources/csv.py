@@ -49,14 +49,22 @@ def stamp_ingest(df: DataFrame, source_file: str | None = None) -> DataFrame:
     return df.withColumn(INGESTED_AT, F.current_timestamp()).withColumn(SOURCE_FILE, name)
 
 
-def write_csv(df: DataFrame, path: str, files: int | None = None, mode: str = "overwrite") -> None:
-    """Write header CSV keeping leading/trailing spaces (the writer trims them by default)."""
+def write_csv(df: DataFrame, path: str, files: int | None = None, mode: str = "overwrite",
+              compression: str | None = None, partition_by: list[str] | None = None) -> None:
+    """Write header CSV keeping leading/trailing spaces (the writer trims them by default).
+
+    A gzip file is read by one task, so files should be of a task's size.
+    """
     out = df.repartition(files) if files else df
-    (
+    writer = (
         out.write.mode(mode).option("header", True)
         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-        .csv(path)
     )
+    if compression:
+        writer = writer.option("compression", compression)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.csv(path)
 
 
 def write_lines(lines: DataFrame, header: str, path: str) -> None:
