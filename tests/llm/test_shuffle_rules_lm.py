@@ -239,3 +239,23 @@ def test_all_trusted_documents_count(spark):
     finally:
         kneser_ney.train_model = own
     assert 2800 < seen[0] < 3200  # half of them: the other half sets the bounds
+
+
+def test_only_trusted_texts_are_moved(spark):
+    from lakelayer.llm import kneser_ney
+
+    plans = []
+    own, kneser_ney.train_model = kneser_ney.train_model, lambda t: plans.append(t._jdf.queryExecution().optimizedPlan().toString()) or own(t)
+    docs = spark.range(3000).select((F.col("id") * 7 - 50).alias("doc_id"), F.format_string("text %d", "id").alias("text"), F.lit("en").alias("lang"))
+    docs = docs.union(docs.where("doc_id < 50")).union(spark.sql("select null, 'no id', 'en'"))
+    labels = docs.where("doc_id % 10 = 0").select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    try:
+        assert judge_by_perplexity(docs, labels).count() == docs.count()
+    finally:
+        kneser_ney.train_model = own
+    exact, marked = (plans[0].index(x) for x in ("Join Inner, (doc_id", "rightHint=(strategy=broadcast)"))
+    assert exact < marked  # the marks are met below the exact join
+    near = [r.doc_id for r in kneser_ney.maybe_among(docs, labels.select("doc_id")).collect()]
+    wanted = [r.doc_id for r in docs.where("doc_id % 10 = 0").collect()]
+    assert sorted(i for i in near if i is not None and i % 10 == 0) == sorted(wanted)
+    assert len(near) < 1.1 * len(wanted) + 5
