@@ -183,3 +183,50 @@ def test_findings_of_all_documents_train(spark):
     tokens = [(t, t.index("=") + 2) for t in map(text, range(4500, 4600))]
     scores = net.scores(np.array([characters(t, a, a + 20) for t, a in tokens]))
     assert (scores >= net.threshold).mean() > 0.85
+
+
+def plain_logits(net, codes, batch=512):
+    """Every step of every window, by one table per place."""
+    e, steps, parts = net.embed.shape[1], WIDTH - net.span + 1, []
+    tables = [(net.embed @ net.filters[j * e:(j + 1) * e]).astype(np.float32) for j in range(net.span)]
+    for i in range(0, len(codes), batch):
+        active = np.maximum(sum(t[codes[i:i + batch, j:j + steps]] for j, t in enumerate(tables)) + net.bias.astype(np.float32), 0)
+        parts.append(np.concatenate((active.max(axis=1), active.mean(axis=1), np.ones((len(active), 1))), axis=1) @ net.out)
+    return np.concatenate(parts)
+
+
+def test_windows_are_scored_by_the_length_of_their_body():
+    import time
+
+    from lakelayer.llm.secret_scan import ALPHABET, BODY, LEFT, NOTHING
+
+    rng = np.random.default_rng(3)
+    for span in (1, 4, 5):
+        net = Network.fresh(rng, span=span)
+        net.bias[:] = rng.normal(size=len(net.bias))
+        codes = rng.integers(0, ALPHABET, (12_000, WIDTH)).astype(np.uint8)  # NOTHING also stands among the characters
+        length = np.where(np.arange(12_000) < 1200, np.arange(12_000) % (BODY + 1), 8 + np.arange(12_000) % 6)
+        codes[:, LEFT:LEFT + BODY][np.arange(BODY) >= length[:, None]] = NOTHING
+        codes[:200, :LEFT] = codes[100:300, LEFT + BODY:] = NOTHING
+        assert np.allclose(net.logits(codes), net._forward(codes)[3], atol=1e-4)
+        assert np.allclose(net.logits(codes.astype(np.int64)), plain_logits(net, codes), atol=1e-4)
+        assert net.logits(codes[:0]).shape == (0,)
+    used = []
+    for score in (net.logits, lambda c: plain_logits(net, c)):
+        at = time.process_time()
+        score(codes)
+        used.append(time.process_time() - at)
+    assert 2 * used[0] < used[1]
+
+
+def test_windows_of_many_texts_are_cut_at_once(monkeypatch):
+    from lakelayer.llm import secret_scan
+
+    texts = ["", "password = Tr0ub4dor&3 and more", "é\U0001f600 supercalifragilistic\nexpialidocious", "a\0b abcdefghij", "nothing here", "x" * 95]
+    spans = [[p for a, b in candidates(t, base_spans(t)) for p in pieces(a, b)] for t in texts]
+    brute = np.array([characters(t, a, b) for t, own in zip(texts, spans) for a, b in own])
+    assert len(brute) > 6
+    for chars in (1, 60, 500_000):
+        monkeypatch.setattr(secret_scan, "AT_ONCE_CHARS", chars)
+        assert (secret_scan.windows_of(texts, spans) == brute).all()
+    assert secret_scan.windows_of([], []).shape == (0, WIDTH)
